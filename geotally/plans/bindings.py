@@ -255,24 +255,27 @@ def srcall(spark, d):
 
 
 def source_keys(spark, d):
-    return srcall(spark, d).select("source", *SERIES).distinct()
+    """Series and the sources that report them, without the daily aggregation."""
+    return placed_orders(spark, d).select(
+        F.col("o_orderstatus").alias("source"), "location_id", F.lit("n_orders").alias("variable"), F.lit("all").alias("bucket")
+    ).distinct()
 
 
-def tagp(spark, d):
-    k = source_keys(spark, d)
-    return k.select(*SERIES, F.lit("provenance").alias("tag_type"), F.concat(F.lit("src_"), "source").alias("content")).unionByName(
-        k.select(*SERIES, F.lit("source_url").alias("tag_type"), F.concat(F.lit("http://src/"), F.lower("source")).alias("content"))
-    )
+def tags(spark, d, types=("provenance", "source_url", "source")):
+    """Provenance, url and source tags of every series and source, exploded from one pass."""
+    from geotally.functions import tagtext
 
+    url = F.concat(F.lit("http://src/"), F.lower("source"))
+    content = {
+        "provenance": F.concat(F.lit("src_"), "source"), "source_url": url,
+        "source": tagtext.source_content(F.col("source"), url, F.concat(F.lit("Source "), "source")),
+    }
+    rows = F.array(*[F.struct(F.lit(t).alias("tag_type"), content[t].alias("content")) for t in types])
+    return source_keys(spark, d).select(*SERIES, F.inline(rows)).select(*TAG)
 
-def tags(spark, d):
-    from geotally.functions import tagtext
 
-    k = source_keys(spark, d)
-    body = tagtext.source_content(
-        F.col("source"), F.concat(F.lit("http://src/"), F.lower("source")), F.concat(F.lit("Source "), "source")
-    )
-    return tagp(spark, d).unionByName(k.select(*SERIES, F.lit("source").alias("tag_type"), body.alias("content")).select(*TAG))
+def tagp(spark, d):
+    return tags(spark, d, ("provenance", "source_url"))
 
 
 def dataset(spark, d, observations=obs) -> Dataset:
