@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Postal code, fips code and name of the states and territories.
@@ -27,8 +25,9 @@ STATES = [
 
 
 def _lookup(pairs, key: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs)])
-    return F.try_element_at(table, key)
+    """Value of a literal map; written as one SQL expression, which is cheap to build."""
+    entries = ", ".join(f"'{k}', '{v}'" for k, v in pairs)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def state_code_of_fips(fips: Column) -> Column:

@@ -6,6 +6,7 @@ a group of users. Money is summed in whole cents, so totals do not depend on sum
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -103,21 +104,47 @@ def expand(sql: str) -> str:
     return f"WITH {head} {body}"
 
 
+_SCHEMAS: dict = {}
+_PLANS: dict = {}
+
+
+def shared(fn):
+    """Build each lazy plan once per session and folder. Nothing of the data is kept."""
+
+    @functools.wraps(fn)
+    def build(spark, d, *args):
+        if _PLANS.get("session") is not spark:
+            _PLANS.clear()
+            _PLANS["session"] = spark
+        key = (fn.__name__, d, *args)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, d, *args)
+        return _PLANS[key]
+
+    return build
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """Scan of a given table. Its schema is read from the footer once and then passed along."""
+    path = f"{d}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cents(col: str):
     return F.sum(F.round(F.col(col) * 100).cast("bigint")).cast("double") / 100
 
 
+@shared
 def states(spark, d):
-    code = F.element_at(F.array(*[F.lit(s) for s in REGION_STATES]), F.col("r_regionkey") + 1)
+    code = F.element_at(F.lit(REGION_STATES), F.col("r_regionkey") + 1)
     return table(spark, d, "region").select(
         "r_regionkey", "r_name", code.alias("state"), R.state_fips_of_code(code).alias("sfips")
     )
 
 
+@shared
 def geo(spark, d):
     """location_id, fips, state, level, country, name, nationkey: 25 counties, 5 states, 1 country."""
     st = states(spark, d)
@@ -140,16 +167,19 @@ def geo(spark, d):
     return county.unionByName(state).unionByName(top)
 
 
+@shared
 def counties(spark, d):
     return geo(spark, d).filter("level = 'county'")
 
 
+@shared
 def parent(spark, d):
     return counties(spark, d).select(
         "location_id", R.parent_state_location_id(F.col("location_id")).alias("parent_id")
     )
 
 
+@shared
 def placed_orders(spark, d):
     """Orders with the location of their customer, only the columns in use."""
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -164,6 +194,7 @@ def _two_variables(df):
     return df.unpivot(["location_id", "bucket", "date"], ["n_orders", "revenue"], "variable", "value").select(*POINT, "value")
 
 
+@shared
 def obs(spark, d):
     return _two_variables(
         placed_orders(spark, d).groupBy("location_id", "date")
@@ -172,6 +203,7 @@ def obs(spark, d):
     )
 
 
+@shared
 def obsb(spark, d):
     """Both variables for bucket 'all' and per market segment, from one aggregation."""
     p = placed_orders(spark, d)
@@ -190,6 +222,7 @@ def running(df):
     return df.select(*POINT, F.sum("value").over(w).alias("value"))
 
 
+@shared
 def cum(spark, d):
     return running(obs(spark, d))
 
@@ -202,22 +235,27 @@ def _event_counts(spark, d, location):
     )
 
 
+@shared
 def evt(spark, d):
     return _event_counts(spark, d, F.concat(F.lit("iso1:us#user:"), "user_id"))
 
 
+@shared
 def evp(spark, d):
     return _event_counts(spark, d, R.hsa_location_id(R.hsa_code(F.col("user_id") % 10)))
 
 
+@shared
 def evcum(spark, d):
     return running(evp(spark, d))
 
 
+@shared
 def evtcum(spark, d):
     return running(evt(spark, d))
 
 
+@shared
 def pop(spark, d):
     c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
     return (
@@ -226,6 +264,7 @@ def pop(spark, d):
     )
 
 
+@shared
 def static(spark, d):
     null = F.lit(None).cast("string").alias("str")
     nums = pop(spark, d).unpivot(["location_id"], ["population", "balance"], "attr", "num").withColumn("str", null)
@@ -235,6 +274,7 @@ def static(spark, d):
     return nums.unionByName(names)
 
 
+@shared
 def src(spark, d):
     """Three overlapping providers: one per order status."""
     return (
@@ -246,6 +286,7 @@ def src(spark, d):
     )
 
 
+@shared
 def srcall(spark, d):
     return (
         placed_orders(spark, d).groupBy(F.col("o_orderstatus").alias("source"), "location_id", "date")
@@ -254,6 +295,7 @@ def srcall(spark, d):
     )
 
 
+@shared
 def source_keys(spark, d):
     """Series and the sources that report them, without the daily aggregation."""
     return placed_orders(spark, d).select(
@@ -261,6 +303,7 @@ def source_keys(spark, d):
     ).distinct()
 
 
+@shared
 def tags(spark, d, types=("provenance", "source_url", "source")):
     """Provenance, url and source tags of every series and source, exploded from one pass."""
     from geotally.functions import tagtext
@@ -282,6 +325,7 @@ def dataset(spark, d, observations=obs) -> Dataset:
     return Dataset(observations(spark, d), static(spark, d), tags(spark, d))
 
 
+@shared
 def hsamap(spark, d):
     k = F.col("nationkey")
     return counties(spark, d).filter(k % 9 != 8).select(
@@ -289,6 +333,7 @@ def hsamap(spark, d):
     )
 
 
+@shared
 def cbsamap(spark, d):
     k = F.col("nationkey")
     return counties(spark, d).filter(k % 5 != 4).select(
@@ -296,13 +341,14 @@ def cbsamap(spark, d):
     )
 
 
+@shared
 def fact(spark, d):
     """Events in the shape of a provider fact table."""
     u = F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
     decade = F.floor(k / 10) * 10
     location = ((u % 5 + 1) * 1000 + u % 97).cast("int")
-    state = F.element_at(F.array(*[F.lit(s) for s in REGION_STATES]), (u % 5 + 1).cast("int"))
+    state = F.element_at(F.lit(REGION_STATES), (u % 5 + 1).cast("int"))
     return table(spark, d, "events").select(
         F.when(u % 3 == 0, "alpha").when(u % 3 == 1, "beta").otherwise("gamma").alias("provider"),
         F.to_date("ts").alias("dt"), location.alias("location"),

@@ -87,7 +87,7 @@ FROM (SELECT *, list_extract(['AL','AK','AZ','AR','CA'], CAST(user_id % 5 + 1 AS
   FROM events) GROUP BY 1, 2, 3, 4""")
 def _(spark, d):
     u = F.col("user_id")
-    state = F.element_at(F.array(*[F.lit(s) for s in B.REGION_STATES]), (u % 5 + 1).cast("int"))
+    state = F.element_at(F.lit(B.REGION_STATES), (u % 5 + 1).cast("int"))
     name = R.state_name_of_code(state)
     fips = R.fips_from_int(((u % 5 + 1) * 1000 + 990 + u % 10).cast("int"))
     return B.table(spark, d, "events").groupBy(
