@@ -49,6 +49,14 @@ CTES = {
         ORDER BY date ROWS UNBOUNDED PRECEDING) AS value FROM evp""",
     "evtcum": """SELECT location_id, variable, bucket, date, SUM(value) OVER (PARTITION BY location_id, variable, bucket
         ORDER BY date ROWS UNBOUNDED PRECEDING) AS value FROM evt""",
+    "upop": """SELECT DISTINCT 'iso1:us#user:' || user_id AS location_id, CAST(1000 + user_id % 500 AS DOUBLE) AS population FROM events""",
+    "uparent": """SELECT DISTINCT 'iso1:us#user:' || user_id AS location_id, 'iso1:us#hsa:' || lpad(CAST(user_id % 10 AS VARCHAR), 3, '0') AS parent_id FROM events""",
+    "mw": """SELECT location_id, date, SUM(value) FILTER (variable = 'click') * 7.5 AS "caseDensity", SUM(value) FILTER (variable = 'click') * 52.5 AS "weeklyNewCasesPer100k",
+        SUM(value) FILTER (variable = 'purchase') / 16 AS "testPositivityRatio", SUM(value) FILTER (variable = 'view') * 0.55 AS "infectionRate",
+        SUM(value) FILTER (variable = 'view') * 0.125 AS "infectionRateCI90", SUM(value) FILTER (variable = 'signup') * 0.375 AS "icuCapacityRatio",
+        SUM(value) FILTER (variable = 'error') * 0.25 AS "contactTracerCapacityRatio", SUM(value) FILTER (variable = 'signup') * 0.0625 AS "bedsWithCovidPatientsRatio",
+        SUM(value) FILTER (variable = 'error') * 6.5 AS "weeklyCovidAdmissionsPer100k", SUM(value) FILTER (variable = 'purchase') * 0.125 AS "vaccinationsInitiatedRatio"
+        FROM evt GROUP BY 1, 2""",
     "pop": """SELECT g.location_id, CAST(COUNT(*) AS DOUBLE) AS population,
         CAST(SUM(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE) / 100 AS balance FROM customer
         JOIN geo g ON g.nationkey = c_nationkey GROUP BY 1""",
@@ -255,6 +263,42 @@ def evtcum(spark, d):
     return running(evt(spark, d))
 
 
+@shared
+def users(spark, d):
+    u = F.col("user_id")
+    return table(spark, d, "events").select("user_id").distinct().select(
+        F.concat(F.lit("iso1:us#user:"), u).alias("location_id"), (1000 + u % 500).cast("double").alias("population"),
+        R.hsa_location_id(R.hsa_code(u % 10)).alias("parent_id"),
+    )
+
+
+def upop(spark, d):
+    return users(spark, d).select("location_id", "population")
+
+
+def uparent(spark, d):
+    return users(spark, d).select("location_id", "parent_id")
+
+
+def ustatic(spark, d):
+    return users(spark, d).select(
+        "location_id", F.lit("population").alias("attr"), F.col("population").alias("num"), F.lit(None).cast("string").alias("str")
+    )
+
+
+@shared
+def mw(spark, d):
+    """A table of daily metrics per user; days without an event of the type hold NULL."""
+    of = lambda t: F.sum(F.when(F.col("variable") == t, F.col("value")))
+    factors = {
+        "caseDensity": ("click", 7.5), "weeklyNewCasesPer100k": ("click", 52.5), "testPositivityRatio": ("purchase", 0.0625),
+        "infectionRate": ("view", 0.55), "infectionRateCI90": ("view", 0.125), "icuCapacityRatio": ("signup", 0.375),
+        "contactTracerCapacityRatio": ("error", 0.25), "bedsWithCovidPatientsRatio": ("signup", 0.0625),
+        "weeklyCovidAdmissionsPer100k": ("error", 6.5), "vaccinationsInitiatedRatio": ("purchase", 0.125),
+    }
+    return evt(spark, d).groupBy("location_id", "date").agg(*[(of(t) * f).alias(m) for m, (t, f) in factors.items()])
+
+
 @shared
 def pop(spark, d):
     c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
