@@ -265,9 +265,11 @@ def positivity_best(results: DataFrame, fallback: str = "SmoothedTests") -> Data
     """Per location all points of the best recent method, the fallback method whatever its age."""
     last = 2**20
     rank = F.when(F.col("recent"), F.col("prio")).when(F.col("method") == fallback, F.lit(last))
-    ranked = results.withColumn("rank", rank).filter("rank is not null")
-    best = ranked.groupBy("location_id").agg(F.min("rank").alias("rank"))
-    return ranked.join(best, ["location_id", "rank"], "left_semi").select("location_id", "date", "value", "method")
+    # A location holds at most one row per method and day, so the window is bounded and spares a
+    # second run of all methods.
+    best = F.min("rank").over(W.partitionBy("location_id"))
+    ranked = results.withColumn("rank", rank).withColumn("best", best)
+    return ranked.filter("rank = best").select("location_id", "date", "value", "method")
 
 
 def positivity_tags(tags: DataFrame, best: DataFrame, methods: list[Method] = POSITIVITY_METHODS) -> DataFrame:
