@@ -65,11 +65,16 @@ def densify_per_series(obs: DataFrame, by: list[str] = SERIES) -> DataFrame:
 
 
 def static_long(wide: DataFrame, numbers: list[str], strings: list[str]) -> DataFrame:
-    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    n = wide.select("location_id", *[F.col(c).cast("double").alias(c) for c in numbers]).unpivot(
-        ["location_id"], numbers, "attr", "num").withColumn("str", null_s)
-    s = wide.select("location_id", *strings).unpivot(["location_id"], strings, "attr", "str").withColumn("num", null_d)
-    return n.unionByName(s).filter("num is not null or str is not null").select("location_id", "attr", "num", "str")
+    columns = ["location_id", "attr", "num", "str"]
+    parts = []
+    if numbers:
+        doubles = wide.select("location_id", *[F.col(c).cast("double").alias(c) for c in numbers])
+        parts.append(doubles.unpivot(["location_id"], numbers, "attr", "num").withColumn("str", F.lit(None).cast("string")))
+    if strings:
+        texts = wide.select("location_id", *strings).unpivot(["location_id"], strings, "attr", "str")
+        parts.append(texts.withColumn("num", F.lit(None).cast("double")))
+    out = parts[0].select(*columns) if len(parts) == 1 else parts[0].select(*columns).unionByName(parts[1].select(*columns))
+    return out.filter("num is not null or str is not null")
 
 
 def demographic_distributions(obs: DataFrame) -> DataFrame:

@@ -334,3 +334,101 @@ def _(spark, d):
 @query("select_limit_regions", "SELECT location_id, population FROM pop ORDER BY population DESC, location_id LIMIT 10")
 def _(spark, d):
     return O.select_regions(B.pop(spark, d).select("location_id", "population"), F.struct(-F.col("population"), "location_id"), 10)
+
+
+# --- published rows --------------------------------------------------------------------------
+
+from geotally.operators import publish as PB, rollup as RU  # noqa: E402
+from geotally.sources import writers as WR  # noqa: E402
+
+FIELDS = {"cases": "click", "deaths": "error", "positive_tests": "purchase", "staffed_beds": "signup", "vaccinations_initiated": "view"}
+
+
+def actual_wide(spark, d):
+    return wide_with(spark, d, FIELDS)
+
+
+def dotted(df, *names):
+    return WR.flatten_struct(df, list(names))
+
+
+@query("actuals_rows", f"""
+WITH {WIDE} SELECT location_id, date, click AS "actuals.cases", error AS "actuals.deaths", purchase AS "actuals.positiveTests", signup AS "actuals.hospitalBeds.capacity",
+ CASE WHEN date >= DATE '2024-01-10' THEN view END AS "actuals.vaccinationsInitiated" FROM w""")
+def _(spark, d):
+    rows = PB.actuals_rows(actual_wide(spark, d), vaccines=D(2024, 1, 10))
+    return dotted(rows, "location_id", "date", "actuals.cases", "actuals.deaths", "actuals.positiveTests", "actuals.hospitalBeds.capacity", "actuals.vaccinationsInitiated")
+
+
+LW = "lw AS (SELECT location_id, " + ", ".join(f"arg_max(value, date) FILTER (variable = '{v}') AS {n}" for n, v in FIELDS.items()) + " FROM evt GROUP BY 1)"
+
+
+def user_geo(spark, d):
+    return B.users(spark, d).select("location_id", F.lit("USA").alias("country"), F.lit("place").alias("level"), "population")
+
+
+def summary(spark, d):
+    latest = RU.latest_values(B.evt(spark, d), ["location_id", "variable"])
+    pick = [F.max(F.when(F.col("variable") == v, F.col("value"))).alias(n) for n, v in FIELDS.items()]
+    metrics = O.latest_metrics(B.mw(spark, d), LM)
+    risks = LV.risk_columns(metrics).select(
+        "location_id", "overall", F.col("caseDensity_risk").alias("caseDensity"), F.col("infectionRate_risk").alias("infectionRate"))
+    trans = metrics.select("location_id", LV.transmission_level(F.col("caseDensity"), F.col("testPositivityRatio")).alias("cdcTransmissionLevel"))
+    return PB.region_summary(user_geo(spark, d), latest.groupBy("location_id").agg(*pick), metrics, risks, trans, LV.community_latest(community(spark, d)))
+
+
+SUMMARY = f"""lm AS ({latest_sql()}), {LW}, {CTS}, cl AS (SELECT location_id, MAX("canCommunityLevel") FILTER (rn = 1) AS own, arg_max("cdcCommunityLevel", date) FILTER ("cdcCommunityLevel" IS NOT NULL) AS ext
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY location_id ORDER BY date DESC) AS rn FROM ct) GROUP BY 1), r AS (SELECT *, {CD} AS cd, {TP} AS tp, {RT} AS rt, {TC} AS a, {TT} AS b FROM lm)"""
+
+
+@query("region_summary", f"""
+WITH {SUMMARY} SELECT location_id, population, 'place' AS level, cases AS "actuals.cases", staffed_beds AS "actuals.hospitalBeds.capacity", vaccinations_initiated AS "actuals.vaccinationsInitiated",
+ "caseDensity" AS "metrics.caseDensity", "infectionRate" AS "metrics.infectionRate", {OVERALL} AS "riskLevels.overall", cd AS "riskLevels.caseDensity", {TOTAL} AS "cdcTransmissionLevel", own AS "communityLevels.canCommunityLevel", ext AS "communityLevels.cdcCommunityLevel"
+FROM upop JOIN lw USING (location_id) LEFT JOIN r USING (location_id) LEFT JOIN cl USING (location_id)""")
+def _(spark, d):
+    return dotted(
+        summary(spark, d), "location_id", "population", "level", "actuals.cases", "actuals.hospitalBeds.capacity", "actuals.vaccinationsInitiated",
+        "metrics.caseDensity", "metrics.infectionRate", "riskLevels.overall", "riskLevels.caseDensity", "cdcTransmissionLevel",
+        "communityLevels.canCommunityLevel", "communityLevels.cdcCommunityLevel")
+
+
+def day_parts(spark, d):
+    return {
+        "actuals": PB.actuals_rows(actual_wide(spark, d)).select("location_id", "date", "actuals.*"),
+        "metrics": PB.metric_rows(B.mw(spark, d), {"vaccinationsInitiatedRatio": D(2024, 1, 15)}),
+        "riskLevels": LV.risk_timeseries(B.mw(spark, d)), "cdcTransmissionLevel": LV.transmission_timeseries(B.mw(spark, d)),
+    }
+
+
+RTS = f"""rs AS (WITH s AS (SELECT location_id, date, "caseDensity", "testPositivityRatio", FIRST_VALUE("infectionRate") OVER ({LR(7, 'INTERVAL 7 DAYS PRECEDING')}) AS "infectionRate" FROM mw),
+ c AS (SELECT location_id, date, {carry_sql('caseDensity', 'testPositivityRatio', 'infectionRate')} FROM s) SELECT location_id, date, {OVERALL} AS overall FROM (SELECT location_id, date, {CD} AS cd, {TP} AS tp, {RT} AS rt FROM c))"""
+
+
+@query("region_timeseries", f"""
+WITH {WIDE}, {RTS} SELECT location_id, string_agg(w.date || '=' || COALESCE(CAST(CAST(click AS INTEGER) AS VARCHAR), '-'), ',' ORDER BY w.date) AS cases, string_agg(CAST(overall AS VARCHAR), ',' ORDER BY w.date) AS risks,
+ COUNT(m."vaccinationsInitiatedRatio") FILTER (w.date >= DATE '2024-01-15') AS ratios FROM w JOIN rs USING (location_id, date) JOIN mw m USING (location_id, date) GROUP BY 1""")
+def _(spark, d):
+    x = PB.region_timeseries(user_geo(spark, d), day_parts(spark, d))
+    cases = F.transform("actuals", lambda r: F.concat(r["date"].cast("string"), F.lit("="), F.coalesce(r["cases"].cast("int").cast("string"), F.lit("-"))))
+    risks = F.transform("riskLevels", lambda r: r["overall"].cast("string"))
+    known = F.filter("metrics", lambda r: r["vaccinationsInitiatedRatio"].isNotNull())
+    return x.select("location_id", F.array_join(cases, ",").alias("cases"), F.array_join(risks, ",").alias("risks"), F.size(known).cast("bigint").alias("ratios"))
+
+
+@query("flat_timeseries_rows", f"""
+WITH {WIDE}, {RTS} SELECT location_id, population, date, click AS "actuals.cases", m."caseDensity" AS "metrics.caseDensity", overall AS "riskLevels.overall" FROM upop JOIN w USING (location_id) JOIN rs USING (location_id, date) JOIN mw m USING (location_id, date)""")
+def _(spark, d):
+    rows = PB.flat_rows(user_geo(spark, d), day_parts(spark, d))
+    return dotted(rows, "location_id", "population", "date", "actuals.cases", "metrics.caseDensity", "riskLevels.overall")
+
+
+@query("state_case_summary", """
+WITH c AS (SELECT parent_id, location_id, SUM(value) FILTER (variable = 'click') AS cases, SUM(value) FILTER (variable = 'error') AS deaths, MAX(date) AS date FROM evt JOIN uparent USING (location_id) GROUP BY 1, 2)
+SELECT parent_id AS state, MAX(date) AS date, SUM(cases) AS cases, SUM(deaths) AS deaths, string_agg(location_id || ':' || CAST(CAST(cases AS INTEGER) AS VARCHAR), ',' ORDER BY location_id) AS counties FROM c GROUP BY 1""")
+def _(spark, d):
+    of = lambda t: F.sum(F.when(F.col("variable") == t, F.col("value")))
+    c = B.evt(spark, d).join(B.uparent(spark, d), "location_id").groupBy(F.col("parent_id").alias("state"), F.col("location_id").alias("fips")).agg(
+        of("click").alias("cases"), of("error").alias("deaths"), F.max("date").alias("date"))
+    x = PB.state_case_summary(c)
+    text = F.transform("counties", lambda r: F.concat(r["fips"], F.lit(":"), r["cases"].cast("int").cast("string")))
+    return x.select("state", "date", "cases", "deaths", F.array_join(text, ",").alias("counties"))
