@@ -102,11 +102,15 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Lazy assertion: the returned frame fails at run time on a duplicate key."""
-    counted = df.withColumn("_n", F.count("*").over(W.partitionBy(*keys)))
-    return counted.filter(
-        F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate key in {keys}")).cast("boolean")).otherwise(True)
-    ).drop("_n")
+    """Lazy assertion: the returned frame fails at run time on a duplicate key.
+
+    Copies meet in a map-side aggregation, so that even a key with very many of them is counted
+    in parallel before the job fails.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+    fail = F.raise_error(F.lit(f"duplicate key in {keys}")).cast("boolean")
+    return counted.filter(F.when(F.col("_n") > 1, fail).otherwise(True)).select(*df.columns)
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
