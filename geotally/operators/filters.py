@@ -95,10 +95,11 @@ def drop_variables(ds: Dataset, names: list[str]) -> Dataset:
 
 
 def drop_na_variables(ds: Dataset) -> Dataset:
-    """Drop variables without any real value, and their tags."""
+    """Drop variables without any real value, and their tags. There are only so many variables,
+    so their names travel as one array."""
     real = ds.obs.filter("value is not null")
-    names = real.select("variable").distinct()
-    return Dataset(real, ds.static, ds.tags.join(names, "variable", "left_semi").select(ds.tags.columns))
+    names = real.agg(F.collect_set("variable")).scalar()
+    return Dataset(real, ds.static, ds.tags.filter(F.array_contains(names, F.col("variable"))))
 
 
 def drop_stale_series(ds: Dataset, cutoff: datetime.date) -> Dataset:

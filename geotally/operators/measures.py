@@ -292,15 +292,20 @@ def positivity_provenance(tags: DataFrame, known: list[str]) -> DataFrame:
 # --- metrics table ---------------------------------------------------------------------------
 
 
-def metrics_timeseries(days: DataFrame, parts: dict[str, DataFrame], ratios: dict[str, Column] | None = None) -> DataFrame:
+def metrics_timeseries(
+    days: DataFrame, parts: dict[str, DataFrame], ratios: dict[str, Column] | None = None,
+    multiples: dict[str, tuple[str, float]] | None = None,
+) -> DataFrame:
     """One rounded row per (location, date) of ``days``.
 
     ``parts``: metric name to a (location_id, date, value) frame; ``ratios``: metric name to an
-    expression over the columns of ``days``. The parts are stacked and pivoted, so any number of
-    them costs one aggregation and one join.
+    expression over the columns of ``days``; ``multiples``: metric name to (metric, factor). The
+    parts are stacked and pivoted, so any number of them costs one aggregation and one join.
     """
     tall = C.union_all([p.select("location_id", "date", "value", F.lit(m).alias("metric")) for m, p in parts.items()])
     wide = tall.groupBy("location_id", "date").pivot("metric", list(parts)).agg(F.first("value"))
+    if multiples:
+        wide = wide.withColumns({m: F.col(of) * factor for m, (of, factor) in multiples.items()})
     base = days.select("location_id", "date", *[c.alias(m) for m, c in (ratios or {}).items()])
     return S.round_metrics(base.join(wide, ["location_id", "date"], "left"))
 

@@ -49,9 +49,16 @@ def latest_to_static(ds: Dataset, field: str) -> Dataset:
     return ds.with_static(C.add_static_values(ds.static, rows))
 
 
-def weights(static: DataFrame, region_map: DataFrame, attr: str) -> DataFrame:
-    """location_id, parent_id, weight, and the weight of all mapped children of the parent."""
+def weights(static: DataFrame, region_map: DataFrame, attr: str, parent: str | None = None) -> DataFrame:
+    """location_id, parent_id, weight, and the weight of all mapped children of the parent.
+
+    With ``parent`` all locations of the map lie in that one region; its total is then a scalar
+    and needs no join.
+    """
     w = static.filter((F.col("attr") == attr) & F.col("num").isNotNull()).select("location_id", F.col("num").alias("weight"))
+    if parent is not None:
+        children = region_map.select("location_id").join(w, "location_id", "left")
+        return children.select("location_id", F.lit(parent).alias("parent_id"), "weight", children.agg(F.sum("weight")).scalar().alias("total"))
     children = region_map.select("location_id", "parent_id").join(w, "location_id", "left")
     totals = children.groupBy("parent_id").agg(F.sum("weight").alias("total"))
     return children.join(totals, "parent_id")
@@ -70,9 +77,9 @@ def _sum_children(long: DataFrame, keys: list[str], name: str, weighted: list[st
 
 def aggregate_regions(
     ds: Dataset, region_map: DataFrame, *, weighted: dict[str, str] | None = None, coverage: float | None = None,
-    weight: str = "population", excluded: list[str] = NOT_AGGREGATED,
+    weight: str = "population", excluded: list[str] = NOT_AGGREGATED, parent: str | None = None,
 ) -> Dataset:
-    """Roll children up to their parents.
+    """Roll children up to their parents, or all mapped locations up to the one ``parent``.
 
     Values of bucket 'all' are summed per (parent, variable, date); ``weighted`` variables are
     multiplied by the child's share of the weight of all mapped children, without renormalising
@@ -84,7 +91,7 @@ def aggregate_regions(
         raise ValueError("a field cannot be both weighted and a weight")
     if set(weighted.values()) - {weight}:
         raise ValueError(f"weights other than {weight} are not supported")
-    w = weights(ds.static, region_map, weight)
+    w = weights(ds.static, region_map, weight, parent)
     names = list(weighted)
     obs = ds.obs.filter((F.col("bucket") == "all") & ~F.col("variable").isin(excluded) & F.col("value").isNotNull())
     agg = _sum_children(obs.join(w, "location_id"), ["parent_id", "variable", "date"], "variable", names, coverage)
@@ -125,22 +132,23 @@ def rollup_hsa_broadcast(ds: Dataset, hsa_map: DataFrame, fields: dict[str, str]
     return ds.with_obs(ds.obs.select(*POINT, "value").unionByName(back))
 
 
-def rollup_country(ds: Dataset, state_map: DataFrame, country: str = "iso1:us", coverage: float | None = COVERAGE, **kwargs) -> Dataset:
+def rollup_country(ds: Dataset, members: DataFrame, country: str = "iso1:us", coverage: float | None = COVERAGE, **kwargs) -> Dataset:
     """Append the country; variables it reports itself win over the aggregated ones."""
     own_obs = ds.obs.filter((F.col("location_id") == country) & F.col("value").isNotNull())
     own_attr = ds.static.filter((F.col("location_id") == country) & (F.col("num").isNotNull() | F.col("str").isNotNull()))
-    agg = aggregate_regions(ds, state_map, coverage=coverage, **kwargs)
-    taken = own_obs.select("variable").distinct()
+    agg = aggregate_regions(ds, members, coverage=coverage, parent=country, **kwargs)
+    # Distinct names are few, so the anti joins broadcast them.
+    new_obs = agg.obs.join(own_obs.select("variable").distinct(), "variable", "left_anti")
     new_static = agg.static.join(own_attr.select("attr").distinct(), "attr", "left_anti")
     return Dataset(
-        ds.obs.select(*POINT, "value").unionByName(agg.obs.join(taken, "variable", "left_anti").select(*POINT, "value")),
+        ds.obs.select(*POINT, "value").unionByName(new_obs.select(*POINT, "value")),
         ds.static.select(*STATIC).unionByName(new_static.select(*STATIC)), ds.tags,
     )
 
 
 def rollup_to_one(ds: Dataset, members: DataFrame, target: str, **kwargs) -> Dataset:
     """Sum chosen regions into one new region that keeps the string attributes it has."""
-    one = aggregate_regions(ds, members.select("location_id", F.lit(target).alias("parent_id")), **kwargs)
+    one = aggregate_regions(ds, members, parent=target, **kwargs)
     return Dataset(
         ds.obs.select(*POINT, "value").unionByName(one.obs.select(*POINT, "value")),
         ds.static.filter((F.col("location_id") != target) | F.col("str").isNotNull()).select(*STATIC)

@@ -204,7 +204,12 @@ def modified_zscore(
     if ignore_zeros:
         rows = rows.withColumn("x", F.when(F.col("x") != 0, F.col("x")))
     w = days_back(window, -1)
-    rows = rows.withColumns({"mean": F.avg("x").over(w), "std": F.stddev_pop("x").over(w), "n": F.count("x").over(w)})
+    # Equal values have exactly their mean and no spread; a floating-point sum could miss both.
+    low, high = F.min("x").over(w), F.max("x").over(w)
+    rows = rows.withColumns({
+        "mean": F.when(low == high, low).otherwise(F.avg("x").over(w)),
+        "std": F.when(low == high, 0.0).otherwise(F.stddev_pop("x").over(w)), "n": F.count("x").over(w),
+    })
     enough = F.col("n") >= min_count
     return rows.withColumns({"mean": F.when(enough, F.col("mean")), "std": F.when(enough, F.col("std"))})
 

@@ -87,11 +87,11 @@ def clean(ds: Dataset, geo: DataFrame, parents: DataFrame, anomalies: DataFrame
     return stored(filters.drop_regions_without_population(ds), "clean"), touched
 
 
-def roll_up(ds: Dataset, hsa_map: DataFrame, cbsa_map: DataFrame, state_map: DataFrame, cfg: Config, weighted: dict | None = None, hsa_fields: dict = RU.HSA_FIELDS) -> Dataset:
-    """Write HSA totals to their counties, append CBSAs and the country."""
+def roll_up(ds: Dataset, hsa_map: DataFrame, cbsa_map: DataFrame, members: DataFrame, cfg: Config, weighted: dict | None = None, hsa_fields: dict = RU.HSA_FIELDS) -> Dataset:
+    """Write HSA totals to their counties, append CBSAs and the country of all ``members``."""
     ds = RU.rollup_hsa_broadcast(ds, hsa_map, hsa_fields)
     areas = RU.rollup_cbsa(ds, cbsa_map, coverage=cfg.coverage, weighted=weighted)
-    country = RU.rollup_country(ds, state_map, coverage=cfg.coverage, weighted=weighted)
+    country = RU.rollup_country(ds, members, coverage=cfg.coverage, weighted=weighted)
     return Dataset(
         country.obs.unionByName(areas.obs.select(*POINT, "value")), country.static.unionByName(areas.static.select(*STATIC)), ds.tags)
 
@@ -101,10 +101,11 @@ def metrics(ds: Dataset, new_cases: str = "new_cases", rt: DataFrame | None = No
     new = ds.obs.filter((F.col("variable") == new_cases) & (F.col("bucket") == "all"))
     first = ds.obs.groupBy("location_id").agg(F.min("date").alias("first"))
     density = M.case_density(new, M.population_of(ds.static), first)
-    parts = {"caseDensity": density, "weeklyNewCasesPer100k": density.withColumn("value", F.col("value") * 7)}
+    parts = {"caseDensity": density}
     parts["testPositivityRatio"] = positivity if positivity is not None else density.limit(0)
     none = density.limit(0).select("location_id", "date", "value")
     parts["infectionRate"] = none if rt is None else rt.select("location_id", "date", F.col("Rt_MAP_composite").alias("value"))
     parts["infectionRateCI90"] = none if rt is None else rt.select(
         "location_id", "date", (F.col("Rt_ci95_composite") - F.col("Rt_MAP_composite")).alias("value"))
-    return M.metrics_timeseries(density.select("location_id", "date").distinct(), parts)
+    days = density.select("location_id", "date").distinct()
+    return M.metrics_timeseries(days, parts, multiples={"weeklyNewCasesPer100k": ("caseDensity", 7)})

@@ -49,8 +49,7 @@ def _(spark, d):
 @query("update_flow")
 def _(spark, d):
     out, _ = FL.clean(cumulated(spark, d), B.geo(spark, d), B.parent(spark, d), None, config())
-    top = B.counties(spark, d).select("location_id", F.lit("iso1:us").alias("parent_id"))
-    all_ = FL.roll_up(out, B.hsamap(spark, d), B.cbsamap(spark, d), top, config(), hsa_fields={"n_orders": "n_orders_hsa"})
+    all_ = FL.roll_up(out, B.hsamap(spark, d), B.cbsamap(spark, d), B.counties(spark, d), config(), hsa_fields={"n_orders": "n_orders_hsa"})
     return rounded(all_.obs)
 
 

@@ -206,8 +206,8 @@ def _(spark, d):
     den = density(spark, d)
     ev = B.evtcum(spark, d)
     pos = O.positivity_smoothed(ev.filter("variable = 'purchase'"), ev.filter("variable = 'view'"))
-    parts = {"caseDensity": den, "weeklyNewCasesPer100k": den.withColumn("value", F.col("value") * 7), "testPositivityRatio": pos}
-    return O.metrics_timeseries(x, parts, {"icuCapacityRatio": O.icu_capacity_ratio(x)})
+    return O.metrics_timeseries(
+        x, {"caseDensity": den, "testPositivityRatio": pos}, {"icuCapacityRatio": O.icu_capacity_ratio(x)}, {"weeklyNewCasesPer100k": ("caseDensity", 7)})
 
 
 LM = ["caseDensity", "testPositivityRatio", "infectionRate", "infectionRateCI90", "vaccinationsInitiatedRatio"]

@@ -9,6 +9,7 @@ from geotally.model import POINT, SERIES, Dataset, flatten
 from geotally.operators import combine as C, filters as FL, layout as L, quality as O, windows as WN
 from geotally.plans import bindings as B
 from geotally.plans.catalog import query
+from geotally.plans.flow import stored
 from geotally.plans.filters_queries import FLAT
 from geotally.plans.joins_queries import RULES_SQL, anomaly_rules
 from geotally.plans.windows_queries import P, PK, R, ZEROS, gauss_sql, spread_ctes, zeros, zscore_sql
@@ -70,7 +71,8 @@ WITH {FOLD}, n0 AS (SELECT location_id, variable, bucket, COUNT(*) n FROM obs0 G
  t AS (SELECT * FROM (SELECT * FROM tags0 UNION ALL SELECT * FROM {FT} WHERE tag_type LIKE 'known_issue%') SEMI JOIN lost USING (location_id, variable, bucket)) {FLAT}""")
 def _(spark, d):
     ds = B.dataset(spark, d, B.obsb)
-    return flatten(O.touched_subset(ds, O.manual_filter(ds, B.geo(spark, d), RULES)))
+    filtered = stored(O.manual_filter(ds, B.geo(spark, d), RULES), "manual")
+    return flatten(O.touched_subset(ds, filtered))
 
 
 @query("manual_filter_validate", """

@@ -97,8 +97,7 @@ def _(spark, d):
     own = B.table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").cast("double").alias("value")).select(
         F.lit("iso1:us").alias("location_id"), F.lit("revenue").alias("variable"), F.lit("all").alias("bucket"), "date", "value"
     )
-    to_top = B.counties(spark, d).select("location_id", F.lit("iso1:us").alias("parent_id"))
-    return rounded(O.rollup_country(ds.with_obs(ds.obs.unionByName(own)), to_top).obs, n=4)
+    return rounded(O.rollup_country(ds.with_obs(ds.obs.unionByName(own)), B.counties(spark, d)).obs, n=4)
 
 
 @query("rollup_city", """

@@ -185,15 +185,19 @@ def _(spark, d):
 
 
 def zscore_sql(src="evt", window=10, n=3):
+    w = f"OVER ({R(window, 'INTERVAL 1 DAY PRECEDING')})"
     return f"""{spread_ctes(src)}, zx AS (SELECT {PK}, raw, CASE WHEN value <> 0 THEN value END AS x FROM spread),
- zm AS (SELECT *, AVG(x) OVER ({R(window, 'INTERVAL 1 DAY PRECEDING')}) AS m, stddev_pop(x) OVER ({R(window, 'INTERVAL 1 DAY PRECEDING')}) AS s, COUNT(x) OVER ({R(window, 'INTERVAL 1 DAY PRECEDING')}) AS n FROM zx),
+ zm AS (SELECT *, CASE WHEN MIN(x) {w} = MAX(x) {w} THEN MIN(x) {w} ELSE AVG(x) {w} END AS m, CASE WHEN MIN(x) {w} = MAX(x) {w} THEN 0 ELSE stddev_pop(x) {w} END AS s, COUNT(x) {w} AS n FROM zx),
  z AS (SELECT {PK}, raw, x, CASE WHEN n >= {n} THEN m END AS mean, CASE WHEN n >= {n} THEN s END AS std FROM zm)"""
 
 
-@query("zscore_modified", f"WITH {ZEROS}, {zscore_sql('zer')} SELECT {PK}, round(x, 8) AS x, round(mean, 8) AS mean, round(std, 8) AS std, COALESCE(abs(x - mean) > 8 * std, false) AS outlier FROM z")
+@query("zscore_modified", f"""
+WITH {ZEROS}, {zscore_sql('zer')} SELECT {PK}, round(x, 8) AS x, round(mean, 8) AS mean, round(std, 8) AS std, round(CASE WHEN std > 0 THEN abs(x - mean) / std END, 6) AS score, COALESCE(std = 0 AND x <> mean, false) AS infinite FROM z""")
 def _(spark, d):
     z = O.modified_zscore(zeros(spark, d))
-    return z.select(*POINT, F.round("x", 8).alias("x"), F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"), O.exceeds(8.0).alias("outlier"))
+    score = F.when(F.col("std") > 0, F.abs(F.col("x") - F.col("mean")) / F.col("std"))
+    infinite = F.coalesce((F.col("std") == 0) & (F.col("x") != F.col("mean")), F.lit(False))
+    return z.select(*POINT, *[F.round(c, 8).alias(c) for c in ("x", "mean", "std")], F.round(score, 6).alias("score"), infinite.alias("infinite"))
 
 
 @query("shift_rows", "SELECT location_id, variable, bucket, date + 7 AS date, value FROM obs")
