@@ -18,13 +18,13 @@ METRIC_DECIMALS = {
 
 
 def bucket_name(fields: dict[str, Column]) -> Column:
-    """'all', or '<names>:<values>' of the demographic fields that are not 'all'."""
-    parts = F.filter(
-        F.array(*[F.struct(F.lit(n).alias("n"), c.alias("v")) for n, c in fields.items()]), lambda x: x["v"] != "all"
-    )
-    names = F.array_join(F.transform(parts, lambda x: x["n"]), ";")
-    values = F.array_join(F.transform(parts, lambda x: x["v"]), ";")
-    return F.when(F.size(parts) == 0, "all").otherwise(F.concat(names, F.lit(":"), values))
+    """'all', or '<names>:<values>' of the demographic fields that are not 'all'.
+
+    ``concat_ws`` leaves out NULLs, which keeps this a plain generated expression.
+    """
+    names = F.concat_ws(";", *[F.when(c != "all", F.lit(n)) for n, c in fields.items()])
+    values = F.concat_ws(";", *[F.when(c != "all", c) for c in fields.values()])
+    return F.when(names == "", "all").otherwise(F.concat(names, F.lit(":"), values))
 
 
 def bucket_distribution(bucket: Column) -> Column:

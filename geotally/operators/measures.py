@@ -178,27 +178,29 @@ def weekly_admissions_per_100k(is_county: Column, per: int = 100_000) -> Column:
 def positivity_smoothed(positive: DataFrame, negative: DataFrame, lookback: int = 7) -> DataFrame:
     """Positive / all tests from two cumulative series of bucket 'all'.
 
-    A location gives nothing if it has recent positives but no recent negatives.
+    A location gives nothing if it has recent positives but no recent negatives. Both series run
+    through one chain of windows over the series key, so they share a single exchange; a second
+    one brings the two values of a day together.
     """
-    p_level, n_level = WN.interpolate_stalled(positive), WN.interpolate_stalled(negative)
-    p = WN.smooth_rolling_mean(WN.diff_days(p_level, 1))
-    n = WN.smooth_rolling_mean(WN.diff_days(n_level, 1), include_trailing_zeros=False)
-    end = lambda df, name: df.groupBy("location_id").agg(F.max("date").alias(name))
-    zeros = p.join(end(p_level, "_end"), "location_id").groupBy("location_id").agg(
-        F.count_if((F.datediff("_end", "date") < lookback) & (F.col("value") == 0)).alias("zeros")
-    )
-    recent = n.join(end(n_level, "_end"), "location_id").groupBy("location_id").agg(
-        F.count_if(F.datediff("_end", "date") < lookback).alias("negatives")
-    )
-    skipped = zeros.join(recent, "location_id", "left").filter(
-        (F.col("zeros") < lookback) & (F.coalesce("negatives", F.lit(0)) == 0)
-    )
-    both = p.select("location_id", "date", F.col("value").alias("_p")).join(
-        n.select("location_id", "date", F.col("value").alias("_n")), ["location_id", "date"]
-    )
-    return both.join(skipped, "location_id", "left_anti").select(
-        "location_id", "date", F.try_divide(F.col("_p"), F.col("_n") + F.col("_p")).alias("value")
-    ).filter("value is not null")
+    tagged = lambda df, role: df.withColumn("variable", F.lit(role))
+    level = WN.interpolate_stalled(tagged(positive, "p").unionByName(tagged(negative, "n")))
+    w = whole_series()
+    new = level.withColumns({"_end": F.max("date").over(w), "new": F.col("value") - WN.previous_day()}).filter("new >= 0")
+    is_p = F.col("variable") == "p"
+    last = F.max(F.when(F.col("new") != 0, F.col("date"))).over(w)
+    smooth = new.withColumns({"mean": F.avg("new").over(WN.days_back(lookback - 1)), "_last": last})
+    kept = smooth.filter(is_p | F.col("_last").isNull() | (F.col("date") <= F.col("_last")))
+    recent = F.datediff("_end", "date") < lookback
+    flags = kept.withColumns({
+        "zeros": F.count(F.when(recent & is_p & (F.col("mean") == 0), 1)).over(w),
+        "negatives": F.count(F.when(recent & ~is_p, 1)).over(w),
+    })
+    of = lambda role, c: F.max(F.when(F.col("variable") == role, F.col(c)))
+    days = flags.groupBy("location_id", "date").agg(
+        of("p", "mean").alias("p"), of("n", "mean").alias("n"), of("p", "zeros").alias("zeros"), of("n", "negatives").alias("negatives"))
+    skipped = (F.col("zeros") < lookback) & (F.col("negatives") == 0)
+    return days.filter("p is not null and n is not null").filter(~skipped).select(
+        "location_id", "date", F.try_divide(F.col("p"), F.col("n") + F.col("p")).alias("value")).filter("value is not null")
 
 
 @dataclass(frozen=True)

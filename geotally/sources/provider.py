@@ -29,7 +29,9 @@ def query_variables(fact: DataFrame, spec: list[tuple], source_type: str) -> Dat
     A key that occurs twice fails the job; a source tag is the one of the latest date.
     """
     spark = fact.sparkSession
-    named = fact.join(spec_table(spark, spec), SPEC_KEYS)
+    # The literal names also filter the scan, where they prune row groups before the join.
+    listed = F.col("provider").isin(sorted({r[0] for r in spec})) & F.col("variable_name").isin(sorted({r[1] for r in spec}))
+    named = fact.filter(listed).join(spec_table(spark, spec), SPEC_KEYS)
     rows = named.select(
         "location_id", F.col("field").alias("variable"),
         S.bucket_name({c: F.col(c) for c in DEMOGRAPHICS}).alias("bucket"), F.col("dt").alias("date"), "value",
