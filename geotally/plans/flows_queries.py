@@ -8,11 +8,55 @@ from geotally.model import POINT, SERIES, STATIC, Dataset, flatten
 from geotally.operators import combine as C, levels as LV, publish as PB, quality as Q, rt as RT
 from geotally.plans import bindings as B, flow as FL
 from geotally.plans.catalog import query
-from geotally.plans.joins_queries import DEFINITION, source_tags, sparse_sources, static_sources
+from geotally.plans.filters_queries import FLAT
+from geotally.plans.joins_queries import DEFINITION, MISSING, PRIO, STATICS, source_tags, sparse_sources, static_sources
 from geotally.plans.rollups_queries import rounded
+from geotally.plans.windows_queries import P, PK, R, spread_ctes, zscore_sql
 
 D = datetime.date
 
+TAG_COLS = "location_id, variable, bucket"
+RW = R(5, "INTERVAL 1 DAY PRECEDING")
+
+# The same run as SQL, step by step: merge, running total, rule, future, ratio tail, stalled tail
+# with the calendar of the state, incidents, outliers. Tables f1..f6 are the observations after
+# each step, t0..t5 the tags it adds.
+FLOW = f"""sx AS MATERIALIZED ({MISSING}), pr AS (SELECT * FROM {PRIO}), rk AS (SELECT sx.*, split_part(bucket, ':', 1) AS distribution, pr.prio FROM sx JOIN pr USING (variable, source)),
+ wn AS (SELECT location_id, variable, distribution, MIN(prio) AS prio FROM rk GROUP BY 1, 2, 3),
+ mo AS MATERIALIZED (SELECT {PK}, value FROM rk JOIN wn USING (location_id, variable, distribution, prio)),
+ t0 AS (SELECT DISTINCT a.location_id, a.variable, 'all' AS bucket, 'provenance' AS tag_type, 'src_' || a.source AS content FROM srcall a JOIN pr USING (variable, source) JOIN wn ON wn.location_id = a.location_id AND wn.variable = a.variable AND wn.distribution = 'all' AND wn.prio = pr.prio),
+ {STATICS}, sprio AS (SELECT * FROM (VALUES ('population', 'orders', 0), ('population', 'customers', 1), ('balance', 'customers', 0)) AS v(attr, source, prio)),
+ mst AS (SELECT location_id, attr, arg_min(num, prio) AS num FROM sp JOIN sprio USING (attr, source) GROUP BY 1, 2),
+ m0 AS MATERIALIZED (SELECT * FROM mo UNION ALL SELECT location_id, 'total_orders', 'all', date, SUM(value) OVER ({P} ROWS UNBOUNDED PRECEDING) FROM mo WHERE bucket = 'all'),
+ rule AS MATERIALIZED (SELECT * FROM m0 WHERE bucket = 'all' AND variable = 'n_orders' AND location_id LIKE 'iso1:us#iso2:us-al%' AND date BETWEEN DATE '1996-01-01' AND DATE '1996-03-01'),
+ f1 AS MATERIALIZED (SELECT * FROM m0 ANTI JOIN rule USING ({PK})),
+ t1 AS (SELECT DISTINCT {TAG_COLS}, 'known_issue' AS tag_type, '{{"public_note":"late","date":"1996-01-01"}}' AS content FROM rule),
+ f2 AS MATERIALIZED (SELECT * FROM f1 WHERE date <= DATE '2001-01-01'),
+ t2 AS (SELECT DISTINCT {TAG_COLS}, 'drop_future_observation' AS tag_type, '{{"after":"2001-01-01"}}' AS content FROM f1 WHERE date > DATE '2001-01-01'),
+ rec AS (SELECT * FROM f2 WHERE variable = 'n_orders' AND date > (SELECT MAX(date) FROM f2) - 10), {spread_ctes('rec', name='rsp')},
+ rdf AS (SELECT {PK}, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN abs(value - LAG(value) OVER ({P})) END AS diff FROM f2 WHERE variable = 'n_orders'),
+ rz AS (SELECT {PK}, raw, value AS x, AVG(value) OVER ({RW}) AS av, MIN(value) OVER ({RW}) AS mn, MAX(value) OVER ({RW}) AS mx, stddev_pop(value) OVER ({RW}) AS sd, COUNT(value) OVER ({RW}) AS n FROM rsp),
+ ry AS (SELECT *, CASE WHEN mn = mx THEN mn ELSE av END AS m, CASE WHEN mn = mx THEN 0 ELSE sd END AS s FROM rz),
+ rl AS (SELECT *, MAX(date) FILTER (n >= 3 AND (s > 0 OR x <> m)) OVER (PARTITION BY {TAG_COLS}) AS last_d FROM ry),
+ hit AS MATERIALIZED (SELECT {PK}, raw FROM rl JOIN rdf USING ({PK}) WHERE date = last_d AND n >= 3 AND abs(x - m) > 10 * s AND diff > 0.015),
+ f3 AS MATERIALIZED (SELECT * FROM f2 ANTI JOIN hit USING ({PK})),
+ t3 AS (SELECT {TAG_COLS}, 'zscore_outlier' AS tag_type, '{{"date": "' || date || '", "original_observation": ' || raw || '}}' AS content FROM hit),
+ cal AS (SELECT parent_id, MIN(date) AS lo, MAX(date) AS hi FROM f3 JOIN parent USING (location_id) GROUP BY 1),
+ ta AS (SELECT f3.*, hi, hi - lo + 1 AS n_days, hi - date + 1 AS pos, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN value - LAG(value) OVER ({P}) END AS diff FROM f3 JOIN parent USING (location_id) JOIN cal USING (parent_id) WHERE variable = 'total_orders'),
+ tm AS (SELECT *, AVG(diff) FILTER (pos BETWEEN 15 AND 28) OVER (PARTITION BY {TAG_COLS}) AS mean FROM ta),
+ ts AS (SELECT *, MIN(pos) FILTER (pos <= 14 AND diff >= floor(mean / 100)) OVER (PARTITION BY {TAG_COLS}) AS stop FROM tm),
+ tu AS (SELECT *, COUNT(*) FILTER (pos <= 14 AND diff IS NOT NULL AND pos < COALESCE(stop, 15)) OVER (PARTITION BY {TAG_COLS}) AS under, COALESCE(stop, 15) - 1 AS cut FROM ts),
+ tc AS (SELECT *, n_days >= 28 AND mean IS NOT NULL AND under > 0 AS truncated FROM tu),
+ f4 AS MATERIALIZED (SELECT {PK}, value FROM tc WHERE NOT (truncated AND pos <= cut) UNION ALL SELECT * FROM f3 WHERE variable <> 'total_orders'),
+ t4 AS (SELECT {TAG_COLS}, CASE WHEN any_value(under) < 8 THEN 'cumulative_tail_truncated' ELSE 'cumulative_long_tail_truncated' END AS tag_type,
+   '{{"date": "' || (any_value(hi) - CAST(any_value(cut) AS INTEGER)) || '", "original_observation": ' || COALESCE(CAST(MAX(value) FILTER (pos = cut) AS VARCHAR), 'NaN') || '}}' AS content FROM tc WHERE truncated GROUP BY 1, 2, 3),
+ inc AS MATERIALIZED (SELECT location_id, 'new_orders' AS variable, bucket, date, CASE WHEN diff = -1 THEN 0 ELSE diff END AS value FROM (SELECT *, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN value - LAG(value) OVER ({P}) END AS diff FROM f4 WHERE variable = 'total_orders') WHERE diff >= 0 OR diff = -1),
+ {zscore_sql('inc')}, zo AS MATERIALIZED (SELECT {PK}, raw, COALESCE(abs(x - mean) > 8 * std, false) AND raw > 30 AS outlier FROM z),
+ f6 AS MATERIALIZED (SELECT * FROM f4 UNION ALL SELECT {PK}, raw FROM zo WHERE NOT outlier),
+ t5 AS (SELECT {TAG_COLS}, 'zscore_outlier' AS tag_type, '{{"date": "' || date || '", "original_observation": ' || raw || '}}' AS content FROM zo WHERE outlier)"""
+
+TAGS = " UNION ALL ".join(f"SELECT * FROM t{i}" for i in range(6))
+
 
 def merged(spark, d):
     return FL.merge(
@@ -34,19 +78,28 @@ def cumulated(spark, d):
     return ds.with_obs(ds.obs.unionByName(total))
 
 
-@query("merge_clean_flow")
+@query("merge_clean_flow", f"""
+WITH {FLOW}, o AS (SELECT * FROM f6), s AS (SELECT location_id, attr, num, CAST(NULL AS VARCHAR) AS str FROM mst), t AS ({TAGS}) {FLAT}""")
 def _(spark, d):
     out, _ = FL.clean(cumulated(spark, d), B.geo(spark, d), B.parent(spark, d), None, config())
     return flatten(out)
 
 
-@query("clean_touched_flow")
+@query("clean_touched_flow", f"""
+WITH {FLOW}, tk AS (SELECT DISTINCT {TAG_COLS} FROM rule), o AS (SELECT m0.* FROM m0 SEMI JOIN tk USING ({TAG_COLS})), s AS (SELECT location_id, attr, num, CAST(NULL AS VARCHAR) AS str FROM mst WHERE false),
+ t AS (SELECT t0.* FROM t0 SEMI JOIN tk USING ({TAG_COLS}) UNION ALL SELECT * FROM t1) {FLAT}""")
 def _(spark, d):
     _, touched = FL.clean(cumulated(spark, d), B.geo(spark, d), B.parent(spark, d), None, config())
     return flatten(touched)
 
 
-@query("update_flow")
+@query("update_flow", f"""
+WITH {FLOW}, hs AS (SELECT m.location_id, 'n_orders_hsa' AS variable, 'all' AS bucket, h.date, h.value FROM (SELECT hsa, date, SUM(value) AS value FROM f6 JOIN hsamap USING (location_id) WHERE variable = 'n_orders' AND bucket = 'all' GROUP BY 1, 2) h JOIN hsamap m USING (hsa)),
+ f7 AS MATERIALIZED (SELECT * FROM f6 UNION ALL SELECT * FROM hs), wgt AS (SELECT location_id, num AS w FROM mst WHERE attr = 'population'),
+ cw AS (SELECT m.location_id, m.parent_id, w, SUM(w) OVER (PARTITION BY m.parent_id) AS tot FROM cbsamap m LEFT JOIN wgt USING (location_id)), uw AS (SELECT g.location_id, w, SUM(w) OVER () AS tot FROM geo g LEFT JOIN wgt USING (location_id) WHERE level = 'county')
+SELECT {PK}, round(value, 6) AS value FROM f7
+UNION ALL SELECT parent_id, variable, 'all', date, round(SUM(value), 6) FROM f7 JOIN cw USING (location_id) WHERE bucket = 'all' GROUP BY 1, 2, 4 HAVING SUM(w) / MAX(tot) >= 0.5
+UNION ALL SELECT 'iso1:us', variable, 'all', date, round(SUM(value), 6) FROM f7 JOIN uw USING (location_id) WHERE bucket = 'all' GROUP BY 2, 4 HAVING SUM(w) / MAX(tot) >= 0.5""")
 def _(spark, d):
     out, _ = FL.clean(cumulated(spark, d), B.geo(spark, d), B.parent(spark, d), None, config())
     all_ = FL.roll_up(out, B.hsamap(spark, d), B.cbsamap(spark, d), B.counties(spark, d), config(), hsa_fields={"n_orders": "n_orders_hsa"})
