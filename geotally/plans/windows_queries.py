@@ -145,9 +145,9 @@ def _(spark, d):
     return O.trim_trailing_zeros(trailing(spark, d), drop_all_zero=False)
 
 
-def gauss_sql(src, half=9, sigma=5.0, n=5):
+def gauss_sql(src, half=9, sigma=5.0, n=5, digits=6):
     return f"""WITH {DENSE0.format(src=src)}
-SELECT d0.location_id, d0.variable, d0.bucket, d0.date, CASE WHEN COUNT(e.value) >= {n} THEN round(SUM(exp(-0.5 * power((e.date - d0.date) / {sigma}, 2)) * e.value) / SUM(exp(-0.5 * power((e.date - d0.date) / {sigma}, 2))), 6) END AS value
+SELECT d0.location_id, d0.variable, d0.bucket, d0.date, CASE WHEN COUNT(e.value) >= {n} THEN round(SUM(exp(-0.5 * power((e.date - d0.date) / {sigma}, 2)) * e.value) / SUM(exp(-0.5 * power((e.date - d0.date) / {sigma}, 2))), {digits}) END AS value
 FROM d0 LEFT JOIN {src} e ON e.location_id = d0.location_id AND e.variable = d0.variable AND e.bucket = d0.bucket AND e.date BETWEEN d0.date - {half} AND d0.date + {half} GROUP BY 1, 2, 3, 4"""
 
 
