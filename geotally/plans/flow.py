@@ -23,13 +23,20 @@ class Config:
     as_of: datetime.date
     rules: list[Q.Rule] = field(default_factory=list)
     cumulative: list[str] = field(default_factory=lambda: list(Q.CUMULATIVE_FIELDS))
-    zero_fields: list[str] = field(default_factory=lambda: ["test_positivity_7d"])
+    zero_fields: list[str] = field(default_factory=lambda: [
+        "vaccines_distributed", "vaccines_administered", "vaccinations_completed", "vaccinations_initiated",
+        "vaccinations_additional_dose", "vaccinations_2022_fall_bivalent_dose"])
     ratio: str = "test_positivity_7d"
     incidents: dict[str, str] = field(default_factory=lambda: {"cases": "new_cases", "deaths": "new_deaths"})
     weekly: dict[str, str] = field(default_factory=lambda: {"new_hospital_admissions_covid": "weekly_new_hospital_admissions_covid"})
+    weekly_level: str = "state"
     estimate: tuple[str, str] | None = ("vaccinations_initiated", "vaccinations_completed")
     spread_ranges: list[tuple[str, datetime.date, datetime.date]] = field(default_factory=list)
     outliers: dict[str, tuple] = field(default_factory=lambda: {"new_cases": Q.HIGHER_AFTER, "new_deaths": None})
+    outlier_skip: str = "level = 'county' and state = 'FL'"
+    fill_static: str | None = None
+    city: tuple[str, str] | None = None
+    replace: tuple[str, str] | None = None
     coverage: float = RU.COVERAGE
 
 
@@ -38,11 +45,13 @@ def stored(ds: Dataset, name: str) -> Dataset:
 
 
 def merge(obs: DataFrame, tags: DataFrame, static: DataFrame, features: dict, static_features: dict) -> Dataset:
-    """Priority merge of stacked sources (each table with a ``source`` column)."""
+    """Priority merge of stacked sources (each table with a ``source`` column), written as a table
+    because observations, tags and every cleaning step read it."""
     spark = obs.sparkSession
     points, kept = C.combine_by_priority(obs, tags, C.feature_priorities(spark, features))
     attrs = C.combine_static_by_priority(static, C.feature_priorities(spark, static_features))
-    return Dataset(points.select(*POINT, "value"), attrs.select(*STATIC), kept)
+    ds = stored(Dataset(points, attrs.select(*STATIC), kept), "merged")
+    return ds.with_static(materialize(ds.static, "merged-static"))
 
 
 def calendar_scope(obs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -56,8 +65,10 @@ def calendar_scope(obs: DataFrame, parents: DataFrame) -> DataFrame:
 
 def clean(ds: Dataset, geo: DataFrame, parents: DataFrame, anomalies: DataFrame | None, cfg: Config) -> tuple[Dataset, Dataset]:
     """Fixed order: manual rules, future values, ratio tails, stalled tails, zeros, estimates,
-    incidents, weekly sums, spread ranges, anomalies, outliers, population. Returns the cleaned
-    dataset and the series that the manual rules touched."""
+    incidents, weekly sums, spread ranges, anomalies, outliers, population, then the configured
+    special regions: ``fill_static`` (a parent whose missing attributes are sums over its
+    children), ``city`` (predicate of its members, id) and ``replace`` (parent, child). Returns the
+    cleaned dataset and the series that the manual rules touched."""
     before = ds
     if cfg.rules:
         ds = stored(Q.manual_filter(ds, geo, cfg.rules), "manual")
@@ -74,17 +85,26 @@ def clean(ds: Dataset, geo: DataFrame, parents: DataFrame, anomalies: DataFrame
         ds = M.estimate_from_parent_ratio(ds, parents, target, known, cfg.as_of, f"estimate_{target}")
     ds = stored(ds, "tails")
     obs = ds.obs.unionByName(WN.incident_from_cumulative(ds.obs, cfg.incidents))
-    weekly = WN.rolling_sum(ds.obs.filter(F.col("variable").isin(list(cfg.weekly)))) if cfg.weekly else None
-    if weekly is not None:
-        obs = obs.unionByName(M.rename_variable(weekly, cfg.weekly).select(*POINT, "value"))
+    if cfg.weekly:
+        level = geo.filter(F.col("level") == cfg.weekly_level).select("location_id")
+        daily = ds.obs.filter(F.col("variable").isin(list(cfg.weekly))).join(level, "location_id", "left_semi")
+        obs = obs.unionByName(M.rename_variable(WN.rolling_sum(daily), cfg.weekly).select(*POINT, "value"))
     ds = ds.with_obs(obs)
     for variable, start, end in cfg.spread_ranges:
         ds = ds.with_obs(WN.patch_date_range_spread(ds.obs, F.col("variable") == variable, start, end))
     if anomalies is not None:
         ds = Q.anomaly_filter(ds, anomalies)
     for variable, later in cfg.outliers.items():
-        ds = Q.drop_series_outliers(ds, variable, 8.0, later)
-    return stored(filters.drop_regions_without_population(ds), "clean"), touched
+        ds = Q.drop_series_outliers(ds, variable, 8.0, later, skip=geo.filter(cfg.outlier_skip))
+    ds = stored(filters.drop_regions_without_population(ds), "clean")
+    if cfg.fill_static:
+        children = parents.filter(F.col("parent_id") == cfg.fill_static)
+        ds = ds.with_static(RU.fill_static_from_children(ds.static, children))
+    if cfg.city:
+        ds = RU.rollup_to_one(ds, geo.filter(cfg.city[0]), cfg.city[1])
+    if cfg.replace:
+        ds = RU.replace_region_from_parent(ds, *cfg.replace)
+    return ds, touched
 
 
 def roll_up(ds: Dataset, hsa_map: DataFrame, cbsa_map: DataFrame, members: DataFrame, cfg: Config, weighted: dict | None = None, hsa_fields: dict = RU.HSA_FIELDS) -> Dataset:

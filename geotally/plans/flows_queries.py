@@ -10,7 +10,9 @@ from geotally.plans import bindings as B, flow as FL
 from geotally.plans.catalog import query
 from geotally.plans.filters_queries import FLAT
 from geotally.plans.joins_queries import DEFINITION, MISSING, PRIO, STATICS, source_tags, sparse_sources, static_sources
+from geotally.plans.measures_queries import CD, LR, OVERALL, RT as RISK_RT, TC, TOTAL, TP, TT, carry_sql
 from geotally.plans.rollups_queries import rounded
+from geotally.plans.rt_queries import ALL
 from geotally.plans.windows_queries import P, PK, R, spread_ctes, zscore_sql
 
 D = datetime.date
@@ -106,7 +108,16 @@ def _(spark, d):
     return rounded(all_.obs)
 
 
-@query("metrics_flow")
+METRICS = f"""{ALL}, {spread_ctes('gd')}, gp AS (SELECT parent_id AS location_id, SUM(population) AS population FROM upop JOIN uparent USING (location_id) GROUP BY 1),
+ den AS (SELECT x.location_id, x.date, AVG(x.value) OVER (PARTITION BY x.location_id ORDER BY x.date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) / (population / 100000) AS v FROM spread x JOIN gp USING (location_id)),
+ mt AS MATERIALIZED (SELECT location_id, date, round_even(v, 1) AS "caseDensity", round_even(v * 7, 1) AS "weeklyNewCasesPer100k", CAST(NULL AS DOUBLE) AS "testPositivityRatio", round_even(composite, 2) AS "infectionRate", round_even(ci95 - composite, 2) AS "infectionRateCI90" FROM den LEFT JOIN rtc USING (location_id, date)),
+ late AS (SELECT location_id, date, "caseDensity", "testPositivityRatio", FIRST_VALUE("infectionRate") OVER ({LR(7, 'INTERVAL 7 DAYS PRECEDING')}) AS "infectionRate" FROM mt),
+ rc AS (SELECT location_id, date, {carry_sql('caseDensity', 'testPositivityRatio', 'infectionRate')} FROM late), rv AS (SELECT location_id, date, {CD} AS cd, {TP} AS tp, {RISK_RT} AS rt FROM rc),
+ tr AS (SELECT location_id, date, {carry_sql('caseDensity', 'testPositivityRatio')} FROM mt), tl AS (SELECT location_id, date, {TC} AS a, {TT} AS b FROM tr)"""
+
+
+@query("metrics_flow", f"""
+WITH RECURSIVE {METRICS} SELECT mt.*, {OVERALL} AS overall, cd AS "caseDensityLevel", {TOTAL} AS "cdcTransmissionLevel" FROM mt JOIN rv USING (location_id, date) JOIN tl USING (location_id, date)""")
 def _(spark, d):
     """Events per group to Rt, metrics, risk and transmission levels, one row per day."""
     new = B.evp(spark, d).groupBy("location_id", "date").agg(F.sum("value").alias("value")).select(

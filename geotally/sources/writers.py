@@ -49,8 +49,12 @@ def write_wide_dates(ds: Dataset, path: str, dates: list, tag_types: dict[str, i
 
 
 def snapshot(ds: Dataset, path: str) -> None:
-    """Parquet per table; observations in one folder per variable, so a variable filter prunes files."""
-    ds.obs.repartition("variable", F.pmod(F.hash("location_id"), F.lit(64))).write.partitionBy("variable").parquet(f"{path}/obs")
+    """Parquet per table; observations in one folder per variable, so a variable filter prunes files.
+
+    The rebalance hint lets AQE split a large variable into files of the advisory size and merge
+    small ones, so file sizes follow the data.
+    """
+    ds.obs.hint("rebalance", "variable").write.partitionBy("variable").parquet(f"{path}/obs")
     ds.static.write.parquet(f"{path}/static")
     ds.tags.write.parquet(f"{path}/tags")
 
@@ -93,11 +97,10 @@ def bulk_file(level: Column, kind: str = "json", timeseries: bool = False, state
 def region_json(regions: DataFrame, path: str) -> None:
     """One JSON record per region under level and state folders; unset fields are left out.
 
-    A state folder is spread over several files, so that one large state is no single task.
+    The rebalance hint lets AQE split one large state over several files.
     """
-    rows = regions.withColumn("_state", F.coalesce("state", F.lit("all")))
-    spread = rows.repartition("level", "_state", F.pmod(F.hash("location_id"), F.lit(8)))
-    spread.withColumns({"_level": F.col("level")}).write.partitionBy("_level", "_state").json(path)
+    rows = regions.withColumns({"_state": F.coalesce("state", F.lit("all")), "_level": F.col("level")})
+    rows.hint("rebalance", "_level", "_state").write.partitionBy("_level", "_state").json(path)
 
 
 def flatten_struct(df: DataFrame, order: list[str] | None = None) -> DataFrame:
