@@ -257,13 +257,13 @@ def _(spark, d):
     return x.orderBy(F.desc("total"), "l_orderkey").limit(20)
 
 
-@query("set_difference", "SELECT location_id, date FROM srcall WHERE source = 'F' EXCEPT SELECT location_id, date FROM srcall WHERE source = 'P'")
+@query("difference", "SELECT location_id, date FROM srcall WHERE source = 'F' EXCEPT SELECT location_id, date FROM srcall WHERE source = 'P'")
 def _(spark, d):
     k = ["location_id", "date"]
     return one_source(spark, d, "F").select(*k).distinct().join(one_source(spark, d, "P").select(*k), k, "left_anti")
 
 
-@query("set_intersection", "SELECT location_id, date FROM srcall WHERE source = 'F' INTERSECT SELECT location_id, date FROM srcall WHERE source = 'P'")
+@query("intersection", "SELECT location_id, date FROM srcall WHERE source = 'F' INTERSECT SELECT location_id, date FROM srcall WHERE source = 'P'")
 def _(spark, d):
     k = ["location_id", "date"]
     return one_source(spark, d, "F").select(*k).distinct().join(one_source(spark, d, "P").select(*k), k, "left_semi")

@@ -140,8 +140,9 @@ HIST = """h AS (SELECT location_id AS state, date, SUM(value) FILTER (variable =
 
 
 @query("scan_historical_state", f"""
-WITH {HIST} SELECT a.state, a.date, a.name, CASE WHEN COUNT(b.value) >= 5 THEN round(SUM(exp(-0.5 * power((b.date - a.date) / 5.0, 2)) * b.value) / SUM(CASE WHEN b.value IS NOT NULL THEN exp(-0.5 * power((b.date - a.date) / 5.0, 2)) END), 6) END AS value
-FROM f a JOIN f b ON a.state = b.state AND a.name = b.name AND b.date BETWEEN a.date - 9 AND a.date + 9 WHERE a.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY 1, 2, 3""")
+WITH {HIST}, dn AS (SELECT x.state, x.name, CAST(t AS DATE) AS date FROM (SELECT state, name, MIN(date) AS lo, MAX(date) AS hi FROM f GROUP BY 1, 2) x, generate_series(lo, hi, INTERVAL 1 DAY) g(t))
+SELECT a.state, a.date, a.name, CASE WHEN COUNT(b.value) >= 5 THEN round(SUM(exp(-0.5 * power((b.date - a.date) / 5.0, 2)) * b.value) / SUM(CASE WHEN b.value IS NOT NULL THEN exp(-0.5 * power((b.date - a.date) / 5.0, 2)) END), 6) END AS value
+FROM dn a JOIN f b ON a.state = b.state AND a.name = b.name AND b.date BETWEEN a.date - 9 AND a.date + 9 WHERE a.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY 1, 2, 3""")
 def _(spark, d):
     wide = L.to_wide_variables(B.evcum(spark, d), ["purchase", "view"], ["location_id", "date"]).withColumnRenamed("location_id", "state")
     fixes = spark.createDataFrame([("iso1:us#hsa:003", D(2024, 1, 12), "nC", 100.0)], "state string, date date, name string, value double")

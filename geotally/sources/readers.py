@@ -138,7 +138,9 @@ def historical_state(
     tall = rows.select("state", "date", *[c.alias(n) for n, c in cols.items()]).unpivot(["state", "date"], names, "name", "value")
     fixed = tall.join(corrections.withColumnRenamed("value", "_fix"), ["state", "date", "name"], "left").select(
         "state", "date", "name", F.coalesce("_fix", "value").alias("value"))
-    smooth = WN.gaussian_smooth(fixed, by=["state", "name"])
+    series = fixed.select(F.col("state").alias("location_id"), F.col("name").alias("variable"), F.lit("all").alias("bucket"), "date", "value")
+    smooth = WN.gaussian_smooth(L.densify_per_series(series)).select(
+        F.col("location_id").alias("state"), "date", F.col("variable").alias("name"), "value")
     return smooth.filter(F.col("date").between(F.lit(start), F.lit(end)))
 
 
