@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from geotally.llm import exact_dedup, mixing, quality
+from geotally.llm import exact_dedup, mixing, near_dedup, packing, quality
 from geotally.llm.common import documents
 from geotally.llm.registry import ORACLE, QUERIES, pipeline, query
 
@@ -32,3 +33,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from t window w as (partition by text_sha256 order by points desc, doc_id)""")
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir), hash_all=True)
+
+
+@query("op6_minhash_dedup")
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir), width=2)
+
+
+@query("op2_pack_sequences")
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
