@@ -30,7 +30,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = norm.select("id", "norm", F.length("text").alias("n_points"), F.length("norm").alias("norm_len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("prefix_hash"))
     keys = materialize(rows.drop("norm"), "exact-keys")
     lengths = keys.groupBy("norm_len").count().filter("count > 1").select("norm_len")
-    survivors = keys.join(lengths, "norm_len", "left_semi").groupBy(*KEYS).count().filter("count > 1").select(*KEYS, F.lit(True).alias("survives"))
+    # rows of a length meet as counts by prefix hash, so a length that many rows have is no burden
+    survivors = keys.groupBy(*KEYS).count().join(lengths, "norm_len", "left_semi").filter("count > 1").select(*KEYS, F.lit(True).alias("survives"))
     # whole texts: only those of surviving groups are hashed
     whole = F.sha2("norm", 256)
     read = rows.join(survivors, KEYS, "left").select(
