@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from geotally.llm import exact_dedup, mixing, near_dedup, packing, quality
+from geotally.llm import exact_dedup, language, mixing, near_dedup, packing, quality, toxicity
 from geotally.llm.common import documents
 from geotally.llm.registry import ORACLE, QUERIES, pipeline, query
 
@@ -43,3 +43,19 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_pack_sequences")
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    held_out = language.fold("doc_id", 5) == 0
+    fitted = toxicity.fit(docs.filter(~held_out), labels.filter(~held_out))
+    return toxicity.rated(docs, fitted).select("doc_id", held_out.alias("held_out"), "score", "predicted", "threshold", "flagged")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = language.fold("doc_id", 3) == 1
+    model = language.fit(docs.filter(~held_out))
+    return language.identified(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
