@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from geotally.llm import exact_dedup, language, mixing, near_dedup, packing, quality, toxicity
+from geotally.llm import exact_dedup, language, mixing, near_dedup, packing, quality, substring_dedup, toxicity
 from geotally.llm.common import documents
 from geotally.llm.registry import ORACLE, QUERIES, pipeline, query
 
@@ -59,3 +59,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.fold("doc_id", 3) == 1
     model = language.fit(docs.filter(~held_out))
     return language.identified(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(documents(spark, sf_dir))
