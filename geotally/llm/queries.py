@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geotally.llm import exact_dedup, language, mixing, near_dedup, packing, quality, substring_dedup, toxicity
+from geotally.llm import exact_dedup, language, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
 from geotally.llm.common import documents
 from geotally.llm.registry import ORACLE, QUERIES, pipeline, query
 
@@ -64,3 +64,42 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_substring_dedup")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(documents(spark, sf_dir))
+
+
+@query("op3_warc_revisits", r"""
+    with page as (
+        select page_id, html, coalesce(html, '') as body, url, trim(url) as u,
+               '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:[?]([^#]*))?' as parts,
+               page_id + (select floor(max(page_id) / 2) from pages) + 1 as again
+        from pages),
+    split as (
+        select *, regexp_replace(lower(regexp_extract(u, parts, 1)), '^(www[0-9]?|m)[.]|:(80|443)?$', '', 'g') as host,
+               regexp_replace(regexp_extract(u, parts, 2), '/+$', '') as path,
+               list_sort(list_filter(string_split(regexp_extract(u, parts, 3), '&'), lambda f: f <> '' and not regexp_matches(lower(f), '^(utm_[a-z_]+|ref|fbclid|gclid|sid|sessionid|phpsessionid|jsessionid)(=|$)'))) as fields
+        from page),
+    named as (
+        select *, case when regexp_matches(u, parts) then host || path || case when len(fields) > 0 then '?' || array_to_string(fields, '&') else '' end end as canonical_url,
+               length(body) as modified, md5(body) as tag
+        from split),
+    latest as (
+        select r.page_id, r.canonical_url, r.again, r.tag, r.modified, r.url, f.page_id as found, f.tag as old_tag, f.modified as old_modified, f.url as old_url, f.body as old_body,
+               row_number() over (partition by r.page_id order by f.page_id desc) as nth
+        from named r left join named f on f.canonical_url = r.canonical_url and f.page_id < r.again and f.html is not null),
+    judged as (
+        select *, length(coalesce(url, '')) % 3 <> 0 as tagged, length(coalesce(old_url, '')) % 3 <> 0 as old_tagged,
+               case when found is null then 'unresolved' when tagged and old_tagged and tag <> old_tag then 'mismatch'
+                    when not tagged and not old_tagged and modified <> old_modified then 'mismatch' else 'resolved' end as status
+        from latest where nth = 1)
+    select 'revisit-' || page_id as record_id, canonical_url, again::bigint as at, 'response-' || found as refers_to, status,
+           case when status = 'resolved' then sha256(old_body) end as body_sha256,
+           case when status = 'resolved' then 'text/html' end as content_type,
+           case when status = 'resolved' then 'again ' || page_id end as date
+    from judged""")
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(warc.records_of_pages(documents(spark, sf_dir, "pages")))
+    return resolved.select("record_id", "canonical_url", "at", "refers_to", "status", F.sha2("body", 256).alias("body_sha256"), F.col("headers")["content-type"].alias("content_type"), F.col("headers")["date"].alias("date"))
+
+
+@query("op4_license_scan", licenses.oracle_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
