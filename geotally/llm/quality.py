@@ -84,8 +84,18 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, summed["sum"]).otherwise(F.lit(1.0))
 
 
-def _stratum(df: DataFrame, stratum: str) -> DataFrame:
-    return df.withColumns({"no_stratum": F.col(stratum).isNull(), "stratum": empty_if_null(F.col(stratum).cast("string"))})
+BY = ["no_stratum", "stratum"]
+#: Parts of a stratum's rows in joins to its cutoffs, so that one of most rows is spread.
+SALTS = 256
+
+
+def _stratum(df: DataFrame, stratum: str, id_col: str) -> DataFrame:
+    """``df`` with the columns BY and salt."""
+    return df.withColumns({"no_stratum": F.col(stratum).isNull(), "stratum": empty_if_null(F.col(stratum).cast("string")), "salt": F.pmod(order_hash(id_col, 78), F.lit(SALTS))})
+
+
+def _per_salt(few: DataFrame) -> DataFrame:
+    return few.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
 def certified_cutoffs(features: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.01, delta: float = 0.05, ladder: tuple[float, ...] = LADDER, id_col: str = "doc_id") -> DataFrame:
@@ -103,34 +113,34 @@ def certified_cutoffs(features: DataFrame, labels: DataFrame, stratum: str = "la
     document count once. A table of features or labels without rows gives no rows.
     """
     good = labels.filter("quality = 1").select(F.col(id_col).alias("__id")).distinct()
-    rows = _stratum(features.filter(~base_failed()), stratum).join(good, F.col(id_col) == F.col("__id"))
-    rows = rows.select("no_stratum", "stratum", (F.pmod(order_hash(id_col, 77), F.lit(2)) == 0).alias("fits"), *[F.expr(e).alias(r) for r, e in RULES.items()])
+    rows = _stratum(features.filter(~base_failed()), stratum, id_col).join(good, F.col(id_col) == F.col("__id"))
+    rows = rows.select(*BY, "salt", (F.pmod(order_hash(id_col, 77), F.lit(2)) == 0).alias("fits"), *[F.expr(e).alias(r) for r, e in RULES.items()])
     rows = materialize(rows, "quality-good")
-    by, shares = ["no_stratum", "stratum"], F.array(*[F.lit(1 - s) for s in ladder])
-    steps = rows.filter("fits").groupBy(*by).agg(*[F.percentile_approx(r, shares, 100_000).alias(r) for r in RULES])
-    tested = rows.filter("not fits").join(steps.select(*by, *[F.col(r).alias(f"at_{r}") for r in RULES]), by)
+    shares = F.array(*[F.lit(1 - s) for s in ladder])
+    steps = rows.filter("fits").groupBy(*BY).agg(*[F.percentile_approx(r, shares, 100_000).alias(r) for r in RULES])
+    tested = rows.filter("not fits").join(_per_salt(steps.select(*BY, *[F.col(r).alias(f"at_{r}") for r in RULES])), [*BY, "salt"])
     over = lambda i: F.greatest(*[(F.col(r) > F.get(f"at_{r}", F.lit(i))).cast("int") for r in RULES])
-    counts = tested.groupBy(*by).agg(F.count("*").alias("n"), F.array(*[F.sum(over(i)) for i in range(len(ladder))]).alias("lost"))
+    counts = tested.groupBy(*BY).agg(F.count("*").alias("n"), F.array(*[F.sum(over(i)) for i in range(len(ladder))]).alias("lost"))
     family = counts.agg(F.count("*").alias("strata"))
     level = F.lit(delta) / F.col("strata")
     # strata is one number, so this join adds a column
     judged = counts.join(F.broadcast(family), F.lit(True)).withColumn("holds", F.transform("lost", lambda k: binomial_tail(k, F.col("n"), alpha) <= level))
     passed = F.coalesce(F.nullif(F.array_position("holds", False), F.lit(0).cast("long")) - 1, F.lit(len(ladder)).cast("long")).cast("int")
     judged = judged.withColumn("step", passed).filter("step > 0")
-    return judged.join(steps, by).select(*by, "n", "step", F.get("lost", F.col("step") - 1).alias("lost"), *[F.get(r, F.col("step") - 1).alias(f"max_{r}") for r in RULES])
+    return judged.join(steps, BY).select(*BY, "n", "step", F.get("lost", F.col("step") - 1).alias("lost"), *[F.get(r, F.col("step") - 1).alias(f"max_{r}") for r in RULES])
 
 
-def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", **how) -> DataFrame:
+def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", **how) -> DataFrame:
     """``features`` with base_failed and kept.
 
     Kept are rows that pass the base rules and exceed no cutoff of their stratum; a null stratum is
     a stratum. ``features`` is read several times; write it first.
     """
-    cutoffs = certified_cutoffs(features, labels, stratum, **how).drop("n", "step", "lost")
-    x = _stratum(features, stratum).join(cutoffs, ["no_stratum", "stratum"], "left")
+    cutoffs = certified_cutoffs(features, labels, stratum, id_col=id_col, **how).drop("n", "step", "lost")
+    x = _stratum(features, stratum, id_col).join(_per_salt(cutoffs), [*BY, "salt"], "left")
     over = F.greatest(*[F.coalesce(F.expr(e) > F.col(f"max_{r}"), F.lit(False)) for r, e in RULES.items()])
     x = x.withColumn("base_failed", base_failed())
-    return x.withColumn("kept", ~F.col("base_failed") & ~over).drop("no_stratum", "stratum", *[f"max_{r}" for r in RULES])
+    return x.withColumn("kept", ~F.col("base_failed") & ~over).drop(*BY, "salt", *[f"max_{r}" for r in RULES])
 
 
 def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang", **how) -> DataFrame:
