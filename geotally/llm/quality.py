@@ -1,8 +1,8 @@
 """Quality rules with cutoffs that hold a limit on false rejections in every stratum.
 
 Only DataFrame functions. Rules are text features of which a high value is bad. A ladder of cutoffs
-goes from lenient to strict. On held-out documents labelled good, each step of a stratum's ladder is
-tested with the exact binomial distribution, until one fails; the last that holds is used.
+begins with the most telling one. On held-out documents labelled good, each step of a stratum's ladder is
+tested with the exact binomial distribution, until one fails; the steps before it are used.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from geotally.llm.common import WORD, empty_if_null, materialize, order_hash
 
 WINDOW = 5
+MORE = ["n_lines", "n_marks", "n_capitals"]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Features that the ladder bounds; each is a share, so that its value does not depend on length.
 RULES = {
@@ -21,8 +22,8 @@ RULES = {
     "marks": "n_marks / greatest(word_chars, 1)",
     "capitals": "n_capitals / greatest(word_chars, 1)",
 }
-#: Shares of the good fitting documents that a step of the ladder may cut off by one rule.
-LADDER = (0.0005, 0.001, 0.002, 0.003, 0.005, 0.007, 0.01, 0.02)
+#: Shares of the good fitting documents that a cutoff may lie below.
+LEVELS = (0.0005, 0.001, 0.002, 0.003, 0.005, 0.007, 0.01, 0.02)
 
 
 def _removed(text: str, characters: str) -> Column:
@@ -37,7 +38,7 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     they cover are counted from the gaps between those places. It is done only for texts whose
     windows are not all different, and no row leaves its task.
     """
-    names = [c for c in docs.columns if c not in {*BASE, "n_lines", "n_marks", "n_capitals"}]
+    names = [c for c in docs.columns if c not in {*BASE, *MORE}]
     x = docs.select(*names).withColumn("__text", empty_if_null(text_col))
     x = x.withColumns({
         "__words": F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)),
@@ -98,36 +99,62 @@ def _per_salt(few: DataFrame) -> DataFrame:
     return few.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
-def certified_cutoffs(features: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.01, delta: float = 0.05, ladder: tuple[float, ...] = LADDER, id_col: str = "doc_id") -> DataFrame:
-    """Per stratum: the step of the ladder in force and its cutoff for each rule.
+def _first_hit(ladder: str) -> Column:
+    """The place, from 1, of the first step of the ladder that the row exceeds; 0 if there is none."""
+    values = F.array(*[F.expr(e).cast("double") for e in RULES.values()])
+    return F.array_position(F.transform(ladder, lambda c: F.get(values, c["rule"]) > c["cutoff"]), True)
 
-    Good documents (quality 1) that pass the base rules are split in halves by a hash of the id. One
-    half gives the steps: per rule the quantile that cuts off the step's share. The other half tests
-    them, all rules together: a step holds if, at a rate ``alpha`` of false rejections, so few would
-    be seen with probability at most ``delta`` over the number of strata (Bonferroni). Steps are
-    tested from lenient to strict up to the first failure, which needs no further correction. So with
-    confidence 1 - delta no stratum loses more than alpha of its good documents. A stratum with too
-    few labels has no row: nothing is rejected there beyond the base rules.
 
-    Labels that are null or not 1, and rows without a label, are not used. Repeated labels of a
-    document count once. A table of features or labels without rows gives no rows.
+def certified_ladders(features: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.01, delta: float = 0.05, levels: tuple[float, ...] = LEVELS, useful: float = 10.0, id_col: str = "doc_id") -> DataFrame:
+    """Per stratum: n, lost and ladder, the cutoffs (rule, cutoff) in force.
+
+    Labelled documents that pass the base rules are split in halves by a hash of the id. In the fitting
+    half, quantiles of the good documents (quality 1) give cutoffs for every rule; each is moved up, midway
+    to the lower tenth of the bad documents (quality 0) above it. A cutoff is a step if its share of bad ones is ``useful`` times its share of good ones; the ladder takes steps
+    by this ratio, and each step rejects what it and all before it exceed. The held-out half tests
+    the ladder: a step holds if, at a rate ``alpha`` of false rejections, so few of the good would be
+    lost with a chance of at most ``delta`` over the number of strata (Bonferroni). Steps are tested in
+    turn up to the first failure, which needs no further correction. So with confidence 1 - delta no
+    stratum loses more than alpha of its good documents. A stratum without a step that holds, as
+    with too few labels, has no row: nothing is rejected there beyond the base rules.
+
+    Other labels, and rows without one, are not used. Repeated labels of a document count once (the greatest).
+    A table of features or labels without rows gives no rows.
     """
-    good = labels.filter("quality = 1").select(F.col(id_col).alias("__id")).distinct()
-    rows = _stratum(features.filter(~base_failed()), stratum, id_col).join(good, F.col(id_col) == F.col("__id"))
-    rows = rows.select(*BY, "salt", (F.pmod(order_hash(id_col, 77), F.lit(2)) == 0).alias("fits"), *[F.expr(e).alias(r) for r, e in RULES.items()])
-    rows = materialize(rows, "quality-good")
-    shares = F.array(*[F.lit(1 - s) for s in ladder])
-    steps = rows.filter("fits").groupBy(*BY).agg(*[F.percentile_approx(r, shares, 100_000).alias(r) for r in RULES])
-    tested = rows.filter("not fits").join(_per_salt(steps.select(*BY, *[F.col(r).alias(f"at_{r}") for r in RULES])), [*BY, "salt"])
-    over = lambda i: F.greatest(*[(F.col(r) > F.get(f"at_{r}", F.lit(i))).cast("int") for r in RULES])
-    counts = tested.groupBy(*BY).agg(F.count("*").alias("n"), F.array(*[F.sum(over(i)) for i in range(len(ladder))]).alias("lost"))
-    family = counts.agg(F.count("*").alias("strata"))
-    level = F.lit(delta) / F.col("strata")
-    # strata is one number, so this join adds a column
-    judged = counts.join(F.broadcast(family), F.lit(True)).withColumn("holds", F.transform("lost", lambda k: binomial_tail(k, F.col("n"), alpha) <= level))
-    passed = F.coalesce(F.nullif(F.array_position("holds", False), F.lit(0).cast("long")) - 1, F.lit(len(ladder)).cast("long")).cast("int")
-    judged = judged.withColumn("step", passed).filter("step > 0")
-    return judged.join(steps, BY).select(*BY, "n", "step", F.get("lost", F.col("step") - 1).alias("lost"), *[F.get(r, F.col("step") - 1).alias(f"max_{r}") for r in RULES])
+    rated_ids = labels.filter("quality in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("quality").alias("good"))
+    rows = _stratum(features.filter(~base_failed()), stratum, id_col).join(rated_ids, F.col(id_col) == F.col("__id"))
+    rows = rows.select(*BY, "salt", "good", (F.pmod(order_hash(id_col, 77), F.lit(2)) == 0).alias("fits"), *BASE, *MORE)
+    rows = materialize(rows, "quality-labelled")
+    # the fitting half: cutoffs, what each rejects, and their order
+    fitting, shares = rows.filter("fits"), F.array(*[F.lit(1 - s) for s in levels])
+    good = fitting.filter("good = 1").groupBy(*BY).agg(*[F.percentile_approx(F.expr(e), shares, 100_000).alias(r) for r, e in RULES.items()])
+    step = lambda k: lambda c: F.struct(F.lit(k).alias("rule"), c.cast("double").alias("cutoff"))
+    cutoffs = good.select(*BY, F.array_distinct(F.concat(*[F.transform(r, step(k)) for k, r in enumerate(RULES)])).alias("cutoffs"))
+    values = F.array(*[F.expr(e).cast("double") for e in RULES.values()])
+    exceeded = F.filter("cutoffs", lambda c: F.get(values, c["rule"]) > c["cutoff"])
+    valued = F.transform(exceeded, lambda c: F.struct(c.alias("step"), F.get(values, c["rule"]).alias("value")))
+    hits = fitting.join(_per_salt(cutoffs), [*BY, "salt"]).select(*BY, "good", F.explode(valued).alias("hit"))
+    low = F.percentile_approx(F.when(F.col("good") == 0, F.col("hit.value")), F.lit(0.1), F.lit(10_000))
+    hits = hits.groupBy(*BY, "hit.step").agg(F.sum("good").alias("lost"), F.sum(1 - F.col("good")).alias("caught"), low.alias("low"))
+    # midway to the least tenth of the bad that exceed it, so that one mark too many does no harm
+    hits = hits.withColumn("step", F.struct("step.rule", ((F.col("step.cutoff") + F.col("low")) / 2).alias("cutoff")))
+    totals = fitting.groupBy(*BY).agg(F.sum("good").alias("n_good"), F.sum(1 - F.col("good")).alias("n_bad"))
+    gain = F.try_divide(F.col("caught") * F.col("n_good"), F.col("n_bad") * (F.col("lost") + 1))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("gain")).alias("by"), "step")))
+    ladders = hits.join(totals, BY).withColumn("gain", gain).filter((F.col("gain") >= useful) & (F.col("caught") >= 3))
+    ladders = ladders.groupBy(*BY).agg(F.transform(ordered, lambda x: x["step"]).alias("ladder"))
+    # the held-out half: how many good documents each step loses
+    judged_by = rows.filter("not fits and good = 1").join(_per_salt(ladders), [*BY, "salt"]).withColumn("first", _first_hit("ladder"))
+    lost = judged_by.groupBy(*BY, "first").agg(F.count("*").alias("k"))
+    lost = lost.groupBy(*BY).agg(F.sum("k").alias("n"), F.map_from_entries(F.collect_list(F.struct("first", "k"))).alias("by_step")).join(ladders, BY)
+    upto = lambda j: F.aggregate(F.sequence(F.lit(1), j), F.lit(0).cast("long"), lambda s, i: s + F.coalesce(F.try_element_at("by_step", i.cast("long")), F.lit(0).cast("long")))
+    lost = lost.withColumn("lost", F.transform("ladder", lambda _, i: upto(i + 1)))
+    # the number of strata is one number, so this join adds a column
+    lost = lost.join(F.broadcast(ladders.agg(F.count("*").alias("strata"))), F.lit(True))
+    holds = F.transform("lost", lambda k: binomial_tail(k, F.col("n"), alpha) <= F.lit(delta) / F.col("strata"))
+    failed = F.array_position(holds, False)
+    steps = F.when(failed > 0, failed - 1).otherwise(F.size("ladder")).cast("int")
+    return lost.withColumn("steps", steps).filter("steps > 0").select(*BY, "n", F.get("lost", F.col("steps") - 1).alias("lost"), F.slice("ladder", F.lit(1), F.col("steps")).alias("ladder"))
 
 
 def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", **how) -> DataFrame:
@@ -136,11 +163,10 @@ def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", id_col
     Kept are rows that pass the base rules and exceed no cutoff of their stratum; a null stratum is
     a stratum. ``features`` is read several times; write it first.
     """
-    cutoffs = certified_cutoffs(features, labels, stratum, id_col=id_col, **how).drop("n", "step", "lost")
-    x = _stratum(features, stratum, id_col).join(_per_salt(cutoffs), [*BY, "salt"], "left")
-    over = F.greatest(*[F.coalesce(F.expr(e) > F.col(f"max_{r}"), F.lit(False)) for r, e in RULES.items()])
-    x = x.withColumn("base_failed", base_failed())
-    return x.withColumn("kept", ~F.col("base_failed") & ~over).drop(*BY, "salt", *[f"max_{r}" for r in RULES])
+    ladders = certified_ladders(features, labels, stratum, id_col=id_col, **how).select(*BY, "ladder")
+    x = _stratum(features, stratum, id_col).join(_per_salt(ladders), [*BY, "salt"], "left").withColumn("base_failed", base_failed())
+    over = F.coalesce(_first_hit("ladder"), F.lit(0)) > 0
+    return x.withColumn("kept", ~F.col("base_failed") & ~over).drop(*BY, "salt", "ladder")
 
 
 def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang", **how) -> DataFrame:
