@@ -8,7 +8,7 @@ slot by a join on their rank within their length.
 
 from __future__ import annotations
 
-import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,25 +23,23 @@ from geotally.llm.common import batches_of, bucket_bits, materialize, order_hash
 _SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Cutting before a space is safe unless the space belongs to a longer run, or ends the text.
 _UNSAFE = rf" {_SPACE}|{_SPACE} | $"
-_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters that are encoded in one call.
+_CALL = 100_000
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """The byte-level BPE of a tokenizers file, by the faster of the two libraries that read it."""
-    import tiktoken
-
-    given = json.loads(open(path, encoding="utf-8").read())
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
-    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-    special = {t["content"]: t["id"] for t in given["added_tokens"]}
-    ranks = {bytes(byte_of[c] for c in token): i for token, i in given["model"]["vocab"].items() if token not in special}
-    sizes = np.zeros(1 + max([*ranks.values(), *special.values()]), np.int64)
-    for token, i in [*ranks.items(), *((s.encode(), i) for s, i in special.items())]:
-        sizes[i] = len(token)
-    coding = tiktoken.Encoding("byte_bpe", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return (lambda text: np.asarray(coding.encode(text, allowed_special="all"), np.uint32)), sizes
+    """Encodes a text by the byte-level BPE of a tokenizers file; and the bytes that each id stands for."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+    vocabulary = tokenizer.get_vocab()
+    sizes = np.zeros(1 + max(vocabulary.values()), np.int64)
+    for token, i in vocabulary.items():  # a token has one character for each byte
+        sizes[i] = len(special[i].encode()) if i in special else len(token)
+    return (lambda text: np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)), sizes
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -74,8 +72,10 @@ def encode_texts(texts: pa.Array, path: str) -> list[np.ndarray]:
     used[codes[~skip]] = True
     place = np.cumsum(used) - 1
     known = distinct.filter(pa.array(used))
-    ids = encode("".join([" " + x for x in known.to_pylist()]))
-    ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum(pc.binary_length(known).to_numpy(zero_copy_only=False).astype(np.int64) + 1)) + 1 if len(known) else np.zeros(0, np.int64)
+    widths = pc.binary_length(known).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    calls = np.flatnonzero(np.diff(np.cumsum(widths) // _CALL, prepend=-1))
+    ids = np.concatenate([np.zeros(0, np.uint32), *[encode(" " + " ".join(known[int(a) : int(b)].to_pylist())) for a, b in zip(calls, np.append(calls[1:], len(known)))]])
+    ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum(widths)) + 1 if len(known) else np.zeros(0, np.int64)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     out = []
     for i in range(len(texts)):
