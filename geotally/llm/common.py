@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from geotally.model import materialize
 
-__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "order_hash", "bucket_bits", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of"]
+__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of"]
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,13 +35,18 @@ def bucket_bits(rows: int, per_bucket: int = 4096) -> int:
     return max(5, int(np.ceil(np.log2(max(rows, 1) / per_bucket + 1))))
 
 
+def hash_bucket(hashed: str, bits: int) -> Column:
+    """The rows of a key in buckets, in the order of the hash."""
+    return F.shiftright(F.col(hashed), 64 - bits)
+
+
 def with_running_total(df: DataFrame, keys: list[str], hashed: str, ties: list[str], value: Column, out: str, bits: int) -> DataFrame:
     """``out``: the sum of ``value`` over the rows of the same key before this one, by ``hashed`` and ``ties``.
 
     Two levels, so that a key with a third of all rows is still spread: sums of hash buckets are
     added up per key (a few rows each), and the rows of one bucket among themselves. Keys are not null.
     """
-    cut = df.withColumn("__bucket", F.shiftright(F.col(hashed), 64 - bits)).withColumn("__value", value)
+    cut = df.withColumn("__bucket", hash_bucket(hashed, bits)).withColumn("__value", value)
     sums = cut.groupBy(*keys, "__bucket").agg(F.sum("__value").alias("__sum"))
     before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     base = sums.select(*keys, "__bucket", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
