@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from geotally.model import materialize
 
-__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of"]
+__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "written", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of"]
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,14 @@ def empty_if_null(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def written(df: DataFrame, name: str, rows: int, per_file: int = 200_000) -> DataFrame:
+    """``df`` of at most about ``rows`` narrow rows as a table of so many files that each is worth opening.
+
+    The rows are dealt anew before they are written, so what makes them keeps its tasks.
+    """
+    return materialize(df.repartition(max(1, -(-rows // per_file))), name)
+
+
 def order_hash(col: str, seed: int = 0) -> Column:
     """A 64-bit value by which rows are put in an order that does not depend on how they are stored."""
     return F.xxhash64(F.lit(seed), F.col(col))

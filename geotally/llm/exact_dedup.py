@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from geotally.llm.common import SPACE, empty_if_null, materialize
+from geotally.llm.common import SPACE, empty_if_null, materialize, written
 
 KEYS = ["norm_len", "prefix_hash"]
 
@@ -38,7 +38,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", "n_points", *KEYS, F.coalesce("survives", F.lit(False)).alias("survives"),
         (whole if hash_all else F.when(F.col("survives"), whole)).alias("text_sha256"),
     )
-    read = materialize(read, "exact-digests")
+    read = written(read, "exact-digests", keys.count())
     first = F.struct((-F.col("n_points")).alias("points"), F.col("id").isNull().alias("none"), "id")
     groups = read.filter("survives").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"), F.lit(True).alias("found"))
     return read.filter("survives").join(groups, "text_sha256").unionByName(

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geotally.llm.common import WORD, bucket_bits, empty_if_null, hash_bucket, materialize, order_hash, with_running_total
+from geotally.llm.common import WORD, bucket_bits, empty_if_null, hash_bucket, materialize, order_hash, with_running_total, written
 
 SOURCE = ["no_source", "source"]
 
@@ -111,18 +111,19 @@ def mix_plan(docs: DataFrame, knots=cycling_weights, budget: float = 1.0, most:
     """
     rows = docs.select(F.col(id_col).alias("id"), *_source_key(source_col), (word_count() if size is None else size).alias("size"))
     rows = materialize(rows.withColumn("ordered", order_hash("id", seed)), "mix-sizes")
-    bits = bucket_bits(rows.count())
+    n = rows.count()
+    bits = bucket_bits(n)
     rows = rows.withColumn("bucket", hash_bucket("ordered", bits))
     # what holds for a source reaches its rows by hash buckets, never all of them in one task
     spread = [*SOURCE, "bucket"]
     buckets = rows.select(*spread).distinct()
-    targets = materialize(buckets.join(source_targets(rows, knots(rows), budget, most), SOURCE), "mix-targets")
+    targets = written(buckets.join(source_targets(rows, knots(rows), budget, most), SOURCE), "mix-targets", n >> 8)
     placed = with_running_total(rows, SOURCE, "ordered", ["id"], F.col("size"), "start", bits).join(targets, spread)
     rounds = F.when(F.col("source_size") > 0, F.floor(F.least(F.col("target") / F.col("source_size"), F.lit(float(most))))).otherwise(0).cast("int")
     placed = placed.withColumn("rounds", rounds).withColumn("room", F.when(F.col("rounds") >= most, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.col("target") - F.col("rounds") * F.col("source_size"))))
     placed = placed.withColumn("at", F.when((F.col("rounds") < most) & (F.col("start") + F.col("size") <= F.col("room")), F.col("start")))
     for k in range(passes):
-        placed = materialize(placed, f"mix-places-{k}")
+        placed = written(placed, f"mix-places-{k}", n)
         room = placed.groupBy(*SOURCE).agg(F.max("room").alias("room"), F.coalesce(F.sum(F.when(F.col("at").isNotNull(), F.col("size"))), F.lit(0)).alias("fitted"))
         room = buckets.join(room.select(*SOURCE, "fitted", (F.col("room") - F.col("fitted")).alias("gap")), SOURCE)
         open_ = placed.filter("at is null and rounds < %d" % most).join(room, spread).filter("size > 0")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geotally.llm.common import WORD, empty_if_null, materialize, order_hash
+from geotally.llm.common import WORD, empty_if_null, materialize, order_hash, written
 
 WINDOW = 5
 MORE = ["n_lines", "n_marks", "n_capitals"]
@@ -124,7 +124,7 @@ def certified_ladders(features: DataFrame, labels: DataFrame, stratum: str = "la
     rated_ids = labels.filter("quality in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("quality").alias("good"))
     rows = _stratum(features.filter(~base_failed()), stratum, id_col).join(rated_ids, F.col(id_col) == F.col("__id"))
     rows = rows.select(*BY, "salt", "good", (F.pmod(order_hash(id_col, 77), F.lit(2)) == 0).alias("fits"), *BASE, *MORE)
-    rows = materialize(rows, "quality-labelled")
+    rows = written(rows, "quality-labelled", labels.count())
     # the fitting half: cutoffs, what each rejects, and their order
     fitting, shares = rows.filter("fits"), F.array(*[F.lit(1 - s) for s in levels])
     good = fitting.filter("good = 1").groupBy(*BY).agg(*[F.percentile_approx(F.expr(e), shares, 100_000).alias(r) for r, e in RULES.items()])
