@@ -51,9 +51,14 @@ def is_unknown_county(fips: Column) -> Column:
     return fips.endswith("999")
 
 
+def pad(text: Column, width: int) -> Column:
+    """Zeros in front up to the width; longer text stays as it is."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def fips_from_int(number: Column) -> Column:
     text = number.cast("string")
-    return F.when(number == 0, "0").when(number < 100, F.lpad(text, 2, "0")).otherwise(F.lpad(text, 5, "0"))
+    return F.when(number == 0, "0").when(number < 100, pad(text, 2)).otherwise(pad(text, 5))
 
 
 def cbsa_location_id(code: Column) -> Column:
@@ -65,7 +70,7 @@ def hsa_location_id(code: Column) -> Column:
 
 
 def hsa_code(number: Column) -> Column:
-    return F.lpad(number.cast("int").cast("string"), 3, "0")
+    return pad(number.cast("int").cast("string"), 3)
 
 
 def state_location_id(code: Column) -> Column:

@@ -11,6 +11,7 @@ holds more rows than the calendar has days; that bounds every per-series window.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, replace
@@ -113,14 +114,26 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return counted.filter(F.when(F.col("_n") > 1, fail).otherwise(True)).select(*df.columns)
 
 
+def assert_declared(df: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """Lazy assertion: the returned frame fails at run time on a name that is not declared."""
+    fail = F.raise_error(F.concat(F.lit(f"undeclared {column}: "), F.col(column).cast("string"))).cast("string")
+    return df.withColumn(column, F.when(F.col(column).isin(names) | F.col(column).isNull(), F.col(column)).otherwise(fail))
+
+
+def finite(value: Column) -> Column:
+    """A number, or null for what is no number."""
+    return F.when(~F.isnan(value), value)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Only a session within one process (master ``local`` or ``local[n]``) may do without the setting;
+    it gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "geotally-local")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -77,28 +77,16 @@ def copy_region(df: DataFrame, from_id: str, to_id: str) -> DataFrame:
     return df.unionByName(copied)
 
 
-def name_set(df: DataFrame, column: str) -> Column:
-    """The distinct names in a column as one array. For variables and attributes only: their
-    number is that of the declared fields, whatever the size of the data."""
-    return df.agg(F.collect_set(column)).scalar()
-
-
-def _fail_if_shared_names(left: DataFrame, right: DataFrame, column: str, what: str) -> DataFrame:
-    """``right`` unchanged, or a failing job when a variable or attribute occurs on both sides."""
-    shared = F.array_contains(name_set(left, column), F.col(column))
-    return right.filter(F.when(shared, F.raise_error(F.lit(what)).cast("boolean")).otherwise(True))
-
-
-def _fail_if_shared_locations(left: DataFrame, right: DataFrame, what: str) -> DataFrame:
-    """``right`` unchanged, or a failing job when a location occurs on both sides."""
-    ids = right.select("location_id").distinct().join(left.select("location_id").distinct(), "location_id", "left_semi")
-    shared = ids.agg(F.count("*")).scalar() > 0
+def _fail_if_shared(left: DataFrame, right: DataFrame, column: str, what: str) -> DataFrame:
+    """``right`` unchanged, or a failing job when a value of the column occurs on both sides."""
+    names = right.select(column).distinct().join(left.select(column).distinct(), column, "left_semi")
+    shared = names.agg(F.count("*")).scalar() > 0
     return right.filter(F.when(shared, F.raise_error(F.lit(what)).cast("boolean")).otherwise(True))
 
 
 def join_columns(a: Dataset, b: Dataset) -> Dataset:
     """Datasets with disjoint variables about the same regions."""
-    checked = _fail_if_shared_names(a.obs, b.obs, "variable", "variables are not disjoint")
+    checked = _fail_if_shared(a.obs, b.obs, "variable", "variables are not disjoint")
     return Dataset(
         a.obs.select(*POINT, "value").unionByName(checked.select(*POINT, "value")), a.static, a.tags.unionByName(b.tags)
     )
@@ -106,7 +94,7 @@ def join_columns(a: Dataset, b: Dataset) -> Dataset:
 
 def append_regions(a: Dataset, b: Dataset) -> Dataset:
     """Disjoint union of regions; a common location id fails the job."""
-    checked = _fail_if_shared_locations(a.obs, b.obs, "regions are not disjoint")
+    checked = _fail_if_shared(a.obs, b.obs, "location_id", "regions are not disjoint")
     return Dataset(
         a.obs.select(*POINT, "value").unionByName(checked.select(*POINT, "value")),
         a.static.unionByName(b.static), a.tags.unionByName(b.tags),
@@ -128,7 +116,7 @@ def merge_attributes(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def add_static_values(static: DataFrame, added: DataFrame) -> DataFrame:
-    checked = _fail_if_shared_names(static, added, "attr", "static columns are not disjoint")
+    checked = _fail_if_shared(static, added, "attr", "static columns are not disjoint")
     return static.select(*STATIC).unionByName(checked.select(*STATIC))
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geotally.model import POINT, SERIES, Dataset, duplicate_keys
+from geotally.model import POINT, SERIES, TAG, Dataset, duplicate_keys
 
 
 def rows_key(
@@ -95,11 +95,9 @@ def drop_variables(ds: Dataset, names: list[str]) -> Dataset:
 
 
 def drop_na_variables(ds: Dataset) -> Dataset:
-    """Drop variables without any real value, and their tags. There are only so many variables,
-    so their names travel as one array."""
+    """Drop variables without any real value, and their tags."""
     real = ds.obs.filter("value is not null")
-    names = real.agg(F.collect_set("variable")).scalar()
-    return Dataset(real, ds.static, ds.tags.filter(F.array_contains(names, F.col("variable"))))
+    return Dataset(real, ds.static, ds.tags.join(real.select("variable").distinct(), "variable", "left_semi").select(*TAG))
 
 
 def drop_stale_series(ds: Dataset, cutoff: datetime.date) -> Dataset:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from geotally.functions import scalars as S
-from geotally.model import POINT, SERIES
+from geotally.model import POINT, SERIES, finite
 
 
 def to_long(wide: DataFrame, variables: list[str], keys: list[str] = ("location_id", "bucket", "date")) -> DataFrame:
     """One row per real value."""
-    doubles = wide.select(*keys, *[F.col(f"`{v}`").cast("double").alias(v) for v in variables])
+    doubles = wide.select(*keys, *[finite(F.col(f"`{v}`").cast("double")).alias(v) for v in variables])
     return doubles.unpivot(list(keys), variables, "variable", "value").filter("value is not null")
 
 
@@ -68,7 +68,7 @@ def static_long(wide: DataFrame, numbers: list[str], strings: list[str]) -> Data
     columns = ["location_id", "attr", "num", "str"]
     parts = []
     if numbers:
-        doubles = wide.select("location_id", *[F.col(c).cast("double").alias(c) for c in numbers])
+        doubles = wide.select("location_id", *[finite(F.col(c).cast("double")).alias(c) for c in numbers])
         parts.append(doubles.unpivot(["location_id"], numbers, "attr", "num").withColumn("str", F.lit(None).cast("string")))
     if strings:
         texts = wide.select("location_id", *strings).unpivot(["location_id"], strings, "attr", "str")

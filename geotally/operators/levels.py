@@ -122,7 +122,7 @@ def community_timeseries(metrics: DataFrame, external: DataFrame | None = None)
     """Own level per day beside the external one (location_id, date, value)."""
     names = ["weeklyNewCasesPer100k", "bedsWithCovidPatientsRatio", "weeklyCovidAdmissionsPer100k"]
     own = carry(metrics, names).select(
-        "location_id", "date", community_level(*[F.col(n) for n in names]).alias("canCommunityLevel")
+        "location_id", "date", community_level(*[F.col(n) for n in names]).alias("ownCommunityLevel")
     )
     if external is None:
         return own.withColumn("cdcCommunityLevel", F.lit(None).cast("int"))
@@ -134,6 +134,6 @@ def community_latest(levels: DataFrame) -> DataFrame:
     """Own level of the last day, external level of the last day that has one."""
     known = F.col("cdcCommunityLevel").isNotNull()
     return levels.groupBy("location_id").agg(
-        F.max_by("canCommunityLevel", "date").alias("canCommunityLevel"),
+        F.max_by("ownCommunityLevel", "date").alias("ownCommunityLevel"),
         F.max_by(F.when(known, F.col("cdcCommunityLevel")), F.when(known, F.col("date"))).alias("cdcCommunityLevel"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from geotally.functions import scalars as S, tagtext as TT
-from geotally.model import POINT, SERIES, TAG, Dataset, day, series_window, whole_series
+from geotally.model import POINT, SERIES, TAG, Dataset, day, series_window, whole_series, assert_declared
 from geotally.operators import combine as C, layout as L, windows as WN
 from geotally.operators.rollup import latest_values
 
@@ -136,7 +136,7 @@ def source_comparison(obs: DataFrame, sources: list[str], diff: bool = False, af
     if diff:
         w = W.partitionBy("location_id", "source").orderBy(day())
         x = x.withColumn("value", F.col("value") - F.lag("value").over(w))
-    return x.groupBy("location_id", "date").pivot("source", sources).agg(F.first("value"))
+    return assert_declared(x, "source", sources).groupBy("location_id", "date").pivot("source", sources).agg(F.first("value"))
 
 
 def series_stats(ds: Dataset, geo: DataFrame, groups: DataFrame) -> DataFrame:

@@ -261,12 +261,18 @@ def drop_series_outliers(
     return exclude_points(ds, WN.modified_zscore(picked).withColumn("outlier", out), others)
 
 
-def drop_tail_ratio_outliers(ds: Dataset, field: str, threshold: float = 10.0, min_diff: float = 0.015) -> Dataset:
-    """Remove the last real point of a ratio when it jumps, judged on the last 10 calendar days."""
-    last = ds.obs.agg(F.max("date")).scalar()
+def drop_tail_ratio_outliers(ds: Dataset, field: str, threshold: float = 10.0, min_diff: float = 0.015, scope: DataFrame | None = None) -> Dataset:
+    """Remove the last real point of a ratio when it jumps, judged on the last 10 calendar days.
+
+    Days count back from the last date of the whole dataset, or per location from ``scope``
+    (location_id, first, last).
+    """
     mine = F.col("variable") == field
     rows = ds.obs.filter(mine & F.col("value").isNotNull()).withColumn("diff", F.abs(F.col("value") - WN.previous_day()))
-    rows = rows.withColumn("_end", last)
+    if scope is None:
+        rows = rows.withColumn("_end", ds.obs.agg(F.max("date")).scalar())
+    else:
+        rows = rows.join(scope.select("location_id", F.col("last").alias("_end")), "location_id")
     recent = F.datediff("_end", "date") < 10
     z = WN.modified_zscore(rows.filter(recent), window=5, ignore_zeros=False)
     defined = F.col("std").isNotNull() & ((F.col("std") > 0) | (F.col("x") != F.col("mean")))

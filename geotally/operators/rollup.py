@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from geotally.functions import regions as R
-from geotally.model import POINT, SERIES, STATIC, Dataset
+from geotally.model import POINT, SERIES, STATIC, Dataset, assert_declared
 from geotally.operators import combine as C, filters
 
 COVERAGE = 0.95
@@ -35,7 +35,7 @@ HSA_FIELDS = {
 
 def latest_values(obs: DataFrame, by: list[str] = SERIES) -> DataFrame:
     """Last real value per group: a map-side combinable max_by, no sort."""
-    return obs.filter("value is not null").groupBy(*by).agg(
+    return obs.filter("value is not null and not isnan(value)").groupBy(*by).agg(
         F.max_by("value", "date").alias("value"), F.max("date").alias("date")
     )
 
@@ -64,9 +64,29 @@ def weights(static: DataFrame, region_map: DataFrame, attr: str, parent: str | N
     return children.join(totals, "parent_id")
 
 
-def _sum_children(long: DataFrame, keys: list[str], name: str, weighted: list[str], coverage: float | None) -> DataFrame:
-    share = F.col("value") * F.col("weight") / F.col("total")
-    part = F.when(F.col(name).isin(weighted), share).otherwise(F.col("value")) if weighted else F.col("value")
+def _shares(long: DataFrame, name: str, weighted: dict[str, str], own: str, static: DataFrame, region_map: DataFrame, parent: str | None) -> DataFrame:
+    """``long`` with _share, by which a weighted field's value counts in its parent; null for the others.
+
+    Fields weighted by the attribute that the coverage goes by have their weights already; only those
+    weighted by another attribute are joined to it.
+    """
+    attr = F.expr("CAST(NULL AS STRING)")
+    for field, by in weighted.items():
+        attr = F.when(F.col(name) == field, F.lit(by)).otherwise(attr)
+    long = long.withColumn("_attr", attr)
+    share = F.when(F.col("_attr") == own, F.col("weight") / F.col("total"))
+    others = sorted(set(weighted.values()) - {own})
+    if not others:
+        return long.withColumn("_share", share)
+    parts = [weights(static, region_map, by, parent).select("location_id", F.lit(by).alias("_attr"), "parent_id", (F.col("weight") / F.col("total")).alias("_other")) for by in others]
+    table = parts[0]
+    for more in parts[1:]:
+        table = table.unionByName(more)
+    return long.join(table, ["location_id", "parent_id", "_attr"], "left").withColumn("_share", F.coalesce(share, "_other"))
+
+
+def _sum_children(long: DataFrame, keys: list[str], coverage: float | None) -> DataFrame:
+    part = F.when(F.col("_attr").isNotNull(), F.col("value") * F.col("_share")).otherwise(F.col("value"))
     out = long.withColumn("_part", part).filter("_part is not null").groupBy(*keys).agg(
         F.sum("_part").alias("value"), (F.sum("weight") / F.max("total")).alias("reporting")
     )
@@ -82,21 +102,19 @@ def aggregate_regions(
     """Roll children up to their parents, or all mapped locations up to the one ``parent``.
 
     Values of bucket 'all' are summed per (parent, variable, date); ``weighted`` variables are
-    multiplied by the child's share of the weight of all mapped children, without renormalising
-    for missing ones. With ``coverage`` a point survives only if the reporting children hold that
+    multiplied by the child's share, by the attribute given for the field, of all mapped children,
+    without renormalising for missing ones; by default these are the ratios of WEIGHTED. With ``coverage`` a point survives only if the reporting children hold that
     share of the weight. Sums combine map-side, so a parent of everything stays parallel.
     """
-    weighted = {} if weighted is None else weighted
+    weighted = WEIGHTED if weighted is None else weighted
     if set(weighted.values()) & set(weighted):
         raise ValueError("a field cannot be both weighted and a weight")
-    if set(weighted.values()) - {weight}:
-        raise ValueError(f"weights other than {weight} are not supported")
     w = weights(ds.static, region_map, weight, parent)
-    names = list(weighted)
+    shares = lambda long, name: _shares(long.join(w, "location_id"), name, weighted, weight, ds.static, region_map, parent)
     obs = ds.obs.filter((F.col("bucket") == "all") & ~F.col("variable").isin(excluded) & F.col("value").isNotNull())
-    agg = _sum_children(obs.join(w, "location_id"), ["parent_id", "variable", "date"], "variable", names, coverage)
+    agg = _sum_children(shares(obs, "variable"), ["parent_id", "variable", "date"], coverage)
     numbers = ds.static.filter(F.col("num").isNotNull() & ~F.col("attr").isin(excluded)).withColumn("value", F.col("num"))
-    static = _sum_children(numbers.join(w, "location_id"), ["parent_id", "attr"], "attr", names, coverage)
+    static = _sum_children(shares(numbers, "attr"), ["parent_id", "attr"], coverage)
     return Dataset(
         agg.select(F.col("parent_id").alias("location_id"), "variable", F.lit("all").alias("bucket"), "date", "value"),
         static.select(F.col("parent_id").alias("location_id"), "attr", F.col("value").alias("num"), F.lit(None).cast("string").alias("str")),
@@ -260,7 +278,7 @@ def summarize_level(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def pivot_by_source(df: DataFrame, group: str, sources: list[str]) -> DataFrame:
-    return df.groupBy(group).pivot("source", sources).agg(F.sum("value")).fillna(0.0)
+    return assert_declared(df, "source", sources).groupBy(group).pivot("source", sources).agg(F.sum("value")).fillna(0.0)
 
 
 def rt_weighted_by_population(rt: DataFrame, population: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:

@@ -237,7 +237,8 @@ def second_difference(obs: DataFrame) -> DataFrame:
 
 def keep_last(df: DataFrame, keys: list[str], order: str, first: bool = False) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    pick = (F.min_by if first else F.max_by)(F.struct(*rest), F.col(order))
+    # equal orders are told apart by the other columns
+    pick = (F.min_by if first else F.max_by)(F.struct(*rest), F.struct(order, *[c for c in rest if c != order]))
     return df.groupBy(*keys).agg(pick.alias("_r")).select(*keys, *[f"_r.{c}" for c in rest])
 
 
@@ -245,12 +246,13 @@ def most_recent_date(obs: DataFrame) -> DataFrame:
     return obs.groupBy(*SERIES).agg(F.max(F.when(F.col("value").isNotNull(), F.col("date"))).alias("most_recent"))
 
 
-def ecdf(df: DataFrame, value: str, parts: int = 200) -> DataFrame:
+def ecdf(df: DataFrame, value: str, parts: int | None = None) -> DataFrame:
     """Share of rows at or below each distinct value.
 
     Values are cut at approximate quantiles, so the running counts are taken inside many balanced
     parts; only one row per part goes through a window without a key.
     """
+    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     n = F.count("*").alias("n")
     counts = df.groupBy(value).agg(n)
     cuts = df.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10000)).scalar()

@@ -1,7 +1,7 @@
 """The whole run: merge sources, clean each parent group in a fixed order, roll up, publish.
 
-Steps stay lazy. Lineage is cut with written tables where several later steps read the same
-result, because observations and tags come from the same flagged rows.
+Steps of one operator stay lazy. Where several later steps read the same result, a table is written,
+so building the run already starts jobs.
 """
 
 from __future__ import annotations
@@ -31,7 +31,10 @@ class Config:
     weekly: dict[str, str] = field(default_factory=lambda: {"new_hospital_admissions_covid": "weekly_new_hospital_admissions_covid"})
     weekly_level: str = "state"
     estimate: tuple[str, str] | None = ("vaccinations_initiated", "vaccinations_completed")
-    spread_ranges: list[tuple[str, datetime.date, datetime.date]] = field(default_factory=list)
+    #: predicate over the geo dimension, variable, first and last day
+    spread_ranges: list[tuple[str, str, datetime.date, datetime.date]] = field(default_factory=list)
+    #: predicate over location_id, variable and date of anomalies that a spread range has dealt with
+    anomalies_exempt: str | None = None
     outliers: dict[str, tuple] = field(default_factory=lambda: {"new_cases": Q.HIGHER_AFTER, "new_deaths": None})
     outlier_skip: str = "level = 'county' and state = 'FL'"
     fill_static: str | None = None
@@ -44,6 +47,11 @@ def stored(ds: Dataset, name: str) -> Dataset:
     return Dataset(materialize(ds.obs.select(*POINT, "value"), f"{name}-obs"), ds.static, materialize(ds.tags.select(*TAG), f"{name}-tags"))
 
 
+def derived(ds: Dataset, obs: DataFrame) -> Dataset:
+    """New variables of a dataset's regions; joining them fails if one exists already."""
+    return Dataset(obs.select(*POINT, "value"), ds.static.limit(0), ds.tags.limit(0))
+
+
 def merge(obs: DataFrame, tags: DataFrame, static: DataFrame, features: dict, static_features: dict) -> Dataset:
     """Priority merge of stacked sources (each table with a ``source`` column), written as a table
     because observations, tags and every cleaning step read it."""
@@ -63,20 +71,23 @@ def calendar_scope(obs: DataFrame, parents: DataFrame) -> DataFrame:
     return x.select("location_id", "group").join(bounds, "group").select("location_id", "first", "last")
 
 
+def by_rules(ds: Dataset, geo: DataFrame, cfg: Config) -> tuple[Dataset, Dataset]:
+    """The dataset after the manual rules, and the series that they touched."""
+    if not cfg.rules:
+        return ds, Dataset(ds.obs.limit(0), ds.static.limit(0), ds.tags.limit(0))
+    after = stored(Q.manual_filter(ds, geo, cfg.rules), "manual")
+    return after, Q.touched_subset(ds, after)
+
+
 def clean(ds: Dataset, geo: DataFrame, parents: DataFrame, anomalies: DataFrame | None, cfg: Config) -> tuple[Dataset, Dataset]:
     """Fixed order: manual rules, future values, ratio tails, stalled tails, zeros, estimates,
     incidents, weekly sums, spread ranges, anomalies, outliers, population, then the configured
     special regions: ``fill_static`` (a parent whose missing attributes are sums over its
     children), ``city`` (predicate of its members, id) and ``replace`` (parent, child). Returns the
     cleaned dataset and the series that the manual rules touched."""
-    before = ds
-    if cfg.rules:
-        ds = stored(Q.manual_filter(ds, geo, cfg.rules), "manual")
-        touched = Q.touched_subset(before, ds)
-    else:
-        touched = Dataset(ds.obs.limit(0), ds.static.limit(0), ds.tags.limit(0))
+    ds, touched = by_rules(ds, geo, cfg)
     ds = filters.drop_future_observations(ds, cfg.as_of)
-    ds = Q.drop_tail_ratio_outliers(ds, cfg.ratio)
+    ds = Q.drop_tail_ratio_outliers(ds, cfg.ratio, scope=calendar_scope(ds.obs, parents))
     ds = stored(ds, "ratio")
     ds, _ = Q.tail_filter(ds, cfg.cumulative, calendar_scope(ds.obs, parents))
     ds = Q.drop_all_zero_series(ds, cfg.zero_fields)
@@ -84,16 +95,18 @@ def clean(ds: Dataset, geo: DataFrame, parents: DataFrame, anomalies: DataFrame
         target, known = cfg.estimate
         ds = M.estimate_from_parent_ratio(ds, parents, target, known, cfg.as_of, f"estimate_{target}")
     ds = stored(ds, "tails")
-    obs = ds.obs.unionByName(WN.incident_from_cumulative(ds.obs, cfg.incidents))
+    ds = C.join_columns(ds, derived(ds, WN.incident_from_cumulative(ds.obs, cfg.incidents)))
     if cfg.weekly:
         level = geo.filter(F.col("level") == cfg.weekly_level).select("location_id")
         daily = ds.obs.filter(F.col("variable").isin(list(cfg.weekly))).join(level, "location_id", "left_semi")
-        obs = obs.unionByName(M.rename_variable(WN.rolling_sum(daily), cfg.weekly).select(*POINT, "value"))
-    ds = ds.with_obs(obs)
-    for variable, start, end in cfg.spread_ranges:
-        ds = ds.with_obs(WN.patch_date_range_spread(ds.obs, F.col("variable") == variable, start, end))
+        ds = C.join_columns(ds, derived(ds, M.rename_variable(WN.rolling_sum(daily), cfg.weekly)))
+    for where, variable, start, end in cfg.spread_ranges:
+        inside = geo.filter(where).select("location_id", F.lit(True).alias("_inside"))
+        marked = ds.obs.join(inside, "location_id", "left").withColumn("_inside", F.coalesce("_inside", F.lit(False)))
+        patched = WN.patch_date_range_spread(marked, F.col("_inside") & (F.col("variable") == variable), start, end)
+        ds = ds.with_obs(patched.select(*POINT, "value"))
     if anomalies is not None:
-        ds = Q.anomaly_filter(ds, anomalies)
+        ds = Q.anomaly_filter(ds, anomalies, None if cfg.anomalies_exempt is None else F.expr(cfg.anomalies_exempt))
     for variable, later in cfg.outliers.items():
         ds = Q.drop_series_outliers(ds, variable, 8.0, later, skip=geo.filter(cfg.outlier_skip))
     ds = stored(filters.drop_regions_without_population(ds), "clean")

@@ -35,7 +35,8 @@ FLOW = f"""sx AS MATERIALIZED ({MISSING}), pr AS (SELECT * FROM {PRIO}), rk AS (
  t1 AS (SELECT DISTINCT {TAG_COLS}, 'known_issue' AS tag_type, '{{"public_note":"late","date":"1996-01-01"}}' AS content FROM rule),
  f2 AS MATERIALIZED (SELECT * FROM f1 WHERE date <= DATE '2001-01-01'),
  t2 AS (SELECT DISTINCT {TAG_COLS}, 'drop_future_observation' AS tag_type, '{{"after":"2001-01-01"}}' AS content FROM f1 WHERE date > DATE '2001-01-01'),
- rec AS (SELECT * FROM f2 WHERE variable = 'n_orders' AND date > (SELECT MAX(date) FROM f2) - 10), {spread_ctes('rec', name='rsp')},
+ pend AS (SELECT parent_id, MAX(date) AS hi FROM f2 JOIN parent USING (location_id) GROUP BY 1),
+ rec AS (SELECT {PK}, value FROM f2 JOIN parent USING (location_id) JOIN pend USING (parent_id) WHERE variable = 'n_orders' AND date > hi - 10), {spread_ctes('rec', name='rsp')},
  rdf AS (SELECT {PK}, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN abs(value - LAG(value) OVER ({P})) END AS diff FROM f2 WHERE variable = 'n_orders'),
  rz AS (SELECT {PK}, raw, value AS x, AVG(value) OVER ({RW}) AS av, MIN(value) OVER ({RW}) AS mn, MAX(value) OVER ({RW}) AS mx, stddev_pop(value) OVER ({RW}) AS sd, COUNT(value) OVER ({RW}) AS n FROM rsp),
  ry AS (SELECT *, CASE WHEN mn = mx THEN mn ELSE av END AS m, CASE WHEN mn = mx THEN 0 ELSE sd END AS s FROM rz),
@@ -91,7 +92,7 @@ def _(spark, d):
 WITH {FLOW}, tk AS (SELECT DISTINCT {TAG_COLS} FROM rule), o AS (SELECT m0.* FROM m0 SEMI JOIN tk USING ({TAG_COLS})), s AS (SELECT location_id, attr, num, CAST(NULL AS VARCHAR) AS str FROM mst WHERE false),
  t AS (SELECT t0.* FROM t0 SEMI JOIN tk USING ({TAG_COLS}) UNION ALL SELECT * FROM t1) {FLAT}""")
 def _(spark, d):
-    _, touched = FL.clean(cumulated(spark, d), B.geo(spark, d), B.parent(spark, d), None, config())
+    _, touched = FL.by_rules(cumulated(spark, d), B.geo(spark, d), config())
     return flatten(touched)
 
 

@@ -296,7 +296,7 @@ def _(spark, d):
     return B.mw(spark, d).select("location_id", "date", LV.community_level(*[F.col(c) for c in CNAMES]).alias("level"))
 
 
-CTS = f"""c AS (SELECT location_id, date, {carry_sql(*CNAMES)} FROM mw), ct AS (SELECT location_id, date, {COMM} AS "canCommunityLevel", e."cdcCommunityLevel" FROM c
+CTS = f"""c AS (SELECT location_id, date, {carry_sql(*CNAMES)} FROM mw), ct AS (SELECT location_id, date, {COMM} AS "ownCommunityLevel", e."cdcCommunityLevel" FROM c
   FULL JOIN (SELECT location_id, date, CAST(value AS INTEGER) % 3 AS "cdcCommunityLevel" FROM evt WHERE variable = 'error') e USING (location_id, date))"""
 
 
@@ -312,7 +312,7 @@ def _(spark, d):
 
 @query("community_level_latest", f"""
 WITH {CTS}, l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY location_id ORDER BY date DESC) AS rn FROM ct)
-SELECT location_id, MAX("canCommunityLevel") FILTER (rn = 1) AS "canCommunityLevel", arg_max("cdcCommunityLevel", date) FILTER ("cdcCommunityLevel" IS NOT NULL) AS "cdcCommunityLevel" FROM l GROUP BY 1""")
+SELECT location_id, MAX("ownCommunityLevel") FILTER (rn = 1) AS "ownCommunityLevel", arg_max("cdcCommunityLevel", date) FILTER ("cdcCommunityLevel" IS NOT NULL) AS "cdcCommunityLevel" FROM l GROUP BY 1""")
 def _(spark, d):
     return LV.community_latest(community(spark, d))
 
@@ -377,19 +377,19 @@ def summary(spark, d):
     return PB.region_summary(user_geo(spark, d), latest.groupBy("location_id").agg(*pick), metrics, risks, trans, LV.community_latest(community(spark, d)))
 
 
-SUMMARY = f"""lm AS ({latest_sql()}), {LW}, {CTS}, cl AS (SELECT location_id, MAX("canCommunityLevel") FILTER (rn = 1) AS own, arg_max("cdcCommunityLevel", date) FILTER ("cdcCommunityLevel" IS NOT NULL) AS ext
+SUMMARY = f"""lm AS ({latest_sql()}), {LW}, {CTS}, cl AS (SELECT location_id, MAX("ownCommunityLevel") FILTER (rn = 1) AS own, arg_max("cdcCommunityLevel", date) FILTER ("cdcCommunityLevel" IS NOT NULL) AS ext
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY location_id ORDER BY date DESC) AS rn FROM ct) GROUP BY 1), r AS (SELECT *, {CD} AS cd, {TP} AS tp, {RT} AS rt, {TC} AS a, {TT} AS b FROM lm)"""
 
 
 @query("region_summary", f"""
 WITH {SUMMARY} SELECT location_id, population, 'place' AS level, cases AS "actuals.cases", staffed_beds AS "actuals.hospitalBeds.capacity", vaccinations_initiated AS "actuals.vaccinationsInitiated",
- "caseDensity" AS "metrics.caseDensity", "infectionRate" AS "metrics.infectionRate", {OVERALL} AS "riskLevels.overall", cd AS "riskLevels.caseDensity", {TOTAL} AS "cdcTransmissionLevel", own AS "communityLevels.canCommunityLevel", ext AS "communityLevels.cdcCommunityLevel"
+ "caseDensity" AS "metrics.caseDensity", "infectionRate" AS "metrics.infectionRate", {OVERALL} AS "riskLevels.overall", cd AS "riskLevels.caseDensity", {TOTAL} AS "cdcTransmissionLevel", own AS "communityLevels.ownCommunityLevel", ext AS "communityLevels.cdcCommunityLevel"
 FROM upop JOIN lw USING (location_id) LEFT JOIN r USING (location_id) LEFT JOIN cl USING (location_id)""")
 def _(spark, d):
     return dotted(
         summary(spark, d), "location_id", "population", "level", "actuals.cases", "actuals.hospitalBeds.capacity", "actuals.vaccinationsInitiated",
         "metrics.caseDensity", "metrics.infectionRate", "riskLevels.overall", "riskLevels.caseDensity", "cdcTransmissionLevel",
-        "communityLevels.canCommunityLevel", "communityLevels.cdcCommunityLevel")
+        "communityLevels.ownCommunityLevel", "communityLevels.cdcCommunityLevel")
 
 
 def day_parts(spark, d):

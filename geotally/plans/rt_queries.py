@@ -82,7 +82,7 @@ def _(spark, d):
 
 @query("rt_intervals", f"WITH RECURSIVE {bayes_sql(30)} {INTERVALS}")
 def _(spark, d):
-    return two_places(posterior(spark, d).drop("lag", "lagging", "lag_warning", "error"))
+    return two_places(posterior(spark, d).drop("prior_peak", "likelihood_peak", "posterior_peak", "error"))
 
 
 def slopes_sql():

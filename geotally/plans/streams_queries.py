@@ -14,19 +14,19 @@ PARTS_SCHEMA = "email string, day date, n bigint, last timestamp, batch int"
 
 
 def record_files(spark, d):
-    """Access records as JSON files, several, so that the stream takes several batches."""
+    """Access records as JSON files, one per part of the events."""
     path = work_dir(spark, "access-json")
     u = F.col("user_id")
-    B.table(spark, d, "events").repartition(6, "event_id").select(
+    B.table(spark, d, "events").select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), F.concat(F.lit("user"), u, F.lit("@example.org")).alias("email"),
         F.concat(F.lit("/v2/"), "event_type").alias("path"), F.concat(F.lit("10.0.0."), (u % 250).cast("string")).alias("ip"),
-        (u % 2 == 0).alias("is_covid_response_simulator_user"),
+        (u % 2 == 0).alias("is_simulator_user"),
     ).write.json(path)
     return path
 
 
 def stream(spark, d):
-    return S.read_records(spark, record_files(spark, d), files_per_batch=3)
+    return S.read_records(spark, record_files(spark, d), files_per_batch=1)
 
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -38,7 +38,7 @@ def _(spark, d):
     out = work_dir(spark, "access-table")
     S.finish(S.ingest(stream(spark, d), out, work_dir(spark, "access-checkpoint")))
     return spark.read.parquet(out).select(
-        F.date_format("timestamp", STAMP).alias("timestamp"), "email", "path", "ip", F.col("is_covid_response_simulator_user").alias("flag"), "day")
+        F.date_format("timestamp", STAMP).alias("timestamp"), "email", "path", "ip", F.col("is_simulator_user").alias("flag"), "day")
 
 
 @query("stream_user_activity", f"WITH {ACT} SELECT * REPLACE (strftime(\"latestDate\", '%Y-%m-%d %H:%M:%S.%f') AS \"latestDate\") FROM act")

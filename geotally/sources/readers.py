@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from geotally.functions import regions as R
-from geotally.model import OBS_SCHEMA, POINT, SERIES, STATIC, TAG, Dataset
+from geotally.model import POINT, SERIES, Dataset, finite
 from geotally.operators import layout as L
 from geotally.sources.provider import FACT_SCHEMA
 
 
 def parquet_long(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(path)
+    return real_numbers(spark.read.schema(FACT_SCHEMA).parquet(path))
 
 
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header; dates parsed, everything else by the schema (fips stays text)."""
-    return spark.read.schema(schema).csv(path, header=True, dateFormat="yyyy-MM-dd", enforceSchema=True)
+    """CSV with a header; dates parsed, everything else by the schema (fips stays text). NaN is null."""
+    return real_numbers(spark.read.schema(schema).csv(path, header=True, dateFormat="yyyy-MM-dd", enforceSchema=True))
+
+
+def real_numbers(df: DataFrame) -> DataFrame:
+    """Columns of doubles with null for NaN; all others as they are."""
+    return df.withColumns({f.name: finite(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
 
 
 def mixed_csv(spark: SparkSession, path: str, variables: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -43,7 +49,7 @@ def wide_dates_csv(spark: SparkSession, path: str, all_buckets: bool = True) ->
     dates = [c for c in columns if len(c) == 10 and c[:4].isdigit() and c[4] == c[7] == "-"]
     tag_columns = [c for c in columns if c not in dates and c not in SERIES]
     schema = T.StructType([T.StructField(c, T.DoubleType() if c in dates else T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).csv(path, header=True, escape='"')
+    rows = real_numbers(spark.read.schema(schema).csv(path, header=True, escape='"'))
     if not all_buckets:
         rows = rows.filter("bucket = 'all'")
     obs = rows.unpivot(SERIES, [F.col(f"`{c}`") for c in dates], "date", "value").filter("value is not null").select(
@@ -159,9 +165,9 @@ def mobility_lists(rows: DataFrame, column: str, admin_level: int = 2) -> DataFr
 
 def clean_orders(rows: DataFrame, date_columns: list[str], year: int = 2020) -> DataFrame:
     """Add the year to dates like '16-Mar', normalise column names, pad the fips."""
-    name = lambda c: c.replace(">", "").replace(" ", "_").replace("/", "_").lower()
+    name = lambda c: re.sub(r">|([ /])", lambda m: "_" if m[1] else "", c).lower()
     repaired = [
         F.to_date(F.regexp_replace(F.col(f"`{c}`"), r"^(\d+)-(\w+)$", f"$1-$2-{year}"), "d-MMM-yyyy").alias(name(c)) for c in date_columns
     ]
     others = [F.col(f"`{c}`").alias(name(c)) for c in rows.columns if c not in date_columns and c.lower() != "fips"]
-    return rows.select(F.lpad("fips", 5, "0").alias("fips"), *others, *repaired)
+    return rows.select(R.pad(F.col("fips"), 5).alias("fips"), *others, *repaired)

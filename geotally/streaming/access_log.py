@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geotally.operators.rollup import recently_active
 
-RECORD = "timestamp string, email string, path string, ip string, is_covid_response_simulator_user boolean"
+RECORD = "timestamp string, email string, path string, ip string, is_simulator_user boolean"
 
 
 def read_records(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
@@ -18,9 +18,9 @@ def read_records(spark: SparkSession, path: str, files_per_batch: int = 64) -> D
     return raw.withColumn("timestamp", F.to_timestamp("timestamp"))
 
 
-def ingest(records: DataFrame, out: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:
+def ingest(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append the records to a table partitioned by day. The file sink commits each batch once."""
-    typed = records.withWatermark("timestamp", lateness).withColumn("day", F.to_date("timestamp"))
+    typed = records.withColumn("day", F.to_date("timestamp"))
     return (
         typed.writeStream.format("parquet").partitionBy("day").option("path", out).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
@@ -58,6 +58,12 @@ def activity_summary(parts: DataFrame) -> DataFrame:
     )
 
 
+def compact_activity(parts: DataFrame, out: str) -> None:
+    """One row per email and day of many batches, in files of the size that Spark advises."""
+    days = parts.groupBy("email", "day").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    days.hint("rebalance").write.mode("errorifexists").parquet(out)
+
+
 def running_counts(records: DataFrame) -> DataFrame:
     """Running requests and last request per email, for update mode; one state row per email."""
     return records.groupBy("email").agg(
