@@ -71,11 +71,13 @@ def features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_label: int, longest: int, seed: int):
-    """At most ``per_label`` labelled rows of each class, those with the least hash of their id."""
+    """Words of at most ``per_label`` labelled documents of each class, those with the least hash of their id."""
     marked = labels.filter("toxic in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
-    totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chance = F.when(F.col("toxic") == 1, F.lit(min(1.0, 1.1 * per_label / max(totals.get(1, 1), 1)))).otherwise(F.lit(min(1.0, 1.1 * per_label / max(totals.get(0, 1), 1))))
-    drawn = marked.withColumn("by", order_hash("__id", seed)).filter(F.col("by") / F.lit(2.0**64) + 0.5 <= chance)
+    # only documents that there are; the narrow join, and texts are read for the drawn ones alone
+    marked = marked.join(docs.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi").withColumn("by", order_hash("__id", seed))
+    drawn = [marked.filter(F.col("toxic") == k).orderBy("by", "__id").limit(per_label) for k in (0, 1)]
+    # at most 2 * per_label ids, which is why they are broadcast
+    drawn = F.broadcast(drawn[0].unionByName(drawn[1]))
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), "lang").join(drawn, "__id").select("__id", "by", "text", "lang", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -88,9 +90,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_
                 packed = [ids[a:b].tobytes() if ok else None for a, b, ok in zip(bounds, bounds[1:], short)]
                 yield pa.RecordBatch.from_arrays([part.column("by"), part.column("toxic").cast(pa.int32()), part.column("lang"), pa.array(packed, pa.binary())], ["by", "toxic", "lang", "words"]).filter(pa.array(short))
 
-    rows = slim.mapInArrow(run, "by long, toxic int, lang string, words binary")
-    picked = [rows.filter(F.col("toxic") == k).orderBy("by").limit(per_label) for k in (0, 1)]
-    return picked[0].unionByName(picked[1]).toPandas()
+    rows = slim.mapInArrow(run, "by long, toxic int, lang string, words binary").toPandas()
+    return rows.sort_values(["by", "words"], ignore_index=True)
 
 
 def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, rate: float = 0.02, seed: int = 0) -> Network:
