@@ -24,12 +24,17 @@ def to_wide_variables(obs: DataFrame, variables: list[str], by: list[str] = ("lo
     return obs.groupBy(*by).pivot("variable", variables).agg(F.first("value"))
 
 
-def field_wide_dates(obs: DataFrame, variable: str, dates: list, buckets: str | None = "all") -> DataFrame:
-    """One variable with the given dates as columns."""
+def all_dates(obs: DataFrame) -> list:
+    """The days of the calendar that have a value, to name columns by."""
+    return [r["date"] for r in obs.filter("date is not null").select("date").distinct().orderBy("date").collect()]
+
+
+def field_wide_dates(obs: DataFrame, variable: str, buckets: str | None = "all") -> DataFrame:
+    """One variable with a column for each of its dates."""
     rows = obs.filter(F.col("variable") == variable)
     if buckets is not None:
         rows = rows.filter(F.col("bucket") == buckets)
-    return rows.groupBy(*SERIES).pivot("date", dates).agg(F.first("value"))
+    return rows.groupBy(*SERIES).pivot("date", all_dates(rows)).agg(F.first("value"))
 
 
 def _days(lo, hi) -> Column:

@@ -26,16 +26,16 @@ def by_location(where):
 
 
 @query("filter_rows_key", """
-SELECT o.location_id, fips, state, date, value FROM obs o JOIN geo USING (location_id) WHERE variable = 'n_orders' AND level = 'county'
+SELECT o.location_id, variable, fips, state, date, value FROM obs o JOIN geo USING (location_id) WHERE level = 'county'
  AND country = 'USA' AND state IN ('AL', 'AZ', 'CA') AND date > DATE '1996-03-01' AND date < DATE '2001-01-01' AND fips NOT LIKE '%999'
  AND fips NOT LIKE '04001%' AND regexp_matches(o.location_id, 'iso2:us-(al|az)')""")
 def _(spark, d):
-    rows = B.obs(spark, d).filter("variable = 'n_orders'").join(B.geo(spark, d), "location_id")
+    rows = B.obs(spark, d).join(B.geo(spark, d), "location_id")
     key = O.rows_key(
         level="county", country="USA", states=["AL", "AZ", "CA"], after=D(1996, 3, 1), before=D(2001, 1, 1),
         exclude_unknown=True, exclude_fips_prefix="04001", location_id_matches="iso2:us-(al|az)",
     )
-    return rows.filter(key).select("location_id", "fips", "state", "date", "value")
+    return rows.filter(key).select("location_id", "variable", "fips", "state", "date", "value")
 
 
 @query("subset_regions", by_location("level = 'county' AND state IN ('AK', 'CA')"))
@@ -137,12 +137,11 @@ def _(spark, d):
     return flatten(O.drop_na_variables(ds.with_obs(ds.obs.withColumn("value", value))))
 
 
-@query("drop_stale_series", """
-WITH fresh AS (SELECT location_id, variable, bucket FROM evt GROUP BY 1, 2, 3 HAVING MAX(date) >= DATE '2024-01-28')
-SELECT evt.* FROM evt SEMI JOIN fresh USING (location_id, variable, bucket)""")
+@query("drop_stale_series", f"""
+WITH fresh AS (SELECT location_id, variable, bucket FROM obs GROUP BY 1, 2, 3 HAVING MAX(date) >= DATE '2001-01-28'),
+ o AS (SELECT obs.* FROM obs SEMI JOIN fresh USING (location_id, variable, bucket)), s AS (SELECT * FROM static), t AS (SELECT tags.* FROM tags SEMI JOIN fresh USING (location_id, variable, bucket)) {FLAT}""")
 def _(spark, d):
-    ds = B.dataset(spark, d, B.evt)
-    return O.drop_stale_series(ds, D(2024, 1, 28)).obs
+    return flatten(O.drop_stale_series(B.dataset(spark, d), D(2001, 1, 28)))
 
 
 @query("drop_future_observations", flat_sql("SELECT * FROM obs WHERE date <= DATE '2000-01-01'", t="""SELECT * FROM tags UNION ALL

@@ -1,11 +1,9 @@
 """Queries for pivots, unpivots and densified calendars."""
 
-import datetime
-
 from pyspark.sql import functions as F
 
 from geotally.functions import scalars as S
-from geotally.model import POINT
+from geotally.model import SERIES, POINT
 from geotally.operators import layout as L
 from geotally.plans import bindings as B
 from geotally.plans.catalog import query
@@ -44,13 +42,13 @@ def _(spark, d):
 
 
 @query("densify_calendar_scoped", """
-WITH o AS (SELECT obs.*, substr(location_id, 1, 15) AS scope FROM obs WHERE variable = 'n_orders'),
+WITH o AS (SELECT obs.*, substr(location_id, 1, 15) AS scope FROM obs),
  lim AS (SELECT scope, MIN(date) lo, MAX(date) hi FROM o GROUP BY 1),
  s AS (SELECT DISTINCT location_id, variable, bucket, scope FROM o),
  days AS (SELECT s.*, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM s JOIN lim USING (scope))
 SELECT days.*, o.value FROM days LEFT JOIN o USING (location_id, variable, bucket, date)""")
 def _(spark, d):
-    o = B.obs(spark, d).filter("variable = 'n_orders'").withColumn("scope", F.substring("location_id", 1, 15))
+    o = B.obs(spark, d).withColumn("scope", F.substring("location_id", 1, 15))
     return L.densify_calendar(o, scope=["scope"])
 
 
@@ -62,13 +60,17 @@ def _(spark, d):
     return L.densify_per_series(B.evt(spark, d), by=["location_id"])
 
 
-JAN = [datetime.date(2024, 1, 1) + datetime.timedelta(days=i) for i in range(30)]
+def columns_as_rows(wide, keys):
+    """The names and cells of all columns but the keys, so that a result can have any number of them."""
+    rest = [c for c in wide.columns if c not in keys]
+    cells = wide.select(*keys, *[F.col(f"`{c}`").cast("string").alias(c) for c in rest])
+    return cells.unpivot(keys, [F.col(f"`{c}`") for c in rest], "name", "cell").filter("cell is not null")
 
 
-@query("field_wide_dates", "SELECT location_id, variable, bucket, " + ", ".join(
-    f"SUM(value) FILTER (date = DATE '{x}') AS \"{x}\"" for x in JAN) + " FROM evt WHERE variable = 'view' GROUP BY 1, 2, 3")
+@query("field_wide_dates", "SELECT location_id, variable, bucket, CAST(date AS VARCHAR) AS name, value FROM evt WHERE variable = 'view'")
 def _(spark, d):
-    return L.field_wide_dates(B.evt(spark, d), "view", JAN)
+    rows = columns_as_rows(L.field_wide_dates(B.evt(spark, d), "view"), SERIES)
+    return rows.withColumn("value", F.col("cell").cast("double")).drop("cell")
 
 
 @query("static_long", "SELECT * FROM static WHERE num IS NOT NULL OR str IS NOT NULL")

@@ -139,35 +139,33 @@ def tailed(spark, d):
 TAIL_SQL = f"""{TAILED}, cal AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM tl),
  a AS (SELECT tl.*, hi, hi - lo + 1 AS n_days, hi - date + 1 AS pos, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN value - LAG(value) OVER ({P}) END AS diff FROM tl, cal WHERE variable <> 'error'),
  m AS (SELECT *, AVG(diff) FILTER (pos BETWEEN 15 AND 28) OVER (PARTITION BY location_id, variable, bucket) AS mean FROM a),
- s AS (SELECT *, MIN(pos) FILTER (pos <= 14 AND diff >= floor(mean / 100)) OVER (PARTITION BY location_id, variable, bucket) AS stop FROM m),
- u AS (SELECT *, COUNT(*) FILTER (pos <= 14 AND diff IS NOT NULL AND pos < COALESCE(stop, 15)) OVER (PARTITION BY location_id, variable, bucket) AS under, COALESCE(stop, 15) - 1 AS cut FROM s),
+ sp AS (SELECT *, MIN(pos) FILTER (pos <= 14 AND diff >= floor(mean / 100)) OVER (PARTITION BY location_id, variable, bucket) AS stop FROM m),
+ u AS (SELECT *, COUNT(*) FILTER (pos <= 14 AND diff IS NOT NULL AND pos < COALESCE(stop, 15)) OVER (PARTITION BY location_id, variable, bucket) AS under, COALESCE(stop, 15) - 1 AS cut FROM sp),
  oc AS (SELECT *, CASE WHEN n_days < 28 THEN 'skipped_too_short' WHEN mean IS NULL THEN 'skipped_na_mean' WHEN under = 0 THEN 'all_good' WHEN under < 8 THEN 'truncated' ELSE 'long_truncated' END AS outcome FROM u)"""
 
 
 @query("tail_filter", f"""
 WITH {TAIL_SQL}
-SELECT 'obs' AS kind, {PK}, value, CAST(NULL AS VARCHAR) AS tag_type, CAST(NULL AS VARCHAR) AS content FROM oc WHERE NOT (outcome LIKE '%truncated' AND pos <= cut)
-UNION ALL SELECT 'obs', {PK}, value, NULL, NULL FROM tl WHERE variable = 'error'
-UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, CASE outcome WHEN 'truncated' THEN 'cumulative_tail_truncated' ELSE 'cumulative_long_tail_truncated' END,
-  '{{"date": "' || (any_value(hi) - CAST(any_value(cut) AS INTEGER)) || '", "original_observation": ' || COALESCE(CAST(MAX(value) FILTER (pos = cut) AS VARCHAR), 'NaN') || '}}' FROM oc WHERE outcome LIKE '%truncated' GROUP BY location_id, variable, bucket, outcome""")
+, o AS (SELECT {PK}, value FROM oc WHERE NOT (outcome LIKE '%truncated' AND pos <= cut) UNION ALL SELECT {PK}, value FROM tl WHERE variable = 'error'), s AS (SELECT * FROM static),
+ t AS (SELECT * FROM tags UNION ALL SELECT location_id, variable, bucket, CASE outcome WHEN 'truncated' THEN 'cumulative_tail_truncated' ELSE 'cumulative_long_tail_truncated' END,
+  '{{"date": "' || (any_value(hi) - CAST(any_value(cut) AS INTEGER)) || '", "original_observation": ' || COALESCE(CAST(MAX(value) FILTER (pos = cut) AS VARCHAR), 'NaN') || '}}' FROM oc WHERE outcome LIKE '%truncated' GROUP BY location_id, variable, bucket, outcome) {FLAT}""")
 def _(spark, d):
-    ds = Dataset(tailed(spark, d), B.static(spark, d).limit(0), B.tags(spark, d).limit(0))
-    out, _ = O.tail_filter(ds, ["click", "purchase", "signup", "view"])
-    return flatten(out).filter("kind <> 'static'")
+    out, _ = O.tail_filter(B.dataset(spark, d).with_obs(tailed(spark, d)), ["click", "purchase", "signup", "view"])
+    return flatten(out)
 
 
 @query("tail_filter_counts", f"WITH {TAIL_SQL} SELECT outcome, COUNT(DISTINCT (location_id, variable)) AS n FROM oc GROUP BY 1")
 def _(spark, d):
-    ds = Dataset(tailed(spark, d), B.static(spark, d).limit(0), B.tags(spark, d).limit(0))
-    return O.tail_filter(ds, ["click", "purchase", "signup", "view"])[1]
+    return O.tail_filter(B.dataset(spark, d).with_obs(tailed(spark, d)), ["click", "purchase", "signup", "view"])[1]
 
 
 @query("drop_all_zero_series", """
 WITH z AS (SELECT location_id, variable, bucket, date, CASE WHEN location_id LIKE '%4' THEN 0 ELSE value END AS value FROM evt),
- k AS (SELECT location_id, variable, bucket FROM z GROUP BY 1, 2, 3 HAVING bool_or(value <> 0)) SELECT z.* FROM z SEMI JOIN k USING (location_id, variable, bucket) WHERE variable IN ('click', 'view') UNION ALL SELECT * FROM z WHERE variable NOT IN ('click', 'view')""")
+ k AS (SELECT location_id, variable, bucket FROM z GROUP BY 1, 2, 3 HAVING bool_or(value <> 0)), o AS (SELECT z.* FROM z SEMI JOIN k USING (location_id, variable, bucket) WHERE variable IN ('click', 'view') UNION ALL SELECT * FROM z WHERE variable NOT IN ('click', 'view')),
+ s AS (SELECT * FROM static), t AS (SELECT * FROM tags) """ + FLAT)
 def _(spark, d):
     x = B.evt(spark, d).withColumn("value", F.when(F.col("location_id").endswith("4"), 0.0).otherwise(F.col("value")))
-    return O.drop_all_zero_series(B.dataset(spark, d).with_obs(x), ["click", "view"]).obs
+    return flatten(O.drop_all_zero_series(B.dataset(spark, d).with_obs(x), ["click", "view"]))
 
 
 # Daily order counts with a few planted jumps.
@@ -185,14 +183,13 @@ Z_TAG = """'{"date": "' || date || '", "original_observation": ' || raw || '}'""
 @query("drop_series_outliers", f"""
 WITH {SPIKES}, {zscore_sql('sp')}, f AS (SELECT *, COALESCE(abs(x - mean) > CASE WHEN date > DATE '1998-06-01' THEN 15.0 ELSE 8.0 END * std, false) AND raw > 30 AND date <> DATE '1999-03-17'
    AND location_id NOT IN (SELECT location_id FROM geo WHERE state = 'AL') AS outlier FROM z)
-SELECT 'obs' AS kind, {PK}, raw AS value, CAST(NULL AS VARCHAR) AS content FROM f WHERE NOT outlier UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, {Z_TAG} FROM f WHERE outlier""")
+, o AS (SELECT {PK}, raw AS value FROM f WHERE NOT outlier), s AS (SELECT * FROM static),
+ t AS (SELECT * FROM tags UNION ALL SELECT location_id, variable, bucket, 'zscore_outlier', {Z_TAG} FROM f WHERE outlier) {FLAT}""")
 def _(spark, d):
-    ds = B.dataset(spark, d)
-    ds = Dataset(spikes(spark, d), ds.static, ds.tags.limit(0))
     out = O.drop_series_outliers(
-        ds, "n_orders", 8.0, (D(1998, 6, 1), 15.0), 30, exempt=[D(1999, 3, 17)], skip=B.counties(spark, d).filter("state = 'AL'")
+        B.dataset(spark, d).with_obs(spikes(spark, d)), "n_orders", 8.0, (D(1998, 6, 1), 15.0), 30, exempt=[D(1999, 3, 17)], skip=B.counties(spark, d).filter("state = 'AL'")
     )
-    return flatten(out).filter("kind <> 'static'").drop("tag_type")
+    return flatten(out)
 
 
 # A ratio per group and day whose last value jumps for some groups.
@@ -213,24 +210,30 @@ WITH {RATIO}, df AS (SELECT *, CASE WHEN LAG(date) OVER ({P}) = date - 1 THEN ab
  zm AS (SELECT *, value AS x, AVG(value) OVER ({R(5, 'INTERVAL 1 DAY PRECEDING')}) AS m, stddev_pop(value) OVER ({R(5, 'INTERVAL 1 DAY PRECEDING')}) AS s, COUNT(value) OVER ({R(5, 'INTERVAL 1 DAY PRECEDING')}) AS n FROM spread),
  lz AS (SELECT *, MAX(date) FILTER (n >= 3 AND (s > 0 OR x <> m)) OVER (PARTITION BY location_id) AS last_d FROM zm),
  hit AS (SELECT lz.location_id, lz.date FROM lz JOIN df USING (location_id, date) WHERE lz.date = last_d AND abs(x - m) > 10 * s AND diff > 0.015)
-SELECT ra.location_id, ra.date, round(ra.value, 9) AS value, (hit.date IS NOT NULL) AS removed FROM ra LEFT JOIN hit USING (location_id, date)""")
+, o AS (SELECT {PK}, round(value, 9) AS value FROM ra ANTI JOIN hit USING (location_id, date)), s AS (SELECT * FROM static),
+ t AS (SELECT * FROM tags UNION ALL SELECT location_id, 'ratio', 'all', 'zscore_outlier', CAST(date AS VARCHAR) FROM hit) {FLAT}""")
 def _(spark, d):
-    ds = B.dataset(spark, d)
-    before = ratios(spark, d)
-    out = O.drop_tail_ratio_outliers(Dataset(before, ds.static.limit(0), ds.tags.limit(0)), "ratio")
-    left = out.obs.select(*POINT, F.lit(True).alias("_kept"))
-    return before.join(left, POINT, "left").select("location_id", "date", F.round("value", 9).alias("value"), F.col("_kept").isNull().alias("removed"))
+    out = O.drop_tail_ratio_outliers(B.dataset(spark, d).with_obs(ratios(spark, d)), "ratio")
+    obs = F.when(F.col("kind") == "obs", F.round("value", 9)).otherwise(F.col("value"))
+    # of the new tags the date is compared; the two engines write the ratio with other digits
+    at = T.decode(F.col("tag_type"), F.col("content"))["date"].cast("string")
+    new = (F.col("tag_type") == "zscore_outlier") & (F.col("variable") == "ratio")
+    return flatten(out).withColumns({"value": obs, "content": F.when(new, at).otherwise(F.col("content"))})
 
 
 @query("exclude_observations", f"""
 WITH p AS (SELECT DISTINCT location_id, variable, bucket, date FROM obs WHERE variable = 'revenue' AND value > 450000)
-SELECT 'obs' AS kind, {PK}, value, CAST(NULL AS DATE) AS tag_date, CAST(NULL AS DOUBLE) AS original FROM obs ANTI JOIN p USING ({PK}) UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, date, value FROM obs SEMI JOIN p USING ({PK})""")
+SELECT 'obs' AS kind, {PK}, value, CAST(NULL AS DATE) AS tag_date, CAST(NULL AS DOUBLE) AS original, CAST(NULL AS VARCHAR) AS content FROM obs ANTI JOIN p USING ({PK})
+UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, date, value, NULL FROM obs SEMI JOIN p USING ({PK})
+UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, NULL, NULL, content FROM tags UNION ALL SELECT 'static', location_id, attr, NULL, NULL, num, NULL, NULL, str FROM static""")
 def _(spark, d):
     ds = B.dataset(spark, d)
     points = ds.obs.filter("variable = 'revenue' and value > 450000")
-    out = O.exclude_observations(Dataset(ds.obs, ds.static.limit(0), ds.tags.limit(0)), points)
-    x = T.decode(F.col("tag_type"), F.col("content"))
-    return flatten(out).withColumn("x", x).select("kind", *POINT, "value", F.col("x.date").alias("tag_date"), F.col("x.original_observation").alias("original"))
+    out = O.exclude_observations(ds, points)
+    new = F.col("tag_type") == "zscore_outlier"
+    x = F.when(new, T.decode(F.col("tag_type"), F.col("content")))
+    return flatten(out).withColumn("x", x).select(
+        "kind", *POINT, "value", F.col("x.date").alias("tag_date"), F.col("x.original_observation").alias("original"), F.when(F.coalesce(~new, F.lit(True)), F.col("content")).alias("content"))
 
 
 ANOM = f"""{RULES_SQL}, days AS (SELECT rx.location_id, CASE kind WHEN 'cases' THEN 'n_orders' ELSE 'revenue' END AS variable, 'all' AS bucket, CAST(t AS DATE) AS date
@@ -252,13 +255,12 @@ def _(spark, d):
 
 @query("anomaly_filter", f"""
 WITH {ANOM}, live AS (SELECT * FROM days WHERE NOT (location_id LIKE 'iso1:us#iso2:us-ak%' AND date >= DATE '1998-12-01' AND date < DATE '1999-01-01'))
-SELECT 'obs' AS kind, {PK}, value, CAST(NULL AS VARCHAR) AS content FROM obs ANTI JOIN live USING ({PK})
-UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, '{{"public_note":"Known: ' || CASE variable WHEN 'n_orders' THEN 'cases' ELSE 'deaths' END || '","date":"' || date || '"}}' FROM live WHERE (location_id, date) IN (SELECT (location_id, date) FROM obs)""")
+, o AS (SELECT * FROM obs ANTI JOIN live USING ({PK})), s AS (SELECT * FROM static),
+ t AS (SELECT * FROM tags UNION ALL SELECT location_id, variable, bucket, 'known_issue', '{{"public_note":"Known: ' || CASE variable WHEN 'n_orders' THEN 'cases' ELSE 'deaths' END || '","date":"' || date || '"}}' FROM live WHERE (location_id, date) IN (SELECT (location_id, date) FROM obs)) {FLAT}""")
 def _(spark, d):
     ds = B.dataset(spark, d)
     exempt = F.col("location_id").startswith("iso1:us#iso2:us-ak") & (F.col("date") >= F.lit(D(1998, 12, 1))) & (F.col("date") < F.lit(D(1999, 1, 1)))
-    out = O.anomaly_filter(Dataset(ds.obs, ds.static.limit(0), ds.tags.limit(0)), named_rules(spark, d), exempt)
-    return flatten(out).drop("tag_type")
+    return flatten(O.anomaly_filter(ds, named_rules(spark, d), exempt))
 
 
 @query("rt_input_gate", f"""

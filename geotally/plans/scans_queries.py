@@ -10,8 +10,7 @@ from geotally.operators import filters as FL, layout as L
 from geotally.plans import bindings as B
 from geotally.plans.catalog import query
 from geotally.plans.filters_queries import BUCKET, flat_sql
-from geotally.plans.layout_queries import JAN
-from geotally.plans.sinks_queries import EV_TYPES, event_dataset
+from geotally.plans.sinks_queries import EV_TYPES, NTAGS, event_dataset
 from geotally.sources import readers as RD, registry as G, writers as WR
 
 D = datetime.date
@@ -42,22 +41,24 @@ def _(spark, d):
 
 
 @query("scan_mixed_csv_split", """
-SELECT 'obs' AS kind, location_id, variable, date, value FROM evt WHERE variable IN ('click', 'view') UNION ALL SELECT 'static', location_id, 'population', NULL, population FROM upop""")
+SELECT 'obs' AS kind, location_id, variable, date, value FROM evt UNION ALL SELECT 'static', location_id, 'population', NULL, population FROM upop""")
 def _(spark, d):
     path = work_dir(spark, "mixed")
     ds = event_dataset(spark, d)
-    WR.common_csv(ds.with_obs(ds.obs.filter(F.col("variable").isin("click", "view"))), path, ["click", "view"], ["population"])
-    obs, static = RD.mixed_csv(spark, path, ["click", "population", "view"])
+    # a value that is no number is no observation
+    nan = ds.obs.limit(1).select("location_id", "variable", "bucket", F.lit(D(2000, 1, 1)).alias("date"), F.lit(float("nan")).alias("value"))
+    WR.common_csv(ds.with_obs(ds.obs.unionByName(nan)), path)
+    obs, static = RD.mixed_csv(spark, path, ["click", "error", "population", "purchase", "signup", "view"])
     return obs.select(F.lit("obs").alias("kind"), "location_id", "variable", "date", "value").unionByName(
         static.select(F.lit("static").alias("kind"), "location_id", F.col("attr").alias("variable"), F.lit(None).cast("date").alias("date"), F.col("num").alias("value")))
 
 
 @query("scan_wide_dates_csv", """
 SELECT 'obs' AS kind, location_id, variable, bucket, date, value, CAST(NULL AS VARCHAR) AS content FROM evt
-UNION ALL SELECT DISTINCT 'tag', location_id, variable, bucket, NULL, NULL, p || variable FROM evt, (VALUES ('a_'), ('b_')) AS t(p)""")
+UNION ALL SELECT 'tag', location_id, variable, bucket, NULL, NULL, p || variable FROM """ + NTAGS)
 def _(spark, d):
     path = work_dir(spark, "wide")
-    WR.write_wide_dates(event_dataset(spark, d), path, JAN, {"provenance": 2})
+    WR.write_wide_dates(event_dataset(spark, d), path)
     ds = RD.wide_dates_csv(spark, path, all_buckets=False)
     return flatten(ds).filter("kind <> 'static'").drop("tag_type")
 

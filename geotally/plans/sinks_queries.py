@@ -1,53 +1,61 @@
 """Queries for sinks: each writes to shared storage and reads back what it wrote."""
 
-import datetime
-
 from pyspark.sql import functions as F
 
 from geotally.model import POINT, SERIES, TAG, Dataset, flatten, work_dir
 from geotally.plans import bindings as B
 from geotally.plans.catalog import query
 from geotally.plans.filters_queries import flat_sql
-from geotally.plans.layout_queries import JAN
-from geotally.plans.measures_queries import actual_wide, user_geo
+from geotally.plans.layout_queries import columns_as_rows
+from geotally.plans.measures_queries import actual_wide
+from geotally.plans.rt_queries import ALL, daily
+from geotally.operators import rt as RT
 from geotally.sources import readers as RD, writers as WR
 
 EV_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def event_dataset(spark, d):
-    """Events per user with two provenance tags per series."""
+    """Events per user with two or, for views, three provenance tags per series."""
     obs = B.evt(spark, d)
     s = obs.select(*SERIES).distinct()
-    rows = F.array(*[F.struct(F.lit("provenance").alias("tag_type"), F.concat(F.lit(p), "variable").alias("content")) for p in ("a_", "b_")])
+    one = lambda p: F.struct(F.lit("provenance").alias("tag_type"), F.concat(F.lit(p), "variable").alias("content"))
+    rows = F.when(F.col("variable") == "view", F.array(one("a_"), one("b_"), one("c_"))).otherwise(F.array(one("a_"), one("b_")))
     return Dataset(obs, B.ustatic(spark, d), s.select(*SERIES, F.inline(rows)).select(*TAG))
 
 
-@query("sink_common_csv", """
-SELECT location_id, date, SUM(value) FILTER (variable = 'click') AS click, SUM(value) FILTER (variable = 'view') AS view, CAST(NULL AS DOUBLE) AS population FROM evt GROUP BY 1, 2
-UNION ALL SELECT location_id, NULL, NULL, NULL, population FROM upop""")
+#: (prefix, number) of the tags of a series
+NTAGS = "(SELECT DISTINCT location_id, variable, bucket, p, n FROM evt, (VALUES ('a_', 0), ('b_', 1), ('c_', 2)) AS x(p, n) WHERE p <> 'c_' OR variable = 'view')"
+
+
+@query("sink_common_csv", f"""
+SELECT location_id, CAST(date AS VARCHAR) AS date, variable AS name, value, CAST(NULL AS VARCHAR) AS text FROM evt
+UNION ALL SELECT location_id, NULL, 'population', population, NULL FROM upop UNION ALL SELECT location_id, NULL, variable, NULL, p || variable FROM {NTAGS}""")
 def _(spark, d):
     path = work_dir(spark, "common-csv")
-    WR.common_csv(event_dataset(spark, d), path, EV_TYPES, ["population"])
-    schema = "location_id string, date date, click double, error double, population double, purchase double, signup double, view double"
-    return RD.csv(spark, path, schema).select("location_id", "date", "click", "view", "population")
+    WR.common_csv(event_dataset(spark, d), path)
+    cells = columns_as_rows(spark.read.csv(path, header=True), ["location_id", "date"])
+    sources = spark.read.csv(f"{path}-provenance", header=True)
+    return cells.select("location_id", "date", "name", F.col("cell").cast("double").alias("value"), F.lit(None).cast("string").alias("text")).unionByName(
+        sources.select("location_id", F.lit(None).cast("string").alias("date"), F.col("variable").alias("name"), F.lit(None).cast("double").alias("value"), F.col("provenance").alias("text")))
 
 
-@query("sink_wide_dates", "SELECT location_id, variable, bucket, 'a_' || variable AS \"provenance\", 'b_' || variable AS \"provenance-1\", " + ", ".join(
-    f"SUM(value) FILTER (date = DATE '{x}') AS \"{x}\"" for x in reversed(JAN)) + " FROM evt GROUP BY 1, 2, 3")
+@query("sink_wide_dates", f"""
+SELECT location_id, variable, bucket, CAST(date AS VARCHAR) AS name, value, CAST(NULL AS VARCHAR) AS tag FROM evt
+UNION ALL SELECT location_id, variable, bucket, 'provenance' || CASE n WHEN 0 THEN '' ELSE '-' || n END, NULL, p || variable FROM {NTAGS}""")
 def _(spark, d):
     path = work_dir(spark, "wide-dates")
-    WR.write_wide_dates(event_dataset(spark, d), path, JAN, {"provenance": 2})
-    dates = [x.isoformat() for x in reversed(JAN)]
-    schema = "location_id string, variable string, bucket string, provenance string, `provenance-1` string, " + ", ".join(f"`{x}` double" for x in dates)
-    return spark.read.schema(schema).csv(path, header=True)
+    WR.write_wide_dates(event_dataset(spark, d), path)
+    cells = columns_as_rows(spark.read.csv(path, header=True), SERIES)
+    tag = F.col("name").startswith("provenance")
+    return cells.select(*SERIES, "name", F.when(~tag, F.col("cell").cast("double")).alias("value"), F.when(tag, F.col("cell")).alias("tag"))
 
 
-@query("sink_snapshot", "SELECT location_id, bucket, date, value, variable FROM obsb WHERE variable = 'revenue'")
+@query("sink_snapshot", flat_sql("SELECT * FROM obsb"))
 def _(spark, d):
     path = work_dir(spark, "snapshot")
     WR.snapshot(B.dataset(spark, d, B.obsb), path)
-    return spark.read.parquet(f"{path}/obs").filter("variable = 'revenue'")
+    return flatten(Dataset(*[spark.read.parquet(f"{path}/{t}") for t in ("obs", "static", "tags")]))
 
 
 @query("sink_with_manifest", "SELECT 'orders' AS dataset_type, true AS has_time, (SELECT COUNT(*) FROM obs) AS points, (SELECT COUNT(*) FROM tags) AS tags")
@@ -61,17 +69,22 @@ def _(spark, d):
 
 
 def regions(spark, d):
-    totals = B.obs(spark, d).filter("variable = 'n_orders'").groupBy("location_id").agg(F.sum("value").alias("orders"), F.max("date").alias("last"))
+    of = lambda name: F.sum(F.when(F.col("variable") == name, F.col("value")))
+    # no order in the first year leaves no number, which the file must not have as text
+    early = F.sum(F.when((F.col("variable") == "n_orders") & (F.col("date") < "1993-01-01"), F.col("value")))
+    totals = B.obs(spark, d).groupBy("location_id").agg(
+        of("n_orders").alias("orders"), (F.sum(F.when(F.col("variable") == "revenue", F.round(F.col("value") * 100).cast("long"))) / 100).alias("revenue"), F.coalesce(early, F.lit(float("nan"))).alias("early"), F.max("date").alias("last"))
     return B.counties(spark, d).select("location_id", "fips", "state", "level", "country").join(totals, "location_id")
 
 
 @query("sink_region_json", """
-SELECT o.location_id, fips, state, level, SUM(value) AS orders, CAST(MAX(date) AS VARCHAR) AS last, state AS folder FROM obs o JOIN geo USING (location_id) WHERE variable = 'n_orders' GROUP BY 1, 2, 3, 4""")
+SELECT o.location_id, fips, state, level, SUM(value) FILTER (variable = 'n_orders') AS orders, SUM(CAST(round(value * 100) AS BIGINT)) FILTER (variable = 'revenue') / 100 AS revenue,
+ CAST(SUM(value) FILTER (variable = 'n_orders' AND date < DATE '1993-01-01') AS VARCHAR) AS early, CAST(MAX(date) AS VARCHAR) AS last, state AS folder FROM obs o JOIN geo USING (location_id) WHERE level = 'county' GROUP BY 1, 2, 3, 4""")
 def _(spark, d):
     path = work_dir(spark, "region-json")
     WR.region_json(regions(spark, d), path)
-    schema = "location_id string, fips string, state string, level string, orders double, last string, _level string, _state string"
-    return spark.read.schema(schema).json(path).select("location_id", "fips", "state", "level", "orders", "last", F.col("_state").alias("folder"))
+    schema = "location_id string, fips string, state string, level string, orders double, revenue double, early string, last string, _level string, _state string"
+    return spark.read.schema(schema).json(path).select("location_id", "fips", "state", "level", "orders", "revenue", "early", "last", F.col("_state").alias("folder"))
 
 
 @query("output_layout", """
@@ -99,9 +112,9 @@ def _(spark, d):
     return spark.read.schema(schema).csv(path, header=True)
 
 
-@query("sink_rt_metric", "SELECT location_id, date, round(value, 6) AS rt FROM srcall WHERE source = 'P'")
+@query("sink_rt_metric", f"""WITH RECURSIVE {ALL} SELECT location_id, date, round(composite, 6) AS rt, round(ci95, 6) AS ci95 FROM rtc""")
 def _(spark, d):
     path = work_dir(spark, "rt")
-    rt = B.srcall(spark, d).filter("source = 'P'").select("location_id", "date", F.round("value", 6).alias("rt"))
-    WR.rt_metric(rt, path)
+    rt = RT.rt_all_regions(daily(spark, d))[0]
+    WR.rt_metric(rt.select("location_id", "date", F.round("Rt_MAP_composite", 6).alias("rt"), F.round("Rt_ci95_composite", 6).alias("ci95")), path)
     return spark.read.parquet(path)

@@ -6,33 +6,46 @@ import subprocess
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from geotally.model import POINT, SERIES, TAG, Dataset
+from geotally.model import SERIES, Dataset, assert_declared, finite
 from geotally.operators import layout as L
 
 # Plural names of the levels in published paths.
 LEVEL_FILES = {"county": "counties", "state": "states", "cbsa": "cbsas", "place": "places", "country": "countries"}
 
 
-def common_csv(ds: Dataset, path: str, variables: list[str], attrs: list[str], include_static: bool = True) -> None:
-    """Dated rows, then static rows without a date, sorted by location and date; provenance beside it."""
-    obs = L.to_wide_variables(ds.obs.filter("bucket = 'all'"), variables, ["location_id", "date"])
-    rows = obs
+def _declared(df: DataFrame, column: str, names: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """The names that a file has as columns: those in the data, or those declared, which then must hold all."""
+    if names is None:
+        return df, sorted(r[0] for r in df.select(column).distinct().collect())
+    return assert_declared(df, column, names), names
+
+
+def common_csv(ds: Dataset, path: str, variables: list[str] | None = None, attrs: list[str] | None = None, include_static: bool = True) -> None:
+    """Dated rows, then static rows without a date, sorted by location and date; provenance beside it.
+
+    A variable or attribute that is not among the declared ones fails the job.
+    """
+    obs, variables = _declared(ds.obs.filter("bucket = 'all'"), "variable", variables)
+    rows = L.to_wide_variables(obs, variables, ["location_id", "date"])
     if include_static:
-        static = ds.static.groupBy("location_id").pivot("attr", attrs).agg(F.first(F.coalesce("str", F.col("num").cast("string"))))
-        rows = obs.unionByName(static.withColumn("date", F.lit(None).cast("date")), allowMissingColumns=True)
+        static, attrs = _declared(ds.static, "attr", attrs)
+        static = static.groupBy("location_id").pivot("attr", attrs).agg(F.first(F.coalesce("str", F.col("num").cast("string"))))
+        rows = rows.unionByName(static.withColumn("date", F.lit(None).cast("date")), allowMissingColumns=True)
     declared = L.sort_common_columns(rows, ["location_id", "date"])
     declared.orderBy(F.asc("location_id"), F.asc_nulls_last("date")).write.csv(path, header=True, dateFormat="yyyy-MM-dd")
     provenance = ds.tags.filter("tag_type = 'provenance'").select("location_id", "variable", F.col("content").alias("provenance"))
     provenance.orderBy("location_id", "variable").write.csv(f"{path}-provenance", header=True)
 
 
-def wide_dates(ds: Dataset, dates: list, tag_types: dict[str, int]) -> DataFrame:
+def wide_dates(ds: Dataset) -> DataFrame:
     """One row per series, newest date first; the n-th tag of a type goes to ``type-n``.
 
-    ``dates`` and ``tag_types`` (type to the largest number of its tags on one series) are
-    given, so the pivots need no job of their own.
+    Columns are those that the data need: a small aggregation finds the dates, another the largest
+    number of tags of each type on one series.
     """
-    names = [d.isoformat() if hasattr(d, "isoformat") else str(d) for d in sorted(dates, reverse=True)]
+    names = [x.isoformat() for x in reversed(L.all_dates(ds.obs))]
+    most = ds.tags.groupBy(*SERIES, "tag_type").agg(F.count("*").alias("n")).groupBy("tag_type").agg(F.max("n").alias("n"))
+    tag_types = {r["tag_type"]: r["n"] for r in most.orderBy("tag_type").collect()}
     values = ds.obs.withColumn("d", F.date_format("date", "yyyy-MM-dd")).groupBy(*SERIES).pivot("d", names).agg(F.first("value"))
     columns = [t if i == 0 else f"{t}-{i}" for t, n in tag_types.items() for i in range(n)]
     if not columns:
@@ -44,8 +57,8 @@ def wide_dates(ds: Dataset, dates: list, tag_types: dict[str, int]) -> DataFrame
     return wide.select(*SERIES, *[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`") for c in names])
 
 
-def write_wide_dates(ds: Dataset, path: str, dates: list, tag_types: dict[str, int], compression: str = "gzip") -> None:
-    wide_dates(ds, dates, tag_types).orderBy(*SERIES).write.csv(path, header=True, compression=compression, escape='"')
+def write_wide_dates(ds: Dataset, path: str, compression: str = "gzip") -> None:
+    wide_dates(ds).orderBy(*SERIES).write.csv(path, header=True, compression=compression, escape='"')
 
 
 def snapshot(ds: Dataset, path: str) -> None:
@@ -94,12 +107,24 @@ def bulk_file(level: Column, kind: str = "json", timeseries: bool = False, state
     return F.concat(F.try_element_at(names, level), suffix)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """Columns of doubles, also inside structs, with null for NaN."""
+    def clean(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return finite(value)
+        if isinstance(kind, T.StructType):
+            return F.when(value.isNotNull(), F.struct(*[clean(value[f.name], f.dataType).alias(f.name) for f in kind]))
+        return value
+
+    return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])
+
+
 def region_json(regions: DataFrame, path: str) -> None:
     """One JSON record per region under level and state folders; unset fields are left out.
 
     The rebalance hint lets AQE split one large state over several files.
     """
-    rows = regions.withColumns({"_state": F.coalesce("state", F.lit("all")), "_level": F.col("level")})
+    rows = without_nan(regions).withColumns({"_state": F.coalesce("state", F.lit("all")), "_level": F.col("level")})
     rows.hint("rebalance", "_level", "_state").write.partitionBy("_level", "_state").json(path)
 
 
