@@ -235,3 +235,84 @@ def _(spark, d):
     all_obs = parts[0].unionByName(parts[1]).unionByName(plain_cdc)
     prio = feature_priorities(spark, {"cases": ["CDC", "NYTimes"]})
     return all_obs.join(prio, ["variable", "source"]).groupBy("variable", "source", "prio").agg(F.count("*").alias("points"))
+
+
+# A fact table with rows for every declared variable, in states and counties, and some that nothing declares.
+SPECS = sorted({(r[0], r[1], r[2], r[3]) for c in G.CONNECTORS.values() for r in c.variables}) + [
+    ("state", "ventilators_in_use", "current", "beds"), ("state", "brand_new", "current", "beds"), ("hhs", "brand_new", "new", "people")]
+DECLARED = f"""sv AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{a}', '{b}', '{m}', '{u}')" for i, (a, b, m, u) in enumerate(SPECS))}) AS s(no, provider, variable_name, measurement, unit)),
+ ev AS (SELECT CASE WHEN user_id % 4 = 0 THEN regexp_replace(location_id, '#fips.*', '') ELSE location_id END AS location_id, dt + CAST((event_id * 7 + user_id) % 23 AS INTEGER) AS dt, (event_id * 31 + user_id) % {len(SPECS)} AS no FROM fact),
+ df AS (SELECT provider, variable_name, measurement, unit, location_id, dt, CAST(COUNT(*) AS DOUBLE) AS value FROM ev JOIN sv USING (no) GROUP BY ALL),
+ dg AS (SELECT DISTINCT location_id, upper(substr(location_id, 17, 2)) AS state, nullif(regexp_extract(location_id, 'fips:([0-9]+)', 1), '') AS fips, CASE WHEN location_id LIKE '%fips%' THEN 'county' ELSE 'state' END AS level FROM df)"""
+
+
+def declared_fact(spark, d):
+    specs = F.broadcast(spark.createDataFrame([(i, *s) for i, s in enumerate(SPECS)], "no long, provider string, variable_name string, measurement string, unit string"))
+    f, u, e = B.fact(spark, d), F.col("user_id"), F.col("event_id")
+    place = F.when(u % 4 == 0, F.regexp_replace("location_id", "#fips.*", "")).otherwise(F.col("location_id"))
+    x = f.select(place.alias("location_id"), F.date_add("dt", ((e * 7 + u) % 23).cast("int")).alias("dt"), ((e * 31 + u) % len(SPECS)).alias("no")).join(specs, "no")
+    out = x.groupBy("provider", "dt", "location_id", "variable_name", "measurement", "unit").agg(F.count("*").cast("double").alias("value"))
+    null = F.lit(None).cast("string")
+    return out.withColumns({c: F.lit("all") for c in ("age", "race", "ethnicity", "sex")} | {"source_url": null, "source_name": null})
+
+
+def declared_geo(fact):
+    fips = F.nullif(F.regexp_extract("location_id", "fips:([0-9]+)", 1), F.lit(""))
+    return fact.select("location_id").distinct().select(
+        "location_id", F.upper(F.substring("location_id", 17, 2)).alias("state"), fips.alias("fips"), F.when(fips.isNull(), "state").otherwise("county").alias("level"))
+
+
+# Fields of which no source has a step that fills, cuts or combines; those are checked one by one above.
+PLAIN = {f: n for f, n in G.FEATURES.items() if f not in ("cases", "deaths", "test_positivity_7d", "contact_tracers_count")}
+LISTED = ", ".join(
+    f"('{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}', '{f}', '{label}', {prio})"
+    for f, names in PLAIN.items() for prio, label in enumerate(reversed(names)) for r in G.CONNECTORS[label.partition(":")[0]].variables if r[4] == f)
+MASKED = " OR ".join([f"(source LIKE '%:{m}' AND ({p}))" for m, p in G.MASKS.items()] + ["source NOT LIKE '%:%'"])
+
+
+@query("features_by_declared_sources", f"""
+WITH {DECLARED}, li AS (SELECT * FROM (VALUES {LISTED}) AS l(provider, variable_name, measurement, unit, variable, source, prio)),
+ al AS (SELECT df.location_id, variable, dt AS date, value, source, prio FROM df JOIN li USING (provider, variable_name, measurement, unit) JOIN dg USING (location_id) WHERE {MASKED}),
+ be AS (SELECT location_id, variable, MIN(prio) AS prio FROM al GROUP BY 1, 2)
+SELECT location_id, variable, date, value, source FROM al JOIN be USING (location_id, variable, prio)""")
+def _(spark, d):
+    from geotally.operators.combine import combine_by_priority, feature_priorities
+
+    fact = declared_fact(spark, d)
+    obs, tags = G.load_features(fact, declared_geo(fact), features=PLAIN)
+    points, _ = combine_by_priority(obs, tags, feature_priorities(spark, PLAIN))
+    return points.select("location_id", "variable", "date", "value", "source")
+
+
+@query("connector_all", f"""
+WITH {DECLARED}, li AS (SELECT * FROM (VALUES {", ".join(f"('{n}', '{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}', '{r[4]}')" for n, c in G.CONNECTORS.items() for r in c.variables)}) AS l(connector, provider, variable_name, measurement, unit, variable))
+SELECT connector, variable, COUNT(*) AS points, SUM(value) AS total FROM df JOIN li USING (provider, variable_name, measurement, unit) GROUP BY 1, 2""")
+def _(spark, d):
+    """What each connector reads, before its own steps."""
+    fact = declared_fact(spark, d)
+    rows = [G.Connector(n, c.variables).load(fact, declared_geo(fact)).obs.groupBy("variable").agg(F.count("*").alias("points"), F.sum("value").alias("total")).select(F.lit(n).alias("connector"), "*") for n, c in G.CONNECTORS.items()]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query("unlisted_variables", f"WITH {DECLARED} SELECT provider, variable_name, COUNT(*) AS n FROM df WHERE variable_name = 'brand_new' GROUP BY 1, 2")
+def _(spark, d):
+    return G.unlisted_variables(declared_fact(spark, d))
+
+
+@query("static_by_declared_sources", """
+SELECT location_id, attr, num, CAST(NULL AS VARCHAR) AS str, 'FIPSPopulation' AS source FROM (SELECT location_id, 'population' AS attr, population AS num FROM pop WHERE population IS NOT NULL)
+UNION ALL SELECT m.location_id, 'hsa_population', t.n, NULL, 'HSAPopulation' FROM pop JOIN hsamap m USING (location_id) JOIN (SELECT hsa, SUM(population) AS n FROM pop JOIN hsamap USING (location_id) GROUP BY 1) t USING (hsa)
+UNION ALL SELECT m.location_id, 'hsa', NULL, hsa, 'HSAPopulation' FROM pop JOIN hsamap m USING (location_id)
+UNION ALL SELECT location_id, 'location_page_url', NULL, 'https://example.org/us/' || lower(state), 'LocationPages' FROM geo WHERE level = 'county'""")
+def _(spark, d):
+    from geotally.operators.rollup import hsa_population
+
+    pop = B.pop(spark, d).select("location_id", "population")
+    area = hsa_population(pop, B.hsamap(spark, d).withColumn("hsa_name", F.lit(None).cast("string"))).drop("hsa_name")
+    url = F.concat(F.lit("https://example.org/us/"), F.lower("state")).alias("location_page_url")
+    pages = B.counties(spark, d).select("location_id", url)
+    files = {"FIPSPopulation": G.static_source(pop, ["population"], []), "HSAPopulation": G.static_source(area, ["hsa_population"], ["hsa"]), "LocationPages": G.static_source(pages, [], ["location_page_url"])}
+    return G.load_static_features(files, {k: v for k, v in G.STATIC_FEATURES.items() if k != "hsa_name"})

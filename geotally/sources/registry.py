@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from geotally.functions import tagtext as T
-from geotally.model import POINT, Dataset
-from geotally.operators import combine as C, filters, rollup, windows as WN
+from geotally.model import OBS_SCHEMA, POINT, TAG, TAG_SCHEMA, Dataset
+from geotally.operators import combine as C, filters, layout as L, rollup, windows as WN
 from geotally.sources.provider import query_variables
 
 Step = Callable[[Dataset, DataFrame], Dataset]
@@ -191,38 +191,110 @@ def combined_positivity(fact: DataFrame, geo: DataFrame) -> Dataset:
     return b.with_obs(C.coalesce_pointwise(a.obs, b.obs))
 
 
-# Sources per field, lowest priority first. Region limits are applied by
-# ``source_with_region_mask`` where a source is listed with a qualifier after the colon.
+# Regions left out of a source, as predicates over the geo dimension; why, in a word, beside.
+MASKS = {
+    "counties": "level = 'county'",
+    "no-cities": "coalesce(fips, '') not in ("
+    "'36047', '36081', '36005', '36085', '36061', "  # one city's counties are reported as one
+    "'29037', '29047', '29095', '29165', '29097', '29145')",  # two cities report apart from their counties
+    "no-boosters": "level = 'country' or (level = 'state' and state <> 'NC')",  # boosters counted wrongly
+    "no-fl": "not (level = 'county' and coalesce(state, '') = 'FL')",
+    "completed": "coalesce(state, '') not in ('CA', 'NM', 'PA', 'VA', 'VT', 'HI', 'NC') and "  # irregular or incomplete
+    "coalesce(fips, '') not in ('30035', '04023', '72013', '02060', '72049', '13053')",  # shares near or above one
+}
+MASKS["initiated"] = MASKS["completed"] + " and not (level = 'county' and coalesce(state, '') = 'NE')"
+
+# Sources per field, lowest priority first, each with a mask after the colon or without.
+VACCINE_DOSES = ["CDCVaccine:counties", "StateDashboards:no-fl", "CountyDashboards", "CDCVaccine:no-boosters"]
+HOSPITALS = ["StateDashboards", "HHSHospitalCounty", "HHSHospitalState"]
 FEATURES = {
-    "cases": ["CDC", "spliced"], "deaths": ["CDC", "spliced"],
+    "cases": ["CDC", "CDCNYT:no-cities"], "deaths": ["CDC", "CDCNYT:no-cities"],
     "contact_tracers_count": ["TestAndTrace"],
-    "current_hospitalized": ["StateDashboards", "HHSHospitalCounty", "HHSHospitalState"],
-    "current_icu": ["StateDashboards", "HHSHospitalCounty", "HHSHospitalState"],
-    "current_icu_total": ["HHSHospitalCounty", "HHSHospitalState"],
-    "hospital_beds_in_use_any": ["HHSHospitalCounty", "HHSHospitalState"],
-    "icu_beds": ["StateDashboards", "HHSHospitalCounty", "HHSHospitalState"],
-    "staffed_beds": ["StateDashboards", "HHSHospitalCounty", "HHSHospitalState"],
+    "current_hospitalized": HOSPITALS, "current_icu": HOSPITALS, "icu_beds": HOSPITALS, "staffed_beds": HOSPITALS,
+    "current_icu_total": HOSPITALS[1:], "hospital_beds_in_use_any": HOSPITALS[1:],
     "beds_with_covid_patients_ratio_hsa": ["CDCCommunityLevels"],
     "new_hospital_admissions_covid": ["HHSHospitalState"],
     "weekly_new_hospital_admissions_covid": ["HHSHospitalCounty"],
     "weekly_new_hospital_admissions_covid_per_100k_hsa": ["CDCCommunityLevels"],
     "negative_tests": ["HHSTesting"], "positive_tests": ["HHSTesting"],
     "positive_tests_viral": ["StateDashboards"], "total_tests_viral": ["StateDashboards"],
-    "test_positivity_7d": ["combined_positivity"],
-    "vaccines_distributed": ["CDCVaccineCounties:all", "StateDashboards:no-fl", "CountyDashboards", "CDCVaccine"],
-    "vaccines_administered": ["CDCVaccineCounties:all", "StateDashboards:no-fl", "CountyDashboards", "CDCVaccine"],
-    "vaccinations_initiated": ["StateDashboards:no-fl", "CountyDashboards", "CDCVaccine", "CDCVaccineCounties:initiated"],
-    "vaccinations_completed": ["StateDashboards:no-fl", "CountyDashboards", "CDCVaccine", "CDCVaccineCounties:completed"],
-    "vaccinations_additional_dose": ["StateDashboards:no-fl", "CountyDashboards", "CDCVaccine", "CDCVaccineCounties:completed"],
-    "vaccinations_2022_fall_bivalent_dose": ["CDCVaccine", "CDCVaccineCounties:completed"],
-    "vaccinations_initiated_pct": ["StateDashboards:no-fl", "CountyDashboards"],
-    "vaccinations_completed_pct": ["StateDashboards:no-fl", "CountyDashboards"],
+    "test_positivity_7d": ["CDCCombinedTesting"],
+    "vaccines_distributed": VACCINE_DOSES, "vaccines_administered": VACCINE_DOSES,
+    "vaccinations_initiated": [*VACCINE_DOSES[1:], "CDCVaccineCounties:initiated"],
+    "vaccinations_completed": [*VACCINE_DOSES[1:], "CDCVaccineCounties:completed"],
+    "vaccinations_additional_dose": [*VACCINE_DOSES[1:], "CDCVaccineCounties:completed"],
+    "vaccinations_2022_fall_bivalent_dose": ["CDCVaccine:no-boosters", "CDCVaccineCounties:completed"],
+    "vaccinations_initiated_pct": VACCINE_DOSES[1:3], "vaccinations_completed_pct": VACCINE_DOSES[1:3],
     "cdc_community_level": ["CDCCommunityLevels"],
 }
 STATIC_FEATURES = {
-    "population": ["population"], "hsa_population": ["hsa"], "hsa": ["hsa"], "hsa_name": ["hsa"], "location_page_url": ["urls"],
+    "population": ["FIPSPopulation"], "hsa_population": ["HSAPopulation"], "hsa": ["HSAPopulation"], "hsa_name": ["HSAPopulation"],
+    "location_page_url": ["LocationPages"],
 }
 
+COMBINED: dict[str, Callable[[DataFrame, DataFrame], Dataset]] = {"CDCNYT": spliced_cases, "CDCCombinedTesting": combined_positivity}
+
+
+def load_source(name: str, fact: DataFrame, geo: DataFrame, files: dict[str, Dataset]) -> Dataset:
+    """A source by name: a connector, one combined from connectors, or one that comes from a file."""
+    if name in files:
+        return files[name]
+    if name in COMBINED:
+        return COMBINED[name](fact, geo)
+    if name in CONNECTORS:
+        return CONNECTORS[name].load(fact, geo)
+    raise ValueError(f"unknown source {name}")
+
+
+def load_features(fact: DataFrame, geo: DataFrame, files: dict[str, Dataset] | None = None, features: dict[str, list[str]] = FEATURES) -> tuple[DataFrame, DataFrame]:
+    """Observations and tags of all listed sources, each with a ``source`` column as listed.
+
+    A name or mask that is not known is an error before anything runs. Every source gives only the
+    fields that list it, in the regions of its mask.
+    """
+    files = files or {}
+    listed: dict[str, list[str]] = {}
+    for field_, names in features.items():
+        for name in names:
+            listed.setdefault(name, []).append(field_)
+    parts = []
+    for label, fields in listed.items():
+        name, _, mask = label.partition(":")
+        if mask and mask not in MASKS:
+            raise ValueError(f"unknown mask {mask} of source {name}")
+        ds = load_source(name, fact, geo, files)
+        obs, tags = (x.filter(F.col("variable").isin(fields)) for x in (ds.obs.select(*POINT, "value"), ds.tags.select(*TAG)))
+        if mask:
+            obs, tags = (C.source_with_region_mask(x, geo, F.expr(MASKS[mask])) for x in (obs, tags))
+        parts.append((obs.withColumn("source", F.lit(label)), tags.withColumn("source", F.lit(label))))
+    return C.union_all([p[0] for p in parts]), C.union_all([p[1] for p in parts])
+
+
+def static_source(wide: DataFrame, numbers: list[str], strings: list[str]) -> Dataset:
+    """A source of attributes alone: populations, health areas or page addresses, by location."""
+    spark = wide.sparkSession
+    return Dataset(spark.createDataFrame([], OBS_SCHEMA), L.static_long(wide, numbers, strings), spark.createDataFrame([], TAG_SCHEMA))
+
+
+def load_static_features(files: dict[str, Dataset], features: dict[str, list[str]] = STATIC_FEATURES) -> DataFrame:
+    """Attributes of all listed sources with a ``source`` column."""
+    parts = []
+    for attr, names in features.items():
+        for name in names:
+            if name not in files:
+                raise ValueError(f"unknown source {name}")
+            parts.append(files[name].static.filter(F.col("attr") == attr).withColumn("source", F.lit(name)))
+    return C.union_all(parts)
+
+
+def unlisted_variables(fact: DataFrame) -> DataFrame:
+    """Per provider the names in the fact table that no connector reads or ignores, with their rows."""
+    known = {(r[0], r[1]) for c in CONNECTORS.values() for r in c.variables} | {n for c in CONNECTORS.values() for n in c.ignored}
+    names = F.broadcast(fact.sparkSession.createDataFrame(sorted(known), "provider string, variable_name string"))
+    counts = fact.filter(F.col("provider").isin(sorted({k[0] for k in known}))).groupBy("provider", "variable_name").agg(F.count("*").alias("n"))
+    return counts.join(names, ["provider", "variable_name"], "left_anti")
+
+
 # Field group of each published field.
 FIELD_GROUPS = {
     "cases_deaths": ["cases", "deaths", "recovered", "new_cases", "new_deaths", "weekly_new_cases", "weekly_new_deaths"],
