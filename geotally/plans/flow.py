@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from geotally.model import POINT, SERIES, STATIC, TAG, Dataset, materialize, whole_series
 from geotally.operators import combine as C, filters, levels as LV, measures as M, publish as PB, quality as Q, rollup as RU, windows as WN
-from geotally.operators.layout import to_wide_variables
+from geotally.sources import writers as WR
 
 
 @dataclass(frozen=True)
@@ -142,3 +142,30 @@ def metrics(ds: Dataset, new_cases: str = "new_cases", rt: DataFrame | None = No
         "location_id", "date", (F.col("Rt_ci95_composite") - F.col("Rt_MAP_composite")).alias("value"))
     days = density.select("location_id", "date").distinct()
     return M.metrics_timeseries(days, parts, multiples={"weeklyNewCasesPer100k": ("caseDensity", 7)})
+
+
+# The kinds of published files; each is a folder with one folder per level inside.
+PUBLISHED = ("summary_json", "timeseries_json", "summary_csv", "timeseries_csv")
+
+
+def publish(geo: DataFrame, summary: DataFrame, parts: dict[str, DataFrame], path: str, order: dict[str, list[str]] | None = None) -> None:
+    """Write the summary of every region, its daily rows, and flat tables of both.
+
+    JSON holds one record per region under level and state; CSV has nested fields as dotted columns, in the
+    declared ``order`` of its kind. Under each kind, a folder named as the published file holds a level's parts.
+    The summary is written first and read for the others, so it is made once.
+    """
+    summary = materialize(summary, "summary")
+    order = order or {}
+
+    def file(df: DataFrame, kind: str, timeseries: bool) -> DataFrame:
+        return df.withColumn("_file", WR.bulk_file(F.col("level"), kind, timeseries)).hint("rebalance", "_file")
+
+    file(WR.without_nan(summary), "json", False).write.partitionBy("_file").json(f"{path}/summary_json")
+    file(PB.region_timeseries(summary, {f"{name}Timeseries": part for name, part in parts.items()}), "json", True).write.partitionBy("_file").json(f"{path}/timeseries_json")
+    maps = [f.name for f in summary.schema if f.dataType.typeName() in ("map", "array")]
+    flat = WR.flatten_struct(file(summary.drop(*maps), "csv", False), order.get("summary_csv") and [*order["summary_csv"], "_file"])
+    flat.write.partitionBy("_file").csv(f"{path}/summary_csv", header=True)
+    header = geo.select(*[c for c in geo.columns if c in summary.columns])
+    daily = WR.flatten_struct(file(PB.flat_rows(header, parts), "csv", True), order.get("timeseries_csv") and [*order["timeseries_csv"], "_file"])
+    daily.write.partitionBy("_file").csv(f"{path}/timeseries_csv", header=True)

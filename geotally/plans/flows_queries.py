@@ -4,12 +4,13 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from geotally.model import POINT, SERIES, STATIC, Dataset, flatten
-from geotally.operators import combine as C, levels as LV, publish as PB, quality as Q, rt as RT
+from geotally.model import POINT, Dataset, flatten, work_dir
+from geotally.operators import combine as C, levels as LV, quality as Q, rt as RT
 from geotally.plans import bindings as B, flow as FL
 from geotally.plans.catalog import query
 from geotally.plans.filters_queries import FLAT
 from geotally.plans.joins_queries import DEFINITION, MISSING, PRIO, STATICS, source_tags, sparse_sources, static_sources
+from geotally.plans import measures_queries as MS
 from geotally.plans.measures_queries import CD, LR, OVERALL, RT as RISK_RT, TC, TOTAL, TP, TT, carry_sql
 from geotally.plans.rollups_queries import rounded
 from geotally.plans.rt_queries import ALL
@@ -130,3 +131,45 @@ def _(spark, d):
     m = FL.materialize(FL.metrics(ds, rt=rt), "metrics")
     return m.join(LV.risk_timeseries(m).withColumnRenamed("caseDensity", "caseDensityLevel"), ["location_id", "date"]).join(
         LV.transmission_timeseries(m), ["location_id", "date"])
+
+
+@query("publish_flow", f"""
+WITH {MS.SUMMARY}, {MS.WIDE} SELECT 'summary_json' AS kind, 'places.json' AS file, location_id, cases AS value, 1 AS n FROM upop JOIN lw USING (location_id)
+UNION ALL SELECT 'summary_csv', 'places.csv', location_id, cases, 1 FROM upop JOIN lw USING (location_id)
+UNION ALL SELECT 'timeseries_json', 'places.timeseries.json', location_id, SUM(click), COUNT(*) FROM upop JOIN w USING (location_id) GROUP BY 3
+UNION ALL SELECT 'timeseries_csv', 'places.timeseries.csv', location_id, SUM(click), COUNT(*) FROM upop JOIN w USING (location_id) GROUP BY 3""")
+def _(spark, d):
+    """Summaries, daily rows and flat tables of all regions, written and read back."""
+    path = work_dir(spark, "published")
+    FL.publish(MS.user_geo(spark, d), MS.summary(spark, d), MS.day_parts(spark, d), path)
+    cases = "actuals struct<cases: double>"
+    read = {
+        "summary_json": spark.read.schema(f"location_id string, {cases}, _file string").json(f"{path}/summary_json").select("_file", "location_id", F.col("actuals.cases").alias("value"), F.lit(1).alias("n")),
+        "summary_csv": spark.read.csv(f"{path}/summary_csv", header=True).select("_file", "location_id", F.col("`actuals.cases`").cast("double").alias("value"), F.lit(1).alias("n")),
+        "timeseries_json": spark.read.schema("location_id string, actualsTimeseries array<struct<date: string, cases: double>>, _file string").json(f"{path}/timeseries_json").select(
+            "_file", "location_id", F.aggregate("actualsTimeseries", F.lit(None).cast("double"), lambda s, x: F.coalesce(s + x["cases"], x["cases"], s)).alias("value"), F.size("actualsTimeseries").alias("n")),
+        "timeseries_csv": spark.read.csv(f"{path}/timeseries_csv", header=True).groupBy("_file", "location_id").agg(F.sum(F.col("`actuals.cases`").cast("double")).alias("value"), F.count("*").alias("n")),
+    }
+    parts = [df.select(F.lit(kind).alias("kind"), F.col("_file").alias("file"), "location_id", "value", F.col("n").cast("long").alias("n")) for kind, df in read.items()]
+    return C.union_all(parts)
+
+
+RATIO_FLOW = """ro AS (SELECT location_id, date, SUM(value) FILTER (variable = 'revenue') / SUM(value) FILTER (variable = 'n_orders') / 1000000 AS value FROM obs GROUP BY 1, 2),
+ ra AS (SELECT location_id, 'test_positivity_7d' AS variable, date, value FROM ro WHERE value IS NOT NULL UNION ALL SELECT location_id, variable, date, value FROM obs WHERE variable = 'n_orders'),
+ pw AS (SELECT location_id, population AS w FROM pop), cw AS (SELECT m.location_id, m.parent_id, w, SUM(w) OVER (PARTITION BY m.parent_id) AS tot FROM cbsamap m LEFT JOIN pw USING (location_id)),
+ uw AS (SELECT g.location_id, 'iso1:us' AS parent_id, w, SUM(w) OVER () AS tot FROM geo g LEFT JOIN pw USING (location_id) WHERE level = 'county')"""
+
+
+@query("roll_up_ratios_flow", f"""
+WITH {RATIO_FLOW}, sh AS (SELECT * FROM cw UNION ALL SELECT * FROM uw)
+SELECT parent_id AS location_id, variable, date, round(SUM(CASE variable WHEN 'n_orders' THEN value ELSE value * w / tot END), 6) AS value FROM ra JOIN sh USING (location_id) GROUP BY 1, 2, 3 HAVING SUM(w) / MAX(tot) >= 0.2""")
+def _(spark, d):
+    """Counts are added up and ratios are means by population, without being asked to."""
+    wide = B.obs(spark, d).groupBy("location_id", "bucket", "date").pivot("variable", ["n_orders", "revenue"]).agg(F.first("value"))
+    ratio = wide.select("location_id", F.lit("test_positivity_7d").alias("variable"), "bucket", "date", F.try_divide(F.col("revenue"), F.col("n_orders") * 1000000).alias("value"))
+    obs = ratio.filter("value is not null").unionByName(B.obs(spark, d).filter("variable = 'n_orders'").select(*POINT, "value"))
+    cfg = FL.Config(as_of=D(2002, 1, 1), coverage=0.2)
+    out = FL.roll_up(B.dataset(spark, d).with_obs(obs), B.hsamap(spark, d), B.cbsamap(spark, d), B.counties(spark, d), cfg, hsa_fields={})
+    areas = B.cbsamap(spark, d).select(F.col("parent_id").alias("location_id")).distinct()
+    parents = areas.unionByName(spark.range(1).select(F.lit("iso1:us").alias("location_id")))
+    return out.obs.join(parents, "location_id", "left_semi").select("location_id", "variable", "date", F.round("value", 6).alias("value"))
