@@ -117,3 +117,34 @@ def test_latest_metrics_ages(spark):
     df = spark.createDataFrame(rows, "location_id string, date date, caseDensity double, testPositivityRatio double, infectionRate double, infectionRateCI90 double")
     r = M.latest_metrics(df, ["caseDensity", "testPositivityRatio", "infectionRate", "infectionRateCI90"]).first()
     assert r["caseDensity"] is None and r["testPositivityRatio"] == 2.0 and r["infectionRate"] == 22.0
+
+
+def test_weights_by_default_and_by_field(spark):
+    """Ratios are means by population without being listed; a field may have a weight of its own."""
+    ds = make_dataset(
+        spark, {"a": {"test_positivity_7d": [0.1], "cases": [5], "use": [0.5]}, "b": {"test_positivity_7d": [0.3], "cases": [7], "use": [1.0]}},
+        {"a": {"population": 100, "beds": 30}, "b": {"population": 300, "beds": 10}})
+    area = spark.createDataFrame([("a", "p"), ("b", "p")], "location_id string, parent_id string")
+    out = {r["variable"]: r["value"] for r in R.aggregate_regions(ds, area).obs.collect()}
+    assert out["cases"] == 12 and abs(out["test_positivity_7d"] - 0.25) < 1e-12 and out["use"] == 1.5
+    out = {r["variable"]: r["value"] for r in R.aggregate_regions(ds, area, weighted={"use": "beds", "test_positivity_7d": "population"}).obs.collect()}
+    assert abs(out["use"] - 0.625) < 1e-12 and abs(out["test_positivity_7d"] - 0.25) < 1e-12
+
+
+def test_undeclared_names_fail(spark):
+    """A list that names the columns of a result must hold all names in the data."""
+    from geotally.operators import qa
+
+    rows = spark.createDataFrame([("r", START, "x", 1.0), ("r", START, "y", 2.0)], "location_id string, date date, source string, value double")
+    assert qa.source_comparison(rows, ["x", "y"]).first()["y"] == 2
+    with pytest.raises(Exception, match="undeclared source"):
+        qa.source_comparison(rows, ["x"]).collect()
+
+
+def test_padding_never_shortens(spark):
+    from pyspark.sql import functions as F
+
+    from geotally.functions import regions
+
+    got = spark.createDataFrame([(0,), (1,), (1001,), (4805000,)], "n int").select(regions.fips_from_int(F.col("n")), regions.hsa_code(F.col("n"))).collect()
+    assert [tuple(r) for r in got] == [("0", "000"), ("01", "001"), ("01001", "1001"), ("4805000", "4805000")]

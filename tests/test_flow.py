@@ -45,3 +45,34 @@ def test_special_regions(spark):
     cfg = FL.Config(as_of=START, incidents={"cases": "new_cases"}, estimate=None, city=("location_id in ('c1', 'c2')", "city"), replace=("s", "c1"))
     out, _ = FL.clean(ds, geo(spark), parents(spark), None, cfg)
     assert series(out.obs, "city", "x") == [3.0] and series(out.obs, "c1", "x") == [9.0]
+
+
+def test_two_states_with_all_steps(spark):
+    """Each state is judged by its own calendar, and a spread range patches one state only."""
+    day = lambda i: START + datetime.timedelta(days=i)
+    where = spark.createDataFrame(
+        [("s", "48", "TX", "state"), ("t", "06", "CA", "state")], "location_id string, fips string, state string, level string")
+    none = spark.createDataFrame([], "location_id string, parent_id string")
+    ratio = [0.10, 0.11] * 10 + [0.9]  # jumps at its end
+    stalled = [0.0] + [10.0] * 8 + [0.0, 0.0, 30.0] + [10.0] * 4
+    total = [sum(stalled[: i + 1]) for i in range(len(stalled))]
+    ds = make_dataset(spark, {
+        "s": {"test_positivity_7d": ratio, "cases": total},
+        "t": {"test_positivity_7d": [0.1] * 40, "cases": total}}, {"s": {"population": 10}, "t": {"population": 10}})
+    anomalies = spark.createDataFrame([("s", "new_cases", day(11), day(11), "late"), ("s", "new_cases", day(13), day(13), "odd")], "location_id string, variable string, start date, end date, note string")
+    cfg = FL.Config(
+        as_of=day(60), cumulative=[], estimate=None, weekly={}, outliers={}, spread_ranges=[("state = 'TX'", "new_cases", day(8), day(11))],
+        anomalies_exempt=f"location_id = 's' and date = DATE '{day(11)}'")
+    out, _ = FL.clean(ds, where, none, anomalies, cfg)
+    assert len(series(out.obs, "s", "test_positivity_7d")) == 20
+    assert [(r["location_id"], r["variable"]) for r in out.tags.filter("tag_type = 'zscore_outlier'").collect()] == [("s", "test_positivity_7d")]
+    assert series(out.obs, "s", "new_cases", n=14)[8:] == [10.0, 10.0, 10.0, 10.0, 10.0, N]
+    assert series(out.obs, "t", "new_cases", n=14)[8:] == [10.0, 0.0, 0.0, 30.0, 10.0, 10.0]
+
+
+def test_a_derived_variable_must_be_new(spark):
+    import pytest
+
+    ds = make_dataset(spark, {"s": {"cases": [1, 2, 4], "new_cases": [1, 1, 2]}}, {"s": {"population": 10}})
+    with pytest.raises(Exception, match="not disjoint"):
+        FL.clean(ds, geo(spark), parents(spark), None, FL.Config(as_of=START + datetime.timedelta(days=9), estimate=None, weekly={}))
