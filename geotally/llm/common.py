@@ -6,11 +6,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from geotally.model import materialize
 
-__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "written", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of"]
+__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "written", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of", "packed", "unpacked", "unpacked_texts"]
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,6 +67,35 @@ def with_running_total(df: DataFrame, keys: list[str], hashed: str, ties: list[s
 # ---------------------------------------------------------------- inside Arrow batches
 
 
+def _with_column(df: DataFrame, name: str, kind: T.DataType, change) -> DataFrame:
+    """``df`` with each batch's column replaced; all other columns pass through."""
+    place = df.columns.index(name)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.set_column(place, name, change(batch.column(place)))
+
+    return df.mapInArrow(run, T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in df.schema]))
+
+
+def packed(df: DataFrame, name: str = "text", level: int = 1) -> DataFrame:
+    """The texts compressed one by one, for joins that have to move them; null stays null."""
+    def change(texts: pa.Array) -> pa.Array:
+        press = zstandard.ZstdCompressor(level=level).compress
+        return pa.array([None if x is None else press(x) for x in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+    return _with_column(df, name, T.BinaryType(), change)
+
+
+def unpacked_texts(texts: pa.Array) -> pa.Array:
+    expand = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if x is None else expand(x) for x in texts.to_pylist()], pa.binary()).cast(pa.string())
+
+
+def unpacked(df: DataFrame, name: str = "text") -> DataFrame:
+    return _with_column(df, name, T.StringType(), unpacked_texts)
+
+
 def flat_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Array]:
     """The words of all texts in one array, and the offsets of each text's words in it (null: none)."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts

@@ -38,17 +38,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", "n_points", *KEYS, F.coalesce("survives", F.lit(False)).alias("survives"),
         (whole if hash_all else F.when(F.col("survives"), whole)).alias("text_sha256"),
     )
-    read = written(read, "exact-digests", keys.count())
+    n = keys.count()
+    read = written(read, "exact-digests", n)
     first = F.struct((-F.col("n_points")).alias("points"), F.col("id").isNull().alias("none"), "id")
-    groups = read.filter("survives").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"), F.lit(True).alias("found"))
+    groups = read.filter("survives").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.min(first)["id"].alias("keep_id"))
+    # as a table, so that Spark can split the join of a large group's rows to its one row
+    groups = written(groups, "exact-groups", n)
     return read.filter("survives").join(groups, "text_sha256").unionByName(
-        read.filter("not survives").withColumns({"group_size": F.lit(1).cast("long"), "keep_id": F.col("id"), "found": F.lit(True)})
+        read.filter("not survives").withColumns({"group_size": F.lit(1).cast("long"), "keep_id": F.col("id")})
     ).select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep; of a repeated row one stays."""
-    gone = exact_groups(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("__gone")).distinct()
+    """``docs`` without the rows that ``exact_groups`` does not keep; of a repeated row one stays.
+
+    Rows without an id stay, but for repetitions of each other.
+    """
+    gone = exact_groups(docs, id_col, text_col).filter("not kept").select(id_col).distinct()
     same = F.xxhash64(F.regexp_replace(empty_if_null(text_col), SPACE, ""))
-    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    return left.withColumn("__same", same).dropDuplicates([id_col, "__same"]).drop("__same")
+    # both steps are by id, so that texts move once
+    return docs.join(gone, id_col, "left_anti").withColumn("__same", same).dropDuplicates([id_col, "__same"]).drop("__same")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geotally.llm.common import WORD, bucket_bits, empty_if_null, hash_bucket, materialize, order_hash, with_running_total, written
+from geotally.llm.common import WORD, bucket_bits, empty_if_null, hash_bucket, materialize, order_hash, packed, unpacked, with_running_total, written
 
 SOURCE = ["no_source", "source"]
 
@@ -146,11 +146,13 @@ def mix_plan(docs: DataFrame, knots=cycling_weights, budget: float = 1.0, most:
     return chosen.select(F.col("id").alias(id_col), F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), positions.alias("positions"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` in training order: a row per copy that the mix takes, range-sorted by position.
 
-    Rows that repeat an id share the copies of one of them.
+    Rows that repeat an id share the copies of one of them. Texts move twice, to their positions and into
+    order, so they are packed in between.
     """
     plan = mix_plan(docs, id_col=id_col, **how).filter("copies > 0").groupBy(F.col(id_col).alias("__id")).agg(F.min("positions").alias("__positions"))
-    copies = docs.join(plan, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn("__at", F.explode("__positions"))
-    return copies.drop("__positions", "__id").repartitionByRange("__at", id_col).sortWithinPartitions("__at", id_col).drop("__at")
+    copies = packed(docs, text_col).join(plan, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn("__at", F.explode("__positions"))
+    ordered = copies.drop("__positions", "__id").repartitionByRange("__at", id_col).sortWithinPartitions("__at", id_col).drop("__at")
+    return unpacked(ordered, text_col)
