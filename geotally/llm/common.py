@@ -39,9 +39,9 @@ def order_hash(col: str, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), F.col(col))
 
 
-def bucket_bits(rows: int, per_bucket: int = 4096) -> int:
-    """Bits of the order hash that cut a key's rows into buckets of about ``per_bucket`` rows."""
-    return max(5, int(np.ceil(np.log2(max(rows, 1) / per_bucket + 1))))
+def bucket_bits(rows: int, per_bucket: int = 2048) -> int:
+    """Bits of the order hash that cut a key's rows into 256 buckets, or more of about ``per_bucket`` rows."""
+    return max(8, int(np.ceil(np.log2(max(rows, 1) / per_bucket + 1))))
 
 
 def hash_bucket(hashed: str, bits: int) -> Column:
