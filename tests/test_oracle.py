@@ -9,7 +9,7 @@ import check  # noqa: E402
 
 from geotally.plans import catalog  # noqa: E402
 
-DATA = "/root/testdata/sf0.001"
+DATA, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(DATA).exists(), reason="given tables are absent")
@@ -18,6 +18,8 @@ pytestmark = pytest.mark.skipif(not pathlib.Path(DATA).exists(), reason="given t
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     status, _, _, message = check.compare(spark, DATA, name, QUERIES[name], ORACLE.get(name))
+    if status == "EMPTY":  # too little data for any row: the next size has some
+        status, _, _, message = check.compare(spark, LARGER, name, QUERIES[name], ORACLE.get(name))
     assert status == "OK", f"{status}: {message}"
 
 
