@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from geotally.functions import scalars as S
-from geotally.model import POINT, SERIES, finite
+from geotally.model import POINT, SERIES, all_dates, finite
 
 
 def to_long(wide: DataFrame, variables: list[str], keys: list[str] = ("location_id", "bucket", "date")) -> DataFrame:
@@ -24,11 +24,6 @@ def to_wide_variables(obs: DataFrame, variables: list[str], by: list[str] = ("lo
     return obs.groupBy(*by).pivot("variable", variables).agg(F.first("value"))
 
 
-def all_dates(obs: DataFrame) -> list:
-    """The days of the calendar that have a value, to name columns by."""
-    return [r["date"] for r in obs.filter("date is not null").select("date").distinct().orderBy("date").collect()]
-
-
 def field_wide_dates(obs: DataFrame, variable: str, buckets: str | None = "all") -> DataFrame:
     """One variable with a column for each of its dates."""
     rows = obs.filter(F.col("variable") == variable)

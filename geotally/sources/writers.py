@@ -6,7 +6,7 @@ import subprocess
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from geotally.model import SERIES, Dataset, assert_declared, finite
+from geotally.model import SERIES, Dataset, all_dates, assert_declared, finite
 from geotally.operators import layout as L
 
 # Plural names of the levels in published paths.
@@ -43,7 +43,7 @@ def wide_dates(ds: Dataset) -> DataFrame:
     Columns are those that the data need: a small aggregation finds the dates, another the largest
     number of tags of each type on one series.
     """
-    names = [x.isoformat() for x in reversed(L.all_dates(ds.obs))]
+    names = [x.isoformat() for x in reversed(all_dates(ds.obs))]
     most = ds.tags.groupBy(*SERIES, "tag_type").agg(F.count("*").alias("n")).groupBy("tag_type").agg(F.max("n").alias("n"))
     tag_types = {r["tag_type"]: r["n"] for r in most.orderBy("tag_type").collect()}
     values = ds.obs.withColumn("d", F.date_format("date", "yyyy-MM-dd")).groupBy(*SERIES).pivot("d", names).agg(F.first("value"))
