@@ -14,9 +14,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from geotally.llm.common import batches_of, flat_words, order_hash
+from geotally.llm.common import WORD, batches_of, empty_if_null, flat_words, order_hash
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 12, (1, 2, 3)
+#: A word has one hashed feature for itself and one for each of its beginnings of so many letters.
+STEMS = (4, 6, 8)
+FEATURES = 1 + len(STEMS)
 #: Documents of each label that training may take, and words that such a document may have.
 SAMPLE, LONGEST = 4000, 20_000
 
@@ -59,19 +62,18 @@ def features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashed features of each distinct word, and the words as places among these.
 
     A word's embedding is the sum of one for the word in lower case without the marks around it and
-    one for its first four letters, which words of one stem share.
+    one for each of its beginnings, which words of one stem share.
     """
     coded = words.dictionary_encode()
     plain = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-    stems = pc.utf8_slice_codeunits(plain, 0, 4)
     digest = xxhash.xxh32_intdigest
-    whole = np.fromiter((digest(w) % BUCKETS for w in plain.cast(pa.binary()).to_pylist()), np.int64, len(plain))
-    stem = np.fromiter((BUCKETS + digest(w) % BUCKETS for w in stems.cast(pa.binary()).to_pylist()), np.int64, len(plain))
-    return np.stack([whole, stem], axis=1), coded.indices.to_numpy(zero_copy_only=False)
+    parts = [plain, *[pc.utf8_slice_codeunits(plain, 0, n) for n in STEMS]]
+    hashed = [np.fromiter((k * BUCKETS + digest(w) % BUCKETS for w in part.cast(pa.binary()).to_pylist()), np.int64, len(plain)) for k, part in enumerate(parts)]
+    return np.stack(hashed, axis=1), coded.indices.to_numpy(zero_copy_only=False)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_label: int, longest: int, seed: int):
-    """Words of at most ``per_label`` labelled documents of each class, those with the least hash of their id."""
+    """Texts of at most ``per_label`` labelled documents of each class, those with the least hash of their id."""
     marked = labels.filter("toxic in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
     # only documents that there are; the narrow join, and texts are read for the drawn ones alone
     marked = marked.join(docs.select(F.col(id_col).alias("__id")).distinct(), "__id", "left_semi").withColumn("by", order_hash("__id", seed))
@@ -80,36 +82,27 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_
     drawn = F.broadcast(drawn[0].unionByName(drawn[1]))
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), "lang").join(drawn, "__id").select("__id", "by", "text", "lang", "toxic")
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for part in batches_of(batch, "text"):
-                bounds, words = flat_words(part.column("text"))
-                feats, codes = features(words)
-                ids = feats[codes].astype(np.uint16) if len(codes) else np.zeros((0, 2), np.uint16)
-                short = np.diff(bounds) <= longest
-                packed = [ids[a:b].tobytes() if ok else None for a, b, ok in zip(bounds, bounds[1:], short)]
-                yield pa.RecordBatch.from_arrays([part.column("by"), part.column("toxic").cast(pa.int32()), part.column("lang"), pa.array(packed, pa.binary())], ["by", "toxic", "lang", "words"]).filter(pa.array(short))
-
-    rows = slim.mapInArrow(run, "by long, toxic int, lang string, words binary").toPandas()
-    return rows.sort_values(["by", "words"], ignore_index=True)
+    size = F.regexp_count(empty_if_null("text"), F.lit(WORD))
+    rows = slim.filter(size <= longest).select("by", "toxic", "lang", empty_if_null("text").alias("text")).toPandas()
+    return rows.sort_values(["by", "text"], ignore_index=True)
 
 
-def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, rate: float = 0.02, seed: int = 0) -> Network:
-    """Fit by Adam on the logistic loss.
+def train(feats: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, rate: float = 0.02, seed: int = 0) -> Network:
+    """Fit by Adam on the logistic loss. ``texts`` are places in ``feats``, the features of words.
 
     The first dimension of a feature's embedding starts at its log odds among the documents, and the first
     filter of every width looks at it; without that, pooling seldom picks the words that matter.
     """
     rng = np.random.default_rng(seed)
-    seen = np.zeros((2, 2 * BUCKETS))
+    seen = np.zeros((2, FEATURES * BUCKETS))
     for x, t in zip(texts, toxic):
-        seen[int(t), np.unique(x)] += 1
+        seen[int(t), np.unique(feats[np.unique(x)])] += 1
     sizes = np.array([max((toxic == 0).sum(), 1), max((toxic == 1).sum(), 1)])[:, None]
     odds = np.log((seen[1] + 0.5) / (sizes[1] + 1)) - np.log((seen[0] + 0.5) / (sizes[0] + 1))
     # features of few documents tell little
     odds *= (seen.sum(axis=0) >= 5) / np.sqrt(1 + 4 / np.maximum(seen.sum(axis=0), 1))
     net = Network(
-        rng.normal(0, 0.05, (2 * BUCKETS, DIM)).astype(np.float32),
+        rng.normal(0, 0.05, (FEATURES * BUCKETS, DIM)).astype(np.float32),
         [rng.normal(0, 0.15, (w * DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
         np.zeros(FILTERS * len(WIDTHS), np.float32), rng.normal(0, 0.1, FILTERS * len(WIDTHS)).astype(np.float32), 0.0,
     )
@@ -130,7 +123,7 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, rate: flo
         order = rng.permutation(len(texts))
         for start in range(0, len(order), 256):
             rows = order[start : start + 256]
-            ids = np.concatenate([texts[i] for i in rows])
+            ids = feats[np.concatenate([texts[i] for i in rows])]
             bounds = np.concatenate([[0], np.cumsum([len(texts[i]) for i in rows])])
             x = net.embed[ids].sum(axis=1)
             value, place = net.pooled(x, bounds, places=True)
@@ -150,7 +143,7 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, rate: flo
                     at = pk[i, f] + j
                     np.add.at(grad_k[j * DIM : (j + 1) * DIM].T, f, gk[i, f][:, None] * x[at])
                     into = gk[i, f][:, None] * net.kernels[k][j * DIM : (j + 1) * DIM].T[f]
-                    for side in range(2):
+                    for side in range(FEATURES):
                         np.add.at(grad_e, ids[at, side], into)
                 adam(f"kernel{k}", net.kernels[k], grad_k + 1e-4 * net.kernels[k], step)
             adam("bias", net.bias, g.sum(axis=0), step)
@@ -184,13 +177,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = float(toxic.mean()) if len(toxic) else 0.0
     if len(rows) < 8 or share in (0.0, 1.0):
         return None, share, {}
-    texts = [np.frombuffer(w, np.uint16).reshape(-1, 2).astype(np.int64) for w in rows["words"]]
+    bounds, words = flat_words(pa.array(rows["text"], pa.string()))
+    feats, codes = features(words)
+    texts = [codes[a:b] for a, b in zip(bounds, bounds[1:])]
     kept = rows["by"].to_numpy() % 4 == 0
     if len({*toxic[kept]}) < 2 or len({*toxic[~kept]}) < 2:
         kept = np.zeros(len(rows), bool)
-    net = train([t for t, k in zip(texts, kept) if not k], toxic[~kept], seed=seed)
+    net = train(feats, [t for t, k in zip(texts, kept) if not k], toxic[~kept], seed=seed)
     judged = kept if kept.any() else ~kept
-    z = np.concatenate([net.logits(net.pooled(net.embed[t].sum(axis=1), np.array([0, len(t)]))[0]) for t, k in zip(texts, judged) if k])
+    z = np.concatenate([net.logits(net.pooled(net.embed[feats[t]].sum(axis=1), np.array([0, len(t)]))[0]) for t, k in zip(texts, judged) if k])
     net.shift = _best_cut(z, toxic[judged])
     z, cuts, langs = z - net.shift, {}, rows["lang"].to_numpy()[judged]
     for lang in {*langs}:
