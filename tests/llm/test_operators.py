@@ -355,6 +355,35 @@ def test_later_rounds_link_members_of_a_bucket(spark):
     assert [got[i]["component_id"] for i in (1, 2, 3)] == [1, 2, 2]
 
 
+def test_pairs_of_a_large_bucket_that_no_hub_is_in(spark):
+    """Documents with a long passage in common share all buckets; only some pairs among them are links."""
+    passage, texts = [f"w{k}" for k in range(85)], []
+    for i in range(120):
+        # 85 words of 100 are not enough for a link, 95 are; documents 3 * k + 100 and 3 * k + 101 have 95
+        own = [f"x{i - (i % 3 == 1)}y{k}" for k in range(10)] + [f"z{i}y{k}" for k in range(5)]
+        texts.append((100 + i, " ".join(passage + own)))
+    want = {100 + i: 100 + i - (i % 3 == 1) for i in range(120)}
+    got = by_id(near_dedup.near_groups(spark.createDataFrame(texts, "doc_id long, text string"), width=1, bands=2, rows=1))
+    assert {i: r["component_id"] for i, r in got.items()} == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_prefix_pairs_lose_no_link(spark, percent):
+    rng = np.random.default_rng(percent)
+    sets = {}
+    for i in range(150):
+        near = list(sets[int(rng.integers(0, i))]) if i and rng.random() < 0.6 else [f"c{k}" for k in range(40)]
+        words = {w for w in near if rng.random() < 0.93} | {f"o{rng.integers(0, 10**9)}" for _ in range(int(rng.integers(0, 12)))}
+        sets[i] = words or {"one"}
+    texts = near_dedup.packed(spark.createDataFrame([(i, " ".join(sorted(s))) for i, s in sets.items()], "id long, text string"))
+    members = spark.createDataFrame([(i, i) for i in sets], "id long, component long")
+    got = {(r["hub"], r["id"]) for r in near_dedup.prefix_pairs(members, texts, 1, percent).collect()}
+    links = {(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert links and links <= got
+    # members of one component are no pair
+    assert near_dedup.prefix_pairs(members.withColumn("component", F.lit(0).cast("long")), texts, 1, percent).count() == 0
+
+
 def test_densified_sketch_estimates_similarity():
     rng = np.random.default_rng(3)
     for n in (4, 30, 400):
