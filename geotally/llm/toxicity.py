@@ -22,6 +22,8 @@ STEMS = (4, 6, 8)
 FEATURES = 1 + len(STEMS)
 #: Documents of each label that training may take, and words that such a document may have.
 SAMPLE, LONGEST = 4000, 20_000
+#: Ranges of the logit, by which labels are counted, to a unit.
+STEPS = 100
 
 
 @dataclass
@@ -154,23 +156,38 @@ def train(feats: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray, epochs:
     return net
 
 
-def _best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
-    """The logit that separates the labels with the highest F1; midway between two documents."""
-    order = np.argsort(-z)
-    hits = np.cumsum(toxic[order])
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + max(toxic.sum(), 1))
-    k = int(f1.argmax())
-    lower = z[order[k + 1]] if k + 1 < len(z) else z[order[k]] - 1
-    return float((z[order[k]] + lower) / 2)
+def _best_cut(bins: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The logit that separates the labels with the highest F1; midway between two bins that hold documents.
+
+    ``clean`` and ``toxic`` are the weights of the labels in each of the distinct ``bins``.
+    """
+    order = np.argsort(-bins)
+    bins, hits, taken = bins[order], np.cumsum(toxic[order]), np.cumsum((clean + toxic)[order])
+    k = int((2 * hits / (taken + hits[-1])).argmax())
+    lower = bins[k + 1] + 1 if k + 1 < len(bins) else bins[k] - STEPS
+    return float((bins[k] + lower) / 2 / STEPS)
+
+
+def _label_counts(docs: DataFrame, labels: DataFrame, net: Network, trained: list[int], id_col: str, text_col: str, seed: int):
+    """(lang, toxic, trained, bin, n) over all labelled documents; a bin is a range of 1 / STEPS of the logit."""
+    marked = labels.filter("toxic in (0, 1)").groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic"))
+    # at most 2 * per_label hashes, which is why they are broadcast
+    known = F.broadcast(docs.sparkSession.createDataFrame([(int(x),) for x in trained], "by long")).withColumn("trained", F.lit(True))
+    # logits are made where the texts are; only these move
+    found = _logits(docs, net, id_col, text_col).join(marked, "id").withColumn("by", order_hash("id", seed)).join(known, "by", "left")
+    bin_ = F.floor(F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.col("logit"))) * STEPS).cast("long")
+    return found.groupBy("lang", "toxic", F.col("trained").isNotNull().alias("trained"), bin_.alias("bin")).agg(F.count("*").alias("n")).toPandas()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = SAMPLE, longest: int = LONGEST, seed: int = 0) -> tuple[Network | None, float, dict[str | None, float]]:
     """The network, the share of toxic labels, and the score from which each language's texts are flagged.
 
-    Training takes at most ``per_label`` documents of each label, none of more than ``longest`` words;
-    a quarter of them is left out to place the cut that becomes score 0.5 and the thresholds by
-    language. The language is no input of the network. Weights undo the equal shares of the sample.
-    Without documents of both labels there is no network.
+    Training takes at most ``per_label`` documents of each label, none of more than ``longest`` words, less
+    a quarter that is left out. All labelled documents that were not trained on place the cut that becomes
+    score 0.5 and the thresholds by language, from counts by language, label and range of the logit. As
+    training takes a larger share of the rarer label, those left of a label weigh as much as all that have
+    it. A language with fewer than 20 of either label left gets 0.5. The language is no input of the network.
+    The share is that of the sample. Without documents of both labels there is no network.
     """
     rows = _sample(docs, labels, id_col, text_col, per_label, longest, seed)
     toxic = rows["toxic"].to_numpy(np.float32)
@@ -184,17 +201,40 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len({*toxic[kept]}) < 2 or len({*toxic[~kept]}) < 2:
         kept = np.zeros(len(rows), bool)
     net = train(feats, [t for t, k in zip(texts, kept) if not k], toxic[~kept], seed=seed)
-    judged = kept if kept.any() else ~kept
-    z = np.concatenate([net.logits(net.pooled(net.embed[feats[t]].sum(axis=1), np.array([0, len(t)]))[0]) for t, k in zip(texts, judged) if k])
-    net.shift = _best_cut(z, toxic[judged])
-    z, cuts, langs = z - net.shift, {}, rows["lang"].to_numpy()[judged]
-    for lang in {*langs}:
-        own = langs == lang if lang is not None else np.array([x is None for x in langs])
-        t = toxic[judged][own]
-        cuts[lang] = float(1 / (1 + np.exp(-_best_cut(z[own], t)))) if t.sum() >= 20 and (1 - t).sum() >= 20 else 0.5
+    counts = _label_counts(docs, labels, net, sorted({*rows["by"][~kept]}), id_col, text_col, seed)
+    judged = counts[~counts["trained"]]
+    judged = judged if judged["toxic"].nunique() == 2 else counts
+    weight = counts.groupby("toxic")["n"].sum() / judged.groupby("toxic")["n"].sum()
+
+    def cut_of(some) -> float:
+        table = some.groupby(["bin", "toxic"])["n"].sum().unstack(fill_value=0).reindex(columns=[0, 1], fill_value=0)
+        return _best_cut(table.index.to_numpy(), table[0].to_numpy() * weight[0], table[1].to_numpy() * weight[1])
+
+    net.shift, cuts = cut_of(judged), {}
+    for lang, own in judged.groupby("lang", dropna=False):
+        lang = lang if isinstance(lang, str) else None
+        both = own.groupby("toxic")["n"].sum()
+        cuts[lang] = float(1 / (1 + np.exp(net.shift - cut_of(own)))) if both.get(0, 0) >= 20 and both.get(1, 0) >= 20 else 0.5
     return net, share, cuts
 
 
+def _logits(docs: DataFrame, net: Network, id_col: str, text_col: str) -> DataFrame:
+    """(id, lang, logit) of every row, from the whole text."""
+    slim = docs.select(F.col(id_col).alias("id"), F.col("lang"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part in batches_of(batch, "text", 8_000_000):
+                bounds, words = flat_words(part.column("text"))
+                feats, codes = features(words)
+                x = net.embed[feats].sum(axis=1)[codes] if len(codes) else np.zeros((0, DIM), np.float32)
+                logit = net.logits(net.pooled(x, bounds)[0]).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("lang"), pa.array(logit)], ["id", "lang", "logit"])
+
+    kind = slim.schema["id"].dataType.simpleString()
+    return slim.mapInArrow(run, f"id {kind}, lang string, logit double")
+
+
 def rated(docs: DataFrame, fitted: tuple[Network | None, float, dict[str | None, float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, score, predicted, threshold, flagged.
 
@@ -204,23 +244,12 @@ def rated(docs: DataFrame, fitted: tuple[Network | None, float, dict[str | None,
     An empty table gives no rows. Other columns are not read.
     """
     net, share, cuts = fitted
-    slim = docs.select(F.col(id_col).alias("id"), F.col("lang"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for part in batches_of(batch, "text", 8_000_000):
-                if net is None:
-                    score = np.full(part.num_rows, share)
-                else:
-                    bounds, words = flat_words(part.column("text"))
-                    feats, codes = features(words)
-                    x = net.embed[feats].sum(axis=1)[codes] if len(codes) else np.zeros((0, DIM), np.float32)
-                    score = 1 / (1 + np.exp(-net.logits(net.pooled(x, bounds)[0]).astype(np.float64)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("lang"), pa.array(score, pa.float64())], ["id", "lang", "score"])
-
-    kind = slim.schema["id"].dataType.simpleString()
+    if net is None:
+        scored = docs.select(F.col(id_col).alias("id"), "lang", F.lit(share).alias("score"))
+    else:
+        scored = _logits(docs, net, id_col, text_col).withColumn("score", 1 / (1 + F.exp(-F.col("logit"))))
     limit = F.lit(0.5)
     for lang, cut in sorted(cuts.items(), key=str):
         limit = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(cut)).otherwise(limit)
-    out = slim.mapInArrow(run, f"id {kind}, lang string, score double").withColumn("threshold", limit)
+    out = scored.withColumn("threshold", limit)
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", (F.col("score") >= F.col("threshold")).alias("flagged"))

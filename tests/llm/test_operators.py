@@ -478,6 +478,23 @@ def test_toxicity_on_held_out(spark):
     assert by_id(toxicity.rated(docs, again))[0]["score"] == pytest.approx(got[0]["score"], abs=1e-6)
 
 
+def test_toxicity_cut_suits_the_true_shares(spark):
+    """A word that is toxic in 40 of 340 documents is not predicted, though it is in most of an even sample."""
+    import random
+
+    rng, texts = random.Random(5), []
+    for i in range(2000):
+        kind = "rude" if i < 80 else "meh" if i < 420 else "plain"
+        words = rng.choices("the of and to in is was for that with".split(), k=20) + [kind] * (kind != "plain")
+        texts.append((i, " ".join(words), "en", int(i < 120), kind))
+    docs = spark.createDataFrame([t[:3] for t in texts], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(t[0], t[3]) for t in texts], "doc_id long, toxic int")
+    got = by_id(toxicity.rated(docs, toxicity.fit(docs, marks, per_label=80)))
+    for kind, want in (("rude", 1), ("meh", 0), ("plain", 0)):
+        own = [got[t[0]] for t in texts if t[4] == kind]
+        assert sum(r["predicted"] == r["flagged"] == want for r in own) >= 0.9 * len(own), kind
+
+
 def test_toxicity_of_odd_texts(spark, docs, nothing, twice):
     _, learn, marks, _ = labelled(spark, 200)
     fitted = toxicity.fit(learn, marks)
