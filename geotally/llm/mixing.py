@@ -87,10 +87,14 @@ def position(done: Column, target: Column, segments: Column, weight: Column) ->
 
 
 def cycling_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """Knots for each source: the weights in turn by code point of the name, null last."""
+    """Knots for each source: the weights in turn by code point of the name, null last.
+
+    The first rises over training, the next stays, the next falls, and so on, each with the weight as its mean.
+    """
     rank = F.row_number().over(W.orderBy("no_source", "source")) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights)) + 1)
-    return sources.select(*SOURCE).distinct().withColumn("weight", weight).select(*SOURCE, ramp(F.col("weight")).alias("knots"))
+    knots = F.when(F.col("turn") == 0, ramp(F.col("weight"))).when(F.col("turn") == 1, ramp(F.col("weight"), 1.0)).otherwise(ramp(F.col("weight"), 1.5))
+    return sources.select(*SOURCE).distinct().withColumns({"weight": weight, "turn": rank % 3}).select(*SOURCE, knots.alias("knots"))
 
 
 def mix_plan(docs: DataFrame, knots=cycling_weights, budget: float = 1.0, most: float = 3.0, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, passes: int = 3, seed: int = 0) -> DataFrame:

@@ -17,7 +17,7 @@ WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 @query("op1_mix_sources")
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights 1, 2, 3 in turn, each rising over training; all documents are shared out."""
+    """Weights 1, 2, 3 in turn, rising, level and falling over training; all documents are shared out."""
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
 
 

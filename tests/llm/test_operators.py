@@ -107,6 +107,17 @@ def test_positions_follow_the_schedule(spark):
         assert all(area(p) == pytest.approx(k / len(at), abs=0.02) for k, p in enumerate(at))
 
 
+def test_default_schedule_changes_the_mixture(spark):
+    """Sources rise, stay and fall in turn, so half of their tokens are placed late, midway and early."""
+    docs = spark.createDataFrame([(k, "w " * 10, "abc"[k % 3]) for k in range(900)], "doc_id long, text string, source string")
+    got = collections.defaultdict(list)
+    for r in mixing.mix_plan(docs).collect():
+        got[r["source"]] += r["positions"]
+    middle = {s: float(np.median(p)) for s, p in got.items()}
+    late = (math.sqrt(5) - 1) / 2
+    assert middle == {"a": pytest.approx(late, abs=0.03), "b": pytest.approx(0.5, abs=0.03), "c": pytest.approx(1 - late, abs=0.03)}
+
+
 def test_mixed_documents(docs, twice, nothing):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
