@@ -1,12 +1,14 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against an index of reference blocks.
+"""Duplicate passages by an index of content-defined blocks, in place of greedy Lempel-Ziv factoring.
 
 Texts are cut into overlapping blocks at content-defined anchors: an anchor is the k-gram with the least
 hash of a window of words, and a block is the text of all consecutive windows with one anchor. Equal
 passages are cut alike wherever they stand, so the whole corpus is its own reference, and the index
-that a block is looked up in is the shuffle by its anchor. A factor of a document is a
-longest series of its blocks that occur earlier. At the ends of a factor a block agrees with
-an earlier one in part only; there, and wherever an anchor has several blocks, the windows
-themselves are compared.
+that a block is looked up in is the shuffle by its anchor. Where an anchor has several blocks, which
+agree in part only, the windows themselves are compared.
+
+Nothing is factored greedily: a span joins what is covered, which may occur earlier in several
+documents, and it has no source. Factoring would need each document beside all its references;
+blocks need a shuffle by hash, and the words that some earlier window covers are the same.
 """
 
 from __future__ import annotations
