@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geotally.llm import exact_dedup, language, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
+from geotally.llm import collocations, exact_dedup, language, licenses, mixing, near_dedup, packing, periodic_runs, quality, substring_dedup, token_counts, toxicity, warc
 from geotally.llm.common import documents
 from geotally.llm.registry import ORACLE, QUERIES, pipeline, query
 
@@ -103,3 +103,18 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan", licenses.oracle_sql())
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_phrase_collocations")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(documents(spark, sf_dir), tails=True))

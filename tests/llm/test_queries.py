@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm.test_operators import base, cut, shingles, words_of
+from tests.llm.test_text_operators import expected, mined
 
 sys.path.insert(0, str(pathlib.Path(__file__).parents[2] / "tools"))
 import check  # noqa: E402
@@ -24,8 +25,8 @@ def given():
     return duckdb.sql(f"select doc_id, text from '{DATA}/documents.parquet'").fetchall()
 
 
-def test_ten_operators_and_the_pipeline():
-    assert sorted(NAMES) == sorted(["pipeline", *[next(n for n in NAMES if n.startswith(f"op{k}_")) for k in range(1, 11)]])
+def test_thirteen_operators_and_the_pipeline():
+    assert sorted(NAMES) == sorted(["pipeline", *[next(n for n in NAMES if n.startswith(f"op{k}_")) for k in range(1, 14)]])
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in entry.oracle_sql()])
@@ -88,5 +89,26 @@ def test_pipeline_stages(spark, given):
     assert sorted(packed.loc[packed["piece"] == 0, "doc_id"]) == sorted(mixed)
 
 
+def test_op11(spark, given):
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = by_id(spark, "op11_token_counts")
+    for i, text in given:
+        size = len(model.encode(text or ""))
+        assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (len((text or "").encode()), size, size > 4096)
+
+
+def test_op12(spark):
+    rows = duckdb.sql(f"select lang, text from '{DATA}/documents.parquet'").fetchall()
+    assert sorted(tuple(r) for r in entry.queries()["op12_phrase_collocations"](spark, DATA).collect()) == mined(rows, 100, 2000)
+
+
+def test_op13(spark, given):
+    got = entry.queries()["op13_periodic_runs"](spark, DATA).collect()
+    assert sorted(tuple(r) for r in got) == sorted(expected(i, t) for i, t in given)
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
