@@ -81,15 +81,25 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "code", "phrase").agg(F.sum("f").alias("f"))
 
 
-def coded_corpus(docs: DataFrame) -> DataFrame:
-    """Rows of word codes in order of the texts, 0 between pieces."""
+def coded_corpus(docs: DataFrame, words_a_row: int = 512) -> DataFrame:
+    """Rows of word codes in order of the texts, 0 before each piece; a row ends with the piece that fills it.
+
+    Rows are about as long as a text, so that as many of them as Spark hands over at once fit in memory.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch, "text", 4_000_000):
                 words, owner, begins = pieces_of(part.column(1))
                 names, of = _languages(part.column(0), owner)
-                row = np.insert(_codes(words, names, of), np.flatnonzero(begins), 0)
-                yield pa.RecordBatch.from_arrays([pa.array([row.tobytes()], pa.binary())], ["codes"])
+                if not len(words):
+                    continue
+                at = np.flatnonzero(begins)
+                codes = np.insert(_codes(words, names, of), at, 0)
+                zeros = at + np.arange(len(at))
+                first = np.unique(zeros // words_a_row, return_index=True)[1]
+                ends = np.append(zeros[first], len(codes)) * 8
+                rows = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes)])
+                yield pa.RecordBatch.from_arrays([rows], ["codes"])
 
     return docs.select("lang", "text").mapInArrow(run, "codes binary")
 
@@ -208,11 +218,12 @@ def next_level(corpus: DataFrame, frequent: DataFrame, depth: int, least: int, m
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie, phrases = shared.value
             for batch in batches:
-                for blob in batch.column(0):
-                    codes = np.frombuffer(blob.as_buffer(), np.int64)
-                    for start in range(0, len(codes), BLOCK):
-                        phrase, word, n = _extended(codes[start : start + BLOCK + depth], trie, depth, parts == 1)
-                        yield pa.RecordBatch.from_arrays([_rows(phrases[phrase], word), pa.array(n)], ["codes", "f"])
+                column = batch.column(0)
+                ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+                codes = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.int64)
+                for start in range(0, len(codes), BLOCK):
+                    phrase, word, n = _extended(codes[start : start + BLOCK + depth], trie, depth, parts == 1)
+                    yield pa.RecordBatch.from_arrays([_rows(phrases[phrase], word), pa.array(n)], ["codes", "f"])
 
         counted = corpus.mapInArrow(run, "codes array<long>, f long")
         found = counted if found is None else found.unionByName(counted)
