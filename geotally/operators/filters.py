@@ -4,10 +4,12 @@ reach the three tables as semi or anti joins, so Spark can prune before heavier
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
 
 from geotally.model import POINT, SERIES, TAG, Dataset, duplicate_keys
 
@@ -143,6 +145,56 @@ def drop_old_dates(df: DataFrame, expected: list[str], first: datetime.date = da
     return df.filter(F.col("date") >= F.lit(first)).select(*[c for c in df.columns if c in expected])
 
 
+@dataclass(frozen=True)
+class Report:
+    """What one pass over a frame has dropped; filled by the first action that runs the whole frame."""
+
+    observed: Observation
+    extra: list[str] = field(default_factory=list)
+    missing: list[str] = field(default_factory=list)
+
+    def get(self) -> dict:
+        """rows, dropped, and up to three dropped rows as JSON."""
+        seen = self.observed.get
+        return {"rows": seen["rows"], "dropped": seen["dropped"], "sample": sorted({x for k, x in seen.items() if k.startswith("sample") and x is not None})}
+
+
+def keep_reported(df: DataFrame, keep: Column, name: str, samples: int = 3) -> tuple[DataFrame, Report]:
+    """Rows for which ``keep`` holds, and a report of the others from the same pass.
+
+    The sample is drawn by hash, a bounded aggregate like the counts, so nothing is scanned or shuffled for it.
+    """
+    gone = ~F.coalesce(keep, F.lit(False))
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    drawn = [F.min_by(F.when(gone, row), F.when(gone, F.xxhash64(F.lit(i), row))).alias(f"sample{i}") for i in range(samples)]
+    observed = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(observed, F.count("*").alias("rows"), F.count_if(gone).alias("dropped"), *drawn).filter(~gone), Report(observed)
+
+
+def drop_old_dates_reported(
+    df: DataFrame, expected: list[str], ignored: list[str] = (), first: datetime.date = datetime.date(2020, 1, 1), name: str = "old-dates",
+) -> tuple[DataFrame, Report]:
+    """Like ``drop_old_dates``, with a report of dropped rows, unexpected columns and expected ones that are absent."""
+    kept, report = keep_reported(df, F.col("date") >= F.lit(first), name)
+    extra, missing = field_mismatch(df, expected)
+    report = Report(report.observed, [c for c in extra if c not in ignored], missing)
+    return kept.select(*[c for c in df.columns if c in expected]), report
+
+
+def with_ids_reported(df: DataFrame, ids: DataFrame, key: str, name: str = "unknown-ids") -> tuple[DataFrame, Report]:
+    """Rows joined to the dimension ``ids`` by ``key``, and a report of those that it lacks."""
+    found = df.join(ids.withColumn("_known", F.lit(True)), key, "left")
+    kept, report = keep_reported(found, F.col("_known"), name)
+    return kept.drop("_known"), report
+
+
+def drop_regions_without_population_reported(ds: Dataset, name: str = "no-population") -> tuple[Dataset, Report]:
+    """Like ``drop_regions_without_population``, with a report of the observations dropped."""
+    obs, report = with_ids_reported(ds.obs, with_population(ds).select("location_id").distinct(), "location_id", name)
+    kept = keep_locations(ds, with_population(ds))
+    return kept.with_obs(obs.select(*ds.obs.columns)), report
+
+
 def field_mismatch(df: DataFrame, expected: list[str]) -> tuple[list[str], list[str]]:
     """(extra, missing) column names."""
     return [c for c in df.columns if c not in expected], [c for c in expected if c not in df.columns]

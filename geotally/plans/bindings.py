@@ -16,6 +16,7 @@ from geotally.model import POINT, SERIES, TAG, Dataset, series_window
 
 # State that stands for each of the five world regions.
 REGION_STATES = ["AL", "AK", "AZ", "AR", "CA"]
+STATE_FIPS = {"AL": "01", "AK": "02", "AZ": "04", "AR": "05", "CA": "06"}
 
 CTES = {
     "st": """SELECT r_regionkey, r_name, list_extract(['AL','AK','AZ','AR','CA'], r_regionkey + 1) AS state,

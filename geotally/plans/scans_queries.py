@@ -1,5 +1,6 @@
 """Queries for scans. Text sources are first derived from the given tables by Spark."""
 
+import dataclasses
 import datetime
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from geotally.plans.catalog import query
 from geotally.plans.filters_queries import BUCKET, flat_sql
 from geotally.plans.sinks_queries import EV_TYPES, NTAGS, event_dataset
 from geotally.sources import readers as RD, registry as G, writers as WR
+from geotally.sources.files import TEST_AND_TRACE
 
 D = datetime.date
 
@@ -221,7 +223,7 @@ WITH {CONN}, w AS (SELECT location_id, dt, value, COALESCE(LEAD(dt) OVER (PARTIT
  k AS (SELECT location_id, CAST(t AS DATE) AS date, value FROM w, generate_series(dt, greatest(dt, upto), INTERVAL 1 DAY) g(t))
 SELECT location_id, 'cases' AS variable, date, value FROM k WHERE date >= DATE '2023-03-23' UNION ALL SELECT location_id, 'cases', dt, value FROM cf WHERE provider = 'nyt' AND dt < DATE '2023-03-23'""")
 def _(spark, d):
-    return G.spliced_cases(connector_fact(spark, d), B.geo(spark, d)).obs.select("location_id", "variable", "date", "value")
+    return G.load_source("CDCNYT", connector_fact(spark, d), B.geo(spark, d), {}).obs.select("location_id", "variable", "date", "value")
 
 
 @query("connector_priorities", f"""
@@ -262,26 +264,98 @@ def declared_geo(fact):
         "location_id", F.upper(F.substring("location_id", 17, 2)).alias("state"), fips.alias("fips"), F.when(fips.isNull(), "state").otherwise("county").alias("level"))
 
 
-# Fields of which no source has a step that fills, cuts or combines; those are checked one by one above.
-PLAIN = {f: n for f, n in G.FEATURES.items() if f not in ("cases", "deaths", "test_positivity_7d", "contact_tracers_count")}
+# The whole declared map. Days of cases lie around the day of the splice, all others around the first hospital days; one county
+# stands for the capital's, and a third of the values are 0, so that every step has something to do.
+MAPPED = DECLARED.replace(" df AS (", f""" df AS (SELECT provider, variable_name, measurement, unit, CASE WHEN n % 5 = 2 AND location_id LIKE '%fips%' THEN '{G.CAPITAL_COUNTY}' ELSE location_id END AS location_id,
+  CASE WHEN variable_name IN ('cases', 'deaths') THEN dt + CAST(DATE '2023-03-01' - DATE '2024-01-01' AS INTEGER) ELSE dt + CAST(DATE '2020-08-25' - DATE '2024-01-01' AS INTEGER) END AS dt, CAST(SUM(n) % 3 AS DOUBLE) AS value FROM
+  (SELECT provider, variable_name, measurement, unit, location_id, dt, COUNT(*) AS n FROM ev JOIN sv USING (no) GROUP BY ALL) GROUP BY 1, 2, 3, 4, 5, 6), du AS (""") + """,
+ tt AS (SELECT location_id, dt AS date, SUM(value) AS value FROM df WHERE location_id LIKE '%fips%' GROUP BY 1, 2),
+ cdcw AS (SELECT location_id, variable_name, dt, value, COALESCE(LEAD(dt) OVER (PARTITION BY location_id, variable_name ORDER BY dt) - 1, (SELECT MAX(dt) FROM df WHERE provider = 'cdc' AND variable_name IN ('cases', 'deaths') AND measurement = 'cumulative')) AS upto
+   FROM df WHERE provider = 'cdc' AND variable_name IN ('cases', 'deaths') AND measurement = 'cumulative' AND unit = 'people'),
+ cdcf AS (SELECT location_id, variable_name AS variable, CAST(t AS DATE) AS date, value FROM cdcw, generate_series(dt, greatest(dt, upto), INTERVAL 1 DAY) g(t)),
+ nyt AS (SELECT location_id, variable_name AS variable, dt AS date, value FROM df WHERE provider = 'nyt' AND variable_name IN ('cases', 'deaths')),
+ pos AS (SELECT provider, location_id, dt AS date, value / 100 AS value FROM df WHERE variable_name = 'pcr_tests_positive' AND measurement = 'rolling_average_7_day' AND unit = 'percentage' AND provider IN ('cdc2', 'cdc_originally_posted')),
+ posc AS (SELECT * FROM pos UNION ALL SELECT provider, 'iso1:us#iso2:us-dc', date, value FROM pos WHERE location_id = '""" + G.CAPITAL_COUNTY + """'),
+ post AS (SELECT * FROM posc JOIN (SELECT provider, location_id, MAX(date) AS upto FROM posc WHERE value <> 0 GROUP BY 1, 2) USING (provider, location_id) WHERE date <= upto)"""
+HOSPITAL_DAYS = " ".join(f"WHEN '{k}' THEN DATE '{v}'" for k, v in G.HOSPITAL_STATE_STARTS.items())
 LISTED = ", ".join(
-    f"('{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}', '{f}', '{label}', {prio})"
-    for f, names in PLAIN.items() for prio, label in enumerate(reversed(names)) for r in G.CONNECTORS[label.partition(":")[0]].variables if r[4] == f)
+    f"('{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}', '{f}', '{label}', '{c.name}')"
+    for f, names in G.FEATURES.items() for label in names if (c := G.CONNECTORS.get(label.partition(":")[0])) for r in c.variables if r[4] == f)
+PRIORITIES = ", ".join(f"('{f}', '{label}', {prio})" for f, names in G.FEATURES.items() for prio, label in enumerate(reversed(names)))
 MASKED = " OR ".join([f"(source LIKE '%:{m}' AND ({p}))" for m, p in G.MASKS.items()] + ["source NOT LIKE '%:%'"])
+STARTED = f"connector NOT IN ('HHSHospitalState', 'HHSHospitalCounty') OR dt >= CASE WHEN level = 'state' THEN CASE sf {HOSPITAL_DAYS} ELSE DATE '{G.HOSPITAL_START}' END ELSE DATE '{G.HOSPITAL_START}' END"
+
+
+def mapped_fact(spark, d):
+    """Rows of every declared variable, as in ``declared_fact``, moved to the days that matter to the steps."""
+    x = declared_fact(spark, d)
+    county = (F.col("value") % 5 == 2) & F.col("location_id").contains("fips")
+    shift = lambda day: (D(*day) - D(2024, 1, 1)).days
+    days = F.when(F.col("variable_name").isin("cases", "deaths"), F.date_add("dt", shift((2023, 3, 1)))).otherwise(F.date_add("dt", shift((2020, 8, 25))))
+    moved = x.withColumn("location_id", F.when(county, G.CAPITAL_COUNTY).otherwise(F.col("location_id"))).withColumn("dt", days)
+    keys = [c for c in moved.columns if c != "value"]
+    return moved.groupBy(*keys).agg((F.sum("value") % 3).alias("value"))
+
+
+def mapped_geo(fact):
+    """The dimension of ``declared_geo``, with the state's fips code for states, and the capital."""
+    geo = declared_geo(fact)
+    codes = F.create_map(*[F.lit(x) for state, fips in B.STATE_FIPS.items() for x in (state, fips)])
+    return geo.withColumn("fips", F.coalesce("fips", F.try_element_at(codes, F.col("state"))))
 
 
 @query("features_by_declared_sources", f"""
-WITH {DECLARED}, li AS (SELECT * FROM (VALUES {LISTED}) AS l(provider, variable_name, measurement, unit, variable, source, prio)),
- al AS (SELECT df.location_id, variable, dt AS date, value, source, prio FROM df JOIN li USING (provider, variable_name, measurement, unit) JOIN dg USING (location_id) WHERE {MASKED}),
- be AS (SELECT location_id, variable, MIN(prio) AS prio FROM al GROUP BY 1, 2)
-SELECT location_id, variable, date, value, source FROM al JOIN be USING (location_id, variable, prio)""")
+WITH {MAPPED}, li AS (SELECT * FROM (VALUES {LISTED}) AS l(provider, variable_name, measurement, unit, variable, source, connector)),
+ pr AS (SELECT * FROM (VALUES {PRIORITIES}) AS p(variable, source, prio)),
+ gx AS (SELECT location_id, state, level, COALESCE(fips, CASE state WHEN 'AL' THEN '01' WHEN 'AK' THEN '02' WHEN 'AZ' THEN '04' WHEN 'AR' THEN '05' WHEN 'CA' THEN '06' END) AS fips FROM (SELECT DISTINCT location_id, upper(substr(location_id, 17, 2)) AS state, nullif(regexp_extract(location_id, 'fips:([0-9]+)', 1), '') AS fips, CASE WHEN location_id LIKE '%fips%' THEN 'county' ELSE 'state' END AS level FROM df)),
+ pl AS (SELECT df.location_id, variable, dt AS date, value, source FROM df JOIN li USING (provider, variable_name, measurement, unit) JOIN (SELECT *, coalesce(fips, '') AS sf FROM gx) g USING (location_id) WHERE connector <> 'CDC' AND ({STARTED})),
+ st AS (SELECT location_id, variable, date, value, 'CDC' AS source FROM cdcf
+   UNION ALL SELECT location_id, variable, date, value, 'CDCNYT:no-cities' FROM nyt WHERE date < DATE '{G.SPLICE_DATE}'
+   UNION ALL SELECT location_id, variable, date, value, 'CDCNYT:no-cities' FROM cdcf WHERE date >= DATE '{G.SPLICE_DATE}'
+   UNION ALL SELECT location_id, 'test_positivity_7d', date, COALESCE(h.value, o.value), 'CDCCombinedTesting' FROM (SELECT * FROM post WHERE provider = 'cdc2') h FULL JOIN (SELECT * FROM post WHERE provider <> 'cdc2') o USING (location_id, date)
+   UNION ALL SELECT location_id, 'contact_tracers_count', date, value, 'TestAndTrace' FROM tt WHERE date >= DATE '2020-09-10'),
+ al AS (SELECT x.* FROM (SELECT * FROM pl UNION ALL SELECT * FROM st) x LEFT JOIN gx USING (location_id) WHERE {MASKED}),
+ ra AS (SELECT * FROM al JOIN pr USING (variable, source)), be AS (SELECT location_id, variable, MIN(prio) AS prio FROM ra GROUP BY 1, 2)
+SELECT location_id, variable, date, round(value, 6) AS value, source FROM ra JOIN be USING (location_id, variable, prio)""")
 def _(spark, d):
+    """Every field of the declared map from every source with its steps; contact tracers come from a CSV."""
     from geotally.operators.combine import combine_by_priority, feature_priorities
 
-    fact = declared_fact(spark, d)
-    obs, tags = G.load_features(fact, declared_geo(fact), features=PLAIN)
-    points, _ = combine_by_priority(obs, tags, feature_priorities(spark, PLAIN))
-    return points.select("location_id", "variable", "date", "value", "source")
+    fact = mapped_fact(spark, d)
+    geo = mapped_geo(fact)
+    path = work_dir(spark, "tracers")
+    fips = F.regexp_extract("location_id", "fips:([0-9]+)", 1)
+    fact.filter("location_id like '%fips%'").groupBy(fips.alias("fips"), F.col("dt").alias("date")).agg(F.sum("value").alias("contact_tracers_count")).write.csv(path, header=True)
+    tracers, _ = dataclasses.replace(TEST_AND_TRACE, first=D(2020, 9, 10)).load(spark, path, geo)
+    obs, tags = G.load_features(fact, geo, {"TestAndTrace": tracers})
+    points, _ = combine_by_priority(obs, tags, feature_priorities(spark, G.FEATURES))
+    return points.select("location_id", "variable", "date", F.round("value", 6).alias("value"), "source")
+
+
+@query("connector_positivity_combined", f"""
+WITH {MAPPED} SELECT location_id, date, round(COALESCE(h.value, o.value), 6) AS value FROM (SELECT * FROM post WHERE provider = 'cdc2') h FULL JOIN (SELECT * FROM post WHERE provider <> 'cdc2') o USING (location_id, date)""")
+def _(spark, d):
+    fact = mapped_fact(spark, d)
+    return G.load_source("CDCCombinedTesting", fact, mapped_geo(fact), {}).obs.select("location_id", "date", F.round("value", 6).alias("value"))
+
+
+# Daily tests of two groups of events, in states and their counties, so that most weeks are whole.
+TESTS = """tf AS (SELECT 'iso1:us#iso2:us-' || lower(list_extract(['AL','AK','AZ','AR','CA'], CAST(user_id % 5 + 1 AS INTEGER))) AS location_id, CAST(ts AS DATE) AS dt,
+  CASE WHEN event_id % 2 = 0 THEN 'pcr_tests_positive' ELSE 'pcr_tests_total' END AS variable_name, CAST(COUNT(*) AS DOUBLE) AS value FROM fact GROUP BY 1, 2, 3)"""
+
+
+@query("connector_weekly_tests", f"""
+WITH {TESTS} SELECT a.location_id, CASE a.variable_name WHEN 'pcr_tests_positive' THEN 'positive_tests_viral_7d' ELSE 'total_tests_viral_7d' END AS variable, a.dt AS date, SUM(b.value) AS value
+FROM tf a JOIN tf b ON a.location_id = b.location_id AND a.variable_name = b.variable_name AND b.dt BETWEEN a.dt - 6 AND a.dt GROUP BY 1, 2, 3 HAVING COUNT(*) = 7""")
+def _(spark, d):
+    f, u = B.fact(spark, d), F.col("user_id")
+    states = F.array(*[F.lit(s.lower()) for s in B.REGION_STATES])
+    rows = f.groupBy(
+        F.concat(F.lit("iso1:us#iso2:us-"), states[(u % 5).cast("int")]).alias("location_id"), F.to_date("ts").alias("dt"),
+        F.when(F.col("event_id") % 2 == 0, "pcr_tests_positive").otherwise("pcr_tests_total").alias("variable_name")).agg(F.count("*").cast("double").alias("value"))
+    null = F.lit(None).cast("string")
+    fact = rows.withColumns({"provider": F.lit("state"), "measurement": F.lit("new"), "unit": F.lit("specimens")} | {c: F.lit("all") for c in ("age", "race", "ethnicity", "sex")} | {"source_url": null, "source_name": null})
+    return G.CONNECTORS["StateProvidedTesting"].load(fact, B.geo(spark, d)).obs.select("location_id", "variable", "date", "value")
 
 
 @query("connector_all", f"""

@@ -23,27 +23,42 @@ def spec_table(spark, spec: list[tuple]) -> DataFrame:
     return F.broadcast(spark.createDataFrame(spec, ", ".join(f"{k} string" for k in SPEC_KEYS) + ", field string"))
 
 
-def query_variables(fact: DataFrame, spec: list[tuple], source_type: str) -> Dataset:
-    """Rows of the declared variables as observations, plus source tags of bucket 'all'.
+def matched_rows(fact: DataFrame, specs: dict[str, list[tuple]]) -> DataFrame:
+    """Rows of the variables that any connector declares, once for each connector and field, in one scan of ``fact``.
 
-    A key that occurs twice fails the job; a source tag is the one of the latest date.
+    Every row is looked up once in the index of all specs, whose entry lists the connectors that read it.
     """
-    spark = fact.sparkSession
+    index: dict[tuple, list[tuple]] = {}
+    for connector, spec in specs.items():
+        for row in spec:
+            index.setdefault(tuple(row[:4]), []).append((connector, row[4]))
+    schema = ", ".join(f"{k} string" for k in SPEC_KEYS) + ", _readers array<struct<connector: string, variable: string>>"
+    rules = F.broadcast(fact.sparkSession.createDataFrame([(*key, readers) for key, readers in index.items()], schema))
     # The literal names also filter the scan, where they prune row groups before the join.
-    listed = F.col("provider").isin(sorted({r[0] for r in spec})) & F.col("variable_name").isin(sorted({r[1] for r in spec}))
-    named = fact.filter(listed).join(spec_table(spark, spec), SPEC_KEYS)
-    rows = named.select(
-        "location_id", F.col("field").alias("variable"),
-        S.bucket_name({c: F.col(c) for c in DEMOGRAPHICS}).alias("bucket"), F.col("dt").alias("date"), "value",
-        "source_url", "source_name",
-    )
-    content = T.source_content(F.lit(source_type), F.col("source_url"), F.col("source_name"))
+    listed = F.col("provider").isin(sorted({k[0] for k in index})) & F.col("variable_name").isin(sorted({k[1] for k in index}))
+    return fact.filter(listed).join(rules, SPEC_KEYS).select(
+        F.inline("_readers"), "location_id", S.bucket_name({c: F.col(c) for c in DEMOGRAPHICS}).alias("bucket"),
+        F.col("dt").alias("date"), "value", "source_url", "source_name")
+
+
+def observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Observations and source tags of matched rows, by connector.
+
+    A key that occurs twice for a connector fails the job; a tag of bucket 'all' is the one of the latest date.
+    """
+    content = T.source_content(F.col("connector"), F.col("source_url"), F.col("source_name"))
     tags = (
-        rows.filter("bucket = 'all'").groupBy(*SERIES).agg(F.max_by(content, F.col("date")).alias("content"))
-        .withColumn("tag_type", F.lit(T.SOURCE)).select(*TAG)
+        rows.filter("bucket = 'all'").groupBy("connector", *SERIES).agg(F.max_by(content, F.col("date")).alias("content"))
+        .select("connector", *SERIES, F.lit(T.SOURCE).alias("tag_type"), "content")
     )
-    obs = assert_unique(rows.select(*POINT, "value"), POINT)
-    return Dataset(obs, spark.createDataFrame([], STATIC_SCHEMA), tags)
+    keys = ["connector", *POINT]
+    return assert_unique(rows.select(*keys, "value"), keys), tags
+
+
+def query_variables(fact: DataFrame, spec: list[tuple], source_type: str) -> Dataset:
+    """Rows of the declared variables as observations, plus source tags of bucket 'all'."""
+    obs, tags = observations(matched_rows(fact, {source_type: spec}))
+    return Dataset(obs.select(*POINT, "value"), fact.sparkSession.createDataFrame([], STATIC_SCHEMA), tags.select(*TAG))
 
 
 def variable_coverage(fact: DataFrame, spec: list[tuple]) -> DataFrame:

@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from geotally.functions import tagtext as T
-from geotally.model import OBS_SCHEMA, POINT, TAG, TAG_SCHEMA, Dataset
+from geotally.model import OBS_SCHEMA, POINT, STATIC_SCHEMA, TAG, TAG_SCHEMA, Dataset, work_dir
 from geotally.operators import combine as C, filters, layout as L, rollup, windows as WN
+from geotally.sources import provider
 from geotally.sources.provider import query_variables
 
 Step = Callable[[Dataset, DataFrame], Dataset]
@@ -31,7 +32,10 @@ class Connector:
     ignored: list[tuple[str, str]] = field(default_factory=list)
 
     def load(self, fact: DataFrame, geo: DataFrame) -> Dataset:
-        ds = query_variables(fact, self.variables, self.name)
+        return self.finish(query_variables(fact, self.variables, self.name), geo)
+
+    def finish(self, ds: Dataset, geo: DataFrame) -> Dataset:
+        """The dataset after the connector's own steps."""
         for step in self.steps:
             ds = step(ds, geo)
         return ds
@@ -52,10 +56,12 @@ def to_ratio(ds: Dataset, geo: DataFrame) -> Dataset:
     return ds.with_obs(ds.obs.withColumn("value", F.col("value") / 100.0))
 
 
+CAPITAL_COUNTY = "iso1:us#iso2:us-dc#fips:11001"
+
+
 def capital_county_as_state(ds: Dataset, geo: DataFrame) -> Dataset:
     """The one county of the capital district also stands for its state."""
-    county, state = "iso1:us#iso2:us-dc#fips:11001", "iso1:us#iso2:us-dc"
-    return ds.with_obs(C.copy_region(ds.obs, county, state).select(*POINT, "value"))
+    return ds.with_obs(C.copy_region(ds.obs, CAPITAL_COUNTY, CAPITAL_COUNTY.partition("#fips")[0]).select(*POINT, "value"))
 
 
 def trim_zeros(ds: Dataset, geo: DataFrame) -> Dataset:
@@ -178,16 +184,19 @@ CONNECTORS = {
 SPLICE_DATE = datetime.date(2023, 3, 23)
 
 
-def spliced_cases(fact: DataFrame, geo: DataFrame) -> Dataset:
+Load = Callable[[str], Dataset]
+
+
+def spliced_cases(load: Load) -> Dataset:
     """Daily cases and deaths before the cutoff, weekly ones of the other provider from it on."""
-    daily, weekly = CONNECTORS["NYTimes"].load(fact, geo), CONNECTORS["CDC"].load(fact, geo)
+    daily, weekly = load("NYTimes"), load("CDC")
     obs = C.splice(daily.obs, weekly.obs, SPLICE_DATE)
     return daily.with_obs(obs).with_tags(C.constant_source_tags(obs.filter("bucket = 'all'"), T.source_content(F.lit("CDCNYT"))))
 
 
-def combined_positivity(fact: DataFrame, geo: DataFrame) -> Dataset:
+def combined_positivity(load: Load) -> Dataset:
     """Historical positivity, the originally posted one where it lacks a day."""
-    a, b = CONNECTORS["CDCHistoricalTesting"].load(fact, geo), CONNECTORS["CDCOriginallyPostedTesting"].load(fact, geo)
+    a, b = load("CDCHistoricalTesting"), load("CDCOriginallyPostedTesting")
     return b.with_obs(C.coalesce_pointwise(a.obs, b.obs))
 
 
@@ -232,7 +241,11 @@ STATIC_FEATURES = {
     "location_page_url": ["LocationPages"],
 }
 
-COMBINED: dict[str, Callable[[DataFrame, DataFrame], Dataset]] = {"CDCNYT": spliced_cases, "CDCCombinedTesting": combined_positivity}
+#: Sources made of connectors, with the connectors that they read.
+COMBINED: dict[str, tuple[Callable[[Load], Dataset], list[str]]] = {
+    "CDCNYT": (spliced_cases, ["NYTimes", "CDC"]),
+    "CDCCombinedTesting": (combined_positivity, ["CDCHistoricalTesting", "CDCOriginallyPostedTesting"]),
+}
 
 
 def load_source(name: str, fact: DataFrame, geo: DataFrame, files: dict[str, Dataset]) -> Dataset:
@@ -240,34 +253,85 @@ def load_source(name: str, fact: DataFrame, geo: DataFrame, files: dict[str, Dat
     if name in files:
         return files[name]
     if name in COMBINED:
-        return COMBINED[name](fact, geo)
+        return COMBINED[name][0](lambda part: CONNECTORS[part].load(fact, geo))
     if name in CONNECTORS:
         return CONNECTORS[name].load(fact, geo)
     raise ValueError(f"unknown source {name}")
 
 
+def mask_bits(geo: DataFrame, masks: list[str]) -> DataFrame:
+    """location_id and one bit for each mask that includes it, the first mask in the lowest bit."""
+    bits = sum((F.when(F.expr(MASKS[m]), F.lit(1 << i)).otherwise(0) for i, m in enumerate(masks)), F.lit(0))
+    return geo.select("location_id", bits.cast("long").alias("_bits"))
+
+
+def label_index(spark, features: dict[str, list[str]]) -> tuple[DataFrame, list[str]]:
+    """(name, variable) of every source and field with the labels that list it, each with the bit of its mask or 0."""
+    masks = sorted({label.partition(":")[2] for names in features.values() for label in names} - {""})
+    if unknown := [m for m in masks if m not in MASKS]:
+        raise ValueError(f"unknown mask {unknown[0]}")
+    index: dict[tuple[str, str], list[tuple[str, int]]] = {}
+    for variable, names in features.items():
+        for label in names:
+            name, _, mask = label.partition(":")
+            index.setdefault((name, variable), []).append((label, 1 << masks.index(mask) if mask else 0))
+    rows = [(*key, labels) for key, labels in sorted(index.items())]
+    return F.broadcast(spark.createDataFrame(rows, "name string, variable string, _labels array<struct<source: string, bit: long>>")), masks
+
+
+def load_all(names: list[str], fact: DataFrame, geo: DataFrame, files: dict[str, Dataset]) -> tuple[DataFrame, DataFrame]:
+    """Observations and tags of many sources by ``name``, from one scan of the fact table.
+
+    The rows that the connectors read are written once, in folders by connector. Those without steps go on together;
+    each of the others reads its own folder.
+    """
+    if unknown := [n for n in names if n not in files and n not in COMBINED and n not in CONNECTORS]:
+        raise ValueError(f"unknown source {unknown[0]}")
+    names = [n for n in names if n not in files]
+    needed = sorted({c for n in names for c in (COMBINED[n][1] if n in COMBINED else [n])})
+    spark = fact.sparkSession
+    parts = [(ds.obs.select(F.lit(n).alias("name"), *POINT, "value"), ds.tags.select(F.lit(n).alias("name"), *TAG)) for n, ds in files.items()]
+    if needed:
+        path = work_dir(spark, "matched")
+        matched = provider.matched_rows(fact, {c: CONNECTORS[c].variables for c in needed})
+        matched.hint("rebalance", "connector").write.partitionBy("connector").parquet(path)
+        rows = spark.read.schema(matched.schema).parquet(path)
+
+        def load(connector: str) -> Dataset:
+            obs, tags = provider.observations(rows.filter(F.col("connector") == connector))
+            ds = Dataset(obs.select(*POINT, "value"), spark.createDataFrame([], STATIC_SCHEMA), tags.select(*TAG))
+            return CONNECTORS[connector].finish(ds, geo)
+
+        plain = [n for n in names if n in CONNECTORS and not CONNECTORS[n].steps]
+        if plain:
+            obs, tags = provider.observations(rows.filter(F.col("connector").isin(plain)))
+            parts.append((obs.withColumnRenamed("connector", "name"), tags.withColumnRenamed("connector", "name")))
+        for n in [n for n in names if n not in plain]:
+            ds = COMBINED[n][0](load) if n in COMBINED else load(n)
+            parts.append((ds.obs.select(F.lit(n).alias("name"), *POINT, "value"), ds.tags.select(F.lit(n).alias("name"), *TAG)))
+    return C.union_all([p[0] for p in parts]), C.union_all([p[1] for p in parts])
+
+
 def load_features(fact: DataFrame, geo: DataFrame, files: dict[str, Dataset] | None = None, features: dict[str, list[str]] = FEATURES) -> tuple[DataFrame, DataFrame]:
     """Observations and tags of all listed sources, each with a ``source`` column as listed.
 
     A name or mask that is not known is an error before anything runs. Every source gives only the
-    fields that list it, in the regions of its mask.
+    fields that list it, in the regions of its mask: a location has a bit for each mask, and a row becomes one
+    row for each label whose bit is set. The fact table is scanned once, whatever the number of labels.
     """
-    files = files or {}
-    listed: dict[str, list[str]] = {}
-    for field_, names in features.items():
-        for name in names:
-            listed.setdefault(name, []).append(field_)
-    parts = []
-    for label, fields in listed.items():
-        name, _, mask = label.partition(":")
-        if mask and mask not in MASKS:
-            raise ValueError(f"unknown mask {mask} of source {name}")
-        ds = load_source(name, fact, geo, files)
-        obs, tags = (x.filter(F.col("variable").isin(fields)) for x in (ds.obs.select(*POINT, "value"), ds.tags.select(*TAG)))
-        if mask:
-            obs, tags = (C.source_with_region_mask(x, geo, F.expr(MASKS[mask])) for x in (obs, tags))
-        parts.append((obs.withColumn("source", F.lit(label)), tags.withColumn("source", F.lit(label))))
-    return C.union_all([p[0] for p in parts]), C.union_all([p[1] for p in parts])
+    index, masks = label_index(fact.sparkSession, features)
+    names = sorted({label.partition(":")[0] for names in features.values() for label in names})
+    files = {n: ds for n, ds in (files or {}).items() if n in names}
+    bits = mask_bits(geo, masks)
+
+    def labelled(df: DataFrame) -> DataFrame:
+        columns = [c for c in df.columns if c != "name"]
+        located = df.join(index, ["name", "variable"]).join(bits, "location_id", "left")
+        fits = lambda x: (x["bit"] == 0) | (x["bit"].bitwiseAND(F.coalesce("_bits", F.lit(0))) != 0)
+        return located.select(*columns, F.inline(F.filter("_labels", fits))).drop("bit")
+
+    obs, tags = load_all(names, fact, geo, files)
+    return labelled(obs), labelled(tags)
 
 
 def static_source(wide: DataFrame, numbers: list[str], strings: list[str]) -> Dataset:
