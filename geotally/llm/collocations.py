@@ -64,7 +64,7 @@ def _codes(words: pa.Array, names: list[str], of: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """lang, code, phrase (the word) and f; each task counts its own words first."""
+    """lang, phrase (the word) and f; each task counts its own words first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch, "text", 4_000_000):
@@ -74,11 +74,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * max(1, len(names)) + of
                 distinct, n = np.unique(key, return_counts=True)
                 at, lang = distinct // max(1, len(names)), distinct % max(1, len(names))
-                kept = coded.dictionary.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(lang)), pa.array(_codes(kept, names, lang)), kept.cast(pa.string()), pa.array(n)], ["lang", "code", "phrase", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(lang)), coded.dictionary.take(pa.array(at)).cast(pa.string()), pa.array(n)], ["lang", "phrase", "f"])
 
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, code long, phrase string, f long")
-    return found.groupBy("lang", "code", "phrase").agg(F.sum("f").alias("f"))
+    found = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, f long")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def with_codes(words: DataFrame) -> DataFrame:
+    """lang, phrase, f and the code of each word as an array of one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, of = _languages(batch.column(0), np.arange(len(batch)))
+            codes = _codes(batch.column(1), names, of)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _rows(np.zeros((len(batch), 0), np.int64), codes)], ["lang", "phrase", "f", "codes"])
+
+    return words.select("lang", "phrase", "f").mapInArrow(run, "lang string, phrase string, f long, codes array<long>")
 
 
 def coded_corpus(docs: DataFrame, words_a_row: int = 512) -> DataFrame:
@@ -188,7 +198,10 @@ class Trie:
 
 
 def _extended(codes: np.ndarray, trie: Trie, depth: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates of a block: the phrase that ends in an accepting state, the word after it, and how often."""
+    """Candidates of a block: the phrase that ends in an accepting state, the word after it, and how often.
+
+    Where the trie is ``whole`` the word is given by its letter, which is a small number, and else by its code.
+    """
     at, phrase = trie.walk(codes, depth)
     accepted = np.zeros(len(codes) + 1, bool)
     accepted[at] = True
@@ -199,37 +212,46 @@ def _extended(codes: np.ndarray, trie: Trie, depth: int, whole: bool) -> tuple[n
     phrase, following = phrase[good], following[good]
     words, letter = np.unique(following, return_inverse=True)
     key, which = np.unique(phrase * max(1, len(words)) + letter, return_inverse=True)
-    return key // max(1, len(words)), words[key % max(1, len(words))] if len(words) else words, np.bincount(which, minlength=len(key))
+    word = words[key % max(1, len(words))] if len(words) else words
+    return key // max(1, len(words)), np.searchsorted(trie.letters, word) if whole else word, np.bincount(which, minlength=len(key))
 
 
 def next_level(corpus: DataFrame, frequent: DataFrame, depth: int, least: int, most: int = PHRASES) -> DataFrame:
     """codes (array) and f of every phrase of ``depth + 1`` words with f of ``least`` or more.
 
-    ``frequent`` has the codes of all such phrases of ``depth`` words. A trie holds about ``most`` of them, dealt by hash.
+    ``frequent`` has the codes of all such phrases of ``depth`` words. A trie holds about ``most`` of them, dealt by hash;
+    every phrase has its first words in one trie only, so each trie's counts are whole. Counts are shuffled under the
+    numbers of phrase and word, and only what is frequent gets its codes back.
     """
     spark, parts = corpus.sparkSession, -(-frequent.count() // most)
-    found = None
+    found = spark.createDataFrame([], "codes array<long>, f long")
     for part in range(parts):
         mine = frequent.filter(F.pmod(F.xxhash64("codes"), F.lit(parts)) == part) if parts > 1 else frequent
         table = mine.select("codes").toArrow().column("codes").combine_chunks()
+        if not len(table):
+            continue
         phrases = table.flatten().to_numpy(zero_copy_only=False).reshape(-1, depth)
         shared = spark.sparkContext.broadcast((Trie(phrases), phrases))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            trie, phrases = shared.value
+        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            trie = shared.value[0]
             for batch in batches:
                 column = batch.column(0)
                 ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
                 codes = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.int64)
                 for start in range(0, len(codes), BLOCK):
-                    phrase, word, n = _extended(codes[start : start + BLOCK + depth], trie, depth, parts == 1)
-                    yield pa.RecordBatch.from_arrays([_rows(phrases[phrase], word), pa.array(n)], ["codes", "f"])
+                    found = _extended(codes[start : start + BLOCK + depth], trie, depth, parts == 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], ["phrase", "word", "f"])
+
+        def decode(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            trie, phrases = shared.value
+            for batch in batches:
+                phrase, word = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([_rows(phrases[phrase], trie.letters[word] if parts == 1 else word), batch.column(2)], ["codes", "f"])
 
-        counted = corpus.mapInArrow(run, "codes array<long>, f long")
-        found = counted if found is None else found.unionByName(counted)
-    if found is None:
-        return spark.createDataFrame([], "codes array<long>, f long")
-    return found.groupBy("codes").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        counted = corpus.mapInArrow(count, "phrase long, word long, f long").groupBy("phrase", "word").agg(F.sum("f").alias("f"))
+        found = found.unionByName(counted.filter(F.col("f") >= least).mapInArrow(decode, "codes array<long>, f long"))
+    return found
 
 
 def _rows(phrases: np.ndarray, word: np.ndarray) -> pa.Array:
@@ -241,7 +263,7 @@ def phrase_counts(docs: DataFrame, least: int = 100, most: int = PHRASES) -> tup
     """lang, k, phrase and f of every phrase of 1 to 5 words with f of ``least`` or more; lang and n of each language."""
     words = materialize(word_counts(docs), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = materialize(words.filter(F.col("f") >= least).select("lang", "phrase", F.array("code").alias("codes"), "f"), "phrases-1")
+    level = materialize(with_codes(words.filter(F.col("f") >= least)).select("lang", "phrase", "codes", "f"), "phrases-1")
     vocabulary, levels = level.select("lang", "phrase", F.col("codes")[0].alias("__code")), [level.withColumn("k", F.lit(1))]
     corpus = materialize(coded_corpus(docs), "phrase-corpus")
     for k in range(2, LEVELS + 1):
