@@ -8,6 +8,7 @@ from geotally.functions import scalars as S, tagtext as TT
 from geotally.model import POINT, SERIES, TAG, Dataset, day, series_window, whole_series, assert_declared
 from geotally.operators import combine as C, layout as L, windows as WN
 from geotally.operators.rollup import latest_values
+from geotally.sources import versions
 
 PAIR = ["variable", "location_id"]
 
@@ -34,9 +35,25 @@ def series_only_in_one(left: DataFrame, right: DataFrame) -> DataFrame:
     return side(a.join(b, PAIR, "left_anti"), "left").unionByName(side(b.join(a, PAIR, "left_anti"), "right"))
 
 
+def series_digests(left: DataFrame, right: DataFrame) -> DataFrame:
+    """PAIR, ``same`` and the number of points ``n`` of the series that both sides have.
+
+    Counts and sums of row hashes are compared, one small row per series. A series with a missing value
+    on either side does not count as the same, so that its points are looked at.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        whole = versions.digests(df.select(*PAIR, "date", "value"), PAIR, extra=[F.count_if(F.col("value").isNull()).alias("missing")])
+        return whole.select(*PAIR, F.struct("n", "low", "high", "missing").alias(name))
+
+    both = side(left, "_a").join(side(right, "_b"), PAIR)
+    return both.select(*PAIR, F.col("_a.n").alias("n"), ((F.col("_a") == F.col("_b")) & (F.col("_a.missing") == 0)).alias("same"))
+
+
 def joined_points(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Points of the series that both sides have, side by side."""
+    """Points side by side of the series that both sides have and that are not the same on both."""
     key = PAIR + ["date"]
+    differ = series_digests(left, right).filter("not same").select(*PAIR)
+    left, right = left.join(differ, PAIR, "left_semi"), right.join(differ, PAIR, "left_semi")
     both = left.select(*key, F.col("value").alias("l")).join(right.select(*key, F.col("value").alias("r")), key, "full")
     w = W.partitionBy(*PAIR)
     return both.withColumn("_both", (F.count("l").over(w) > 0) & (F.count("r").over(w) > 0)).filter("_both").drop("_both")
@@ -76,7 +93,9 @@ def diff_smape(left: DataFrame, right: DataFrame) -> DataFrame:
         *PAIR, F.when(F.abs("total") > 0.0001, F.try_divide("delta", "total")).otherwise(small).alias("diff"), "points_overlap", F.lit(True).alias("has_overlap"))
     apart = x.filter("start > end").select(*PAIR).distinct().select(
         *PAIR, F.lit(1.0).alias("diff"), F.lit(0).cast("bigint").alias("points_overlap"), F.lit(False).alias("has_overlap"))
-    return scored.unionByName(apart)
+    equal = series_digests(left, right).filter("same").select(
+        *PAIR, F.lit(0.0).alias("diff"), F.col("n").alias("points_overlap"), F.lit(True).alias("has_overlap"))
+    return scored.unionByName(apart).unionByName(equal)
 
 
 def diff_top_series(diffs: DataFrame, k: int = 20) -> DataFrame:
@@ -181,9 +200,16 @@ def metric_differs(a: Column, b: Column, threshold: float = 10, absolute: bool =
 
 
 def nested_differences(old: DataFrame, new: DataFrame, key: str = "location_id") -> DataFrame:
-    """Leaves of nested summaries whose values differ: key, path, old and new value as text."""
+    """Leaves of nested summaries whose values differ: key, path, old and new value as text.
+
+    Whole summaries are compared by a digest first; only those that differ are taken apart and joined leaf by leaf.
+    """
     from geotally.sources.writers import flatten_struct
 
+    digest = lambda df, name: df.select(key, F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256).alias(name))
+    differ = digest(old, "_a").join(digest(new, "_b"), key, "full").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(key)
+    old, new = old.join(differ, key, "left_semi"), new.join(differ, key, "left_semi")
+
     def leaves(df, name):
         flat = flatten_struct(df)
         columns = [c for c in flat.columns if c != key]

@@ -11,6 +11,7 @@ from geotally.functions import tagtext as T
 from geotally.model import POINT, SERIES, TAG, Dataset, whole_series
 from geotally.operators import windows as WN
 from geotally.operators.combine import union_all
+from geotally.operators.intervals import in_intervals
 from geotally.operators.tags import make_tags
 
 # Days exempt from outlier removal, and the date after which the higher threshold holds.
@@ -283,20 +284,43 @@ def drop_tail_ratio_outliers(ds: Dataset, field: str, threshold: float = 10.0, m
     return exclude_points(ds, flagged, others)
 
 
+def anomaly_rules(listed: DataFrame, geo: DataFrame, prefix: str = "NYTimes: ") -> DataFrame:
+    """An anomaly list as rules: location_id, variable, start, end, note, omit.
+
+    ``listed`` has date, end_date, geoid, type (cases, deaths or both), omit_from_rolling_average,
+    omit_from_rolling_average_on_subgeographies and description. A row of a state that is omitted in its counties
+    also stands for each of them, omitted; ``both`` is two rows, a missing end is the same day, and a place that
+    ``geo`` lacks is left out.
+    """
+    rows = listed.select(
+        F.regexp_replace("geoid", "^USA-", "").alias("fips"), F.col("date").alias("start"), F.coalesce("end_date", "date").alias("end"),
+        (F.col("omit_from_rolling_average") == "yes").alias("omit"), (F.col("omit_from_rolling_average_on_subgeographies") == "yes").alias("_below"),
+        F.explode(F.when(F.col("type") == "both", F.array(F.lit("cases"), F.lit("deaths"))).otherwise(F.array("type"))).alias("type"),
+        F.concat(F.lit(prefix), "description").alias("note"))
+    counties = geo.filter("level = 'county'").select(F.substring("fips", 1, 2).alias("fips"), F.col("fips").alias("_county"))
+    below = rows.filter(F.col("_below") & (F.length("fips") == 2)).join(counties, "fips")
+    every = rows.unionByName(below.withColumns({"fips": F.col("_county"), "omit": F.lit(True)}).drop("_county"))
+    names = F.when(F.col("type") == "cases", "new_cases").when(F.col("type") == "deaths", "new_deaths")
+    known = F.when(names.isNull(), F.raise_error(F.concat(F.lit("unknown anomaly type "), "type")).cast("string")).otherwise(names)
+    return every.join(geo.select("fips", "location_id"), "fips").select(
+        "location_id", known.alias("variable"), "start", "end", "note", F.coalesce("omit", F.lit(False)).alias("omit"))
+
+
 def anomaly_filter(ds: Dataset, rules: DataFrame, exempt: Column | None = None) -> Dataset:
     """Remove known anomalies (location_id, variable, start, end, note) of bucket 'all' and tag them.
 
-    A rule becomes one row per day, so the match is an equi-join. A day is tagged when the
-    location reports anything on it.
+    Rules that have a column ``omit`` apply only where it is true. Ranges are matched by bins of days and may be open
+    at either end. A day is tagged when the location reports anything on it.
     """
-    days = rules.withColumn("date", F.explode(F.sequence("start", F.coalesce("end", "start")))).withColumn("bucket", F.lit("all"))
-    if exempt is not None:
-        days = days.filter(~exempt)
+    if "omit" in rules.columns:
+        rules = rules.filter("omit").drop("omit")
+    rules = rules.withColumn("bucket", F.lit("all"))
+    live = lambda df: df if exempt is None else df.filter(~exempt)
     reported = ds.obs.filter("bucket = 'all' and value is not null").select("location_id", "date").distinct()
-    hits = days.join(reported, ["location_id", "date"], "left_semi")
+    hits = live(in_intervals(reported, rules, ["location_id"]))
     tags = hits.select(*SERIES, F.lit(T.KNOWN_ISSUE).alias("tag_type"), T.known_issue_content(F.col("note"), F.col("date")).alias("content"))
-    kept = ds.obs.join(days.select(*POINT).distinct(), POINT, "left_anti").select(*POINT, "value")
-    return ds.with_obs(kept).add_tags(tags)
+    gone = live(in_intervals(ds.obs.select(*POINT), rules.drop("note"), SERIES)).distinct()
+    return ds.with_obs(ds.obs.join(gone, POINT, "left_anti").select(*POINT, "value")).add_tags(tags)
 
 
 def rt_input_gate(series: DataFrame, smoothed: str = "smoothed", value: str = "value", by: str = "location_id") -> DataFrame:

@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geotally.model import POINT, SERIES, day, days_back, series_window, whole_series
+from geotally.model import POINT, SERIES, day, days_back, materialize, series_window, whole_series
 from geotally.operators.layout import densify_calendar, densify_per_series
 
 
@@ -249,21 +249,17 @@ def most_recent_date(obs: DataFrame) -> DataFrame:
 def ecdf(df: DataFrame, value: str, parts: int | None = None) -> DataFrame:
     """Share of rows at or below each distinct value.
 
-    Values are cut at approximate quantiles, so the running counts are taken inside many balanced
-    parts; only one row per part goes through a window without a key.
+    Distinct values with their counts are dealt into ranges and written with the number of their range. Running counts
+    are taken inside each range, and added to the total of the ranges before it; only that small table of totals, one
+    row a range, goes through a window without a key.
     """
     parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    n = F.count("*").alias("n")
-    counts = df.groupBy(value).agg(n)
-    cuts = df.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10000)).scalar()
-    counts = counts.withColumn("_cuts", cuts)
-    counts = counts.withColumn("part", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.groupBy("part").agg(F.sum("n").alias("part_n")).select(
-        "part", F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("offset")
-    )
-    inside = W.partitionBy("part").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    total = df.agg(F.count("*")).scalar()
-    return counts.join(offsets, "part").select(
-        value, ((F.col("offset") + F.sum("n").over(inside)) / total).alias("share")
+    counts = df.groupBy(value).agg(F.count("*").alias("_n"))
+    ranged = materialize(counts.repartitionByRange(parts, value).withColumn("_part", F.spark_partition_id()), "ecdf")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranged.groupBy("_part").agg(F.sum("_n").alias("_size"))
+    offsets = totals.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), F.sum("_size").over(W.partitionBy()).alias("_total"))
+    inside = W.partitionBy("_part").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    return ranged.withColumn("_upto", F.sum("_n").over(inside)).join(offsets, "_part").select(
+        value, ((F.col("_offset") + F.col("_upto")) / F.col("_total")).alias("share")
     )

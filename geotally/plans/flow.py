@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geotally.model import POINT, SERIES, STATIC, TAG, Dataset, materialize, whole_series
+from geotally.model import POINT, SERIES, STATIC, TAG, Dataset, materialize, materialize_by_series, whole_series
 from geotally.operators import combine as C, filters, levels as LV, measures as M, publish as PB, quality as Q, rollup as RU, windows as WN
 from geotally.sources import writers as WR
 
@@ -44,7 +44,8 @@ class Config:
 
 
 def stored(ds: Dataset, name: str) -> Dataset:
-    return Dataset(materialize(ds.obs.select(*POINT, "value"), f"{name}-obs"), ds.static, materialize(ds.tags.select(*TAG), f"{name}-tags"))
+    """The dataset as tables in buckets by series, so that the steps that read it shuffle nothing by series."""
+    return Dataset(materialize_by_series(ds.obs.select(*POINT, "value"), f"{name}-obs"), ds.static, materialize_by_series(ds.tags.select(*TAG), f"{name}-tags"))
 
 
 def derived(ds: Dataset, obs: DataFrame) -> Dataset:

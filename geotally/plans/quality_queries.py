@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geotally.functions import tagtext as T
 from geotally.model import POINT, SERIES, Dataset, flatten
 from geotally.operators import combine as C, filters as FL, layout as L, quality as O, windows as WN
+from geotally.operators.intervals import in_intervals
 from geotally.plans import bindings as B
 from geotally.plans.catalog import query
 from geotally.plans.flow import stored
@@ -237,20 +238,51 @@ def _(spark, d):
 
 
 ANOM = f"""{RULES_SQL}, days AS (SELECT rx.location_id, CASE kind WHEN 'cases' THEN 'n_orders' ELSE 'revenue' END AS variable, 'all' AS bucket, CAST(t AS DATE) AS date
-  FROM rx, generate_series(start_d, end_d, INTERVAL 1 DAY) g(t))"""
+  FROM rx, generate_series(start_d, end_d, INTERVAL 1 DAY) g(t)
+  UNION ALL SELECT DISTINCT location_id, 'n_orders', 'all', date FROM obs WHERE location_id = 'iso1:us#iso2:us-al#fips:01001' AND date >= DATE '1998-06-01'
+  UNION ALL SELECT DISTINCT location_id, 'revenue', 'all', date FROM obs WHERE location_id LIKE 'iso1:us#iso2:us-ar#%' AND date <= DATE '1992-03-31')"""
 
 
 def named_rules(spark, d):
-    return anomaly_rules(spark, d).select(
-        "location_id", F.when(F.col("kind") == "cases", "n_orders").otherwise("revenue").alias("variable"), "start", "end",
-        F.concat(F.lit("Known: "), "kind").alias("note"),
-    )
+    """Rules with both ends, one without an end, some without a start, and some that are listed but not to be omitted."""
+    name = F.when(F.col("kind") == "cases", "n_orders").otherwise("revenue").alias("variable")
+    both = anomaly_rules(spark, d).select("location_id", name, "start", "end", F.concat(F.lit("Known: "), "kind").alias("note"), F.lit(True).alias("omit"))
+    day = lambda x: F.lit(x).cast("date")
+    more = lambda where, variable, start, end, kind, omit: B.counties(spark, d).filter(where).select(
+        "location_id", F.lit(variable).alias("variable"), day(start).alias("start"), day(end).alias("end"), F.lit(f"Known: {kind}").alias("note"), F.lit(omit).alias("omit"))
+    return both.unionByName(more("fips = '01001'", "n_orders", D(1998, 6, 1), None, "cases", True)).unionByName(
+        more("state = 'AR'", "revenue", None, D(1992, 3, 31), "deaths", True)).unionByName(more("state = 'CA'", "n_orders", None, None, "cases", False))
 
 
 @query("anomaly_range_join", f"WITH {ANOM} SELECT o.* FROM obs o SEMI JOIN days USING ({PK})")
 def _(spark, d):
-    days = named_rules(spark, d).withColumn("date", F.explode(F.sequence("start", "end"))).withColumn("bucket", F.lit("all"))
-    return B.obs(spark, d).join(days.select(*POINT).distinct(), POINT, "left_semi").select(*POINT, "value")
+    rules = named_rules(spark, d).filter("omit").select("location_id", "variable", F.lit("all").alias("bucket"), "start", "end")
+    return in_intervals(B.obs(spark, d), rules, SERIES).select(*POINT, "value").distinct()
+
+
+LISTED = """(1, 'USA-01', DATE '1995-01-01', DATE '1995-02-10', 'both', 'no', 'yes', 'state, omitted in its counties'), (2, 'USA-02002', DATE '1996-03-01', NULL, 'cases', 'yes', 'no', 'one day'),
+ (3, 'USA-36998', DATE '1996-03-01', NULL, 'cases', 'yes', 'no', 'no such place'), (4, 'USA-03', DATE '1997-01-01', DATE '1997-12-31', 'deaths', NULL, NULL, 'listed only')"""
+
+
+@query("anomaly_list", f"""
+WITH li AS (SELECT * FROM (VALUES {LISTED}) AS l(no, geoid, date, end_date, type, omit, below, description)), ow AS (SELECT replace(geoid, 'USA-', '') AS fips, * FROM li),
+ al AS (SELECT fips, date, end_date, type, COALESCE(omit = 'yes', false) AS omit, description FROM ow
+  UNION ALL SELECT g.fips, date, end_date, type, true, description FROM ow JOIN geo g ON g.level = 'county' AND substr(g.fips, 1, 2) = ow.fips WHERE below = 'yes'),
+ ty AS (SELECT * FROM al JOIN (VALUES ('cases', 'cases', 'new_cases'), ('deaths', 'deaths', 'new_deaths'), ('both', 'cases', 'new_cases'), ('both', 'deaths', 'new_deaths')) AS v(type, one, variable) USING (type))
+SELECT g.location_id, ty.variable, ty.date AS start, COALESCE(end_date, ty.date) AS "end", 'NYTimes: ' || description AS note, omit, COUNT(o.date) AS points FROM ty JOIN geo g USING (fips)
+ LEFT JOIN obs o ON o.location_id = g.location_id AND o.variable = 'n_orders' AND o.date BETWEEN ty.date AND COALESCE(end_date, ty.date) GROUP BY ALL""")
+def _(spark, d):
+    """A list of anomalies as rules for each place, and the observations in the range of each."""
+    rows = [
+        ("USA-01", D(1995, 1, 1), D(1995, 2, 10), "both", "no", "yes", "state, omitted in its counties"), ("USA-02002", D(1996, 3, 1), None, "cases", "yes", "no", "one day"),
+        ("USA-36998", D(1996, 3, 1), None, "cases", "yes", "no", "no such place"), ("USA-03", D(1997, 1, 1), D(1997, 12, 31), "deaths", None, None, "listed only")]
+    listed = spark.createDataFrame(rows, "geoid string, date date, end_date date, type string, omit_from_rolling_average string, omit_from_rolling_average_on_subgeographies string, description string")
+    rules = O.anomaly_rules(listed, B.geo(spark, d))
+    orders = B.obs(spark, d).filter("variable = 'n_orders'").select("location_id", "date")
+    keys = ["location_id", "variable", "start", "end", "note", "omit"]
+    hits = in_intervals(orders, rules.withColumns({"first": F.col("start"), "last": F.col("end")}), ["location_id"])
+    counts = hits.groupBy("location_id", "variable", F.col("first").alias("start"), F.col("last").alias("end"), "note", "omit").agg(F.count("*").alias("points"))
+    return rules.join(counts, keys, "left").withColumn("points", F.coalesce("points", F.lit(0)))
 
 
 @query("anomaly_filter", f"""

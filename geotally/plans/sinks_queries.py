@@ -10,7 +10,7 @@ from geotally.plans.layout_queries import columns_as_rows
 from geotally.plans.measures_queries import actual_wide
 from geotally.plans.rt_queries import ALL, daily
 from geotally.operators import rt as RT
-from geotally.sources import readers as RD, writers as WR
+from geotally.sources import readers as RD, versions as VS, writers as WR
 
 EV_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -68,6 +68,17 @@ def _(spark, d):
                     back.tags.agg(F.count("*")).scalar().alias("tags"))
 
 
+@query("versioned_update", """
+SELECT location_id, variable, bucket, date, CASE WHEN variable = 'revenue' THEN value / 100 ELSE value END AS value, 'revenue' AS written FROM obsb""")
+def _(spark, d):
+    """A dataset saved, then saved again with one variable changed; the second version writes that variable alone."""
+    root, ds = work_dir(spark, "versions"), B.dataset(spark, d, B.obsb)
+    VS.save(ds, root)
+    scaled = F.when(F.col("variable") == "revenue", F.col("value") / 100).otherwise(F.col("value"))
+    written = VS.save(ds.with_obs(ds.obs.withColumn("value", scaled)), root)
+    return VS.load(spark, root).obs.withColumn("written", F.lit(",".join(written["obs"] + written["static"] + written["tags"])))
+
+
 def regions(spark, d):
     of = lambda name: F.sum(F.when(F.col("variable") == name, F.col("value")))
     # no order in the first year leaves no number, which the file must not have as text
