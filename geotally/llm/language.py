@@ -133,15 +133,16 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = bounds[:-1][order], sizes[order]
     active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left")
-    labels = np.arange(scores.shape[1], dtype=np.uint8)
-    best, back = np.zeros((len(order), scores.shape[1]), np.float32), np.zeros(scores.shape, np.uint8)
+    kind = np.min_scalar_type(max(scores.shape[1] - 1, 0))  # a byte a label, and more only for over 256 languages
+    labels = np.arange(scores.shape[1], dtype=kind)
+    best, back = np.zeros((len(order), scores.shape[1]), np.float32), np.zeros(scores.shape, kind)
     for t, m in enumerate(active):
         at, v = starts[:m] + t, best[:m]
         top = v.argmax(axis=1)
         least = v[np.arange(m), top][:, None] - penalty
         back[at] = np.where(v >= least, labels, top[:, None])
         best[:m] = np.maximum(v, least) + scores[at]
-    path, state = np.zeros(len(scores), np.uint8), best.argmax(axis=1)
+    path, state = np.zeros(len(scores), kind), best.argmax(axis=1)
     for t in range(len(active) - 1, -1, -1):
         m = active[t]
         at = starts[:m] + t
@@ -179,7 +180,7 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                 else:
                     bounds, lettered, scores, path = _labelled(part, model, penalty)
                     doc = np.repeat(np.arange(n), np.diff(bounds))
-                    votes = np.bincount((doc * k + path)[lettered], minlength=n * k).reshape(n, k)
+                    votes = np.bincount((doc * k + path.astype(np.int64))[lettered], minlength=n * k).reshape(n, k)
                     total = np.zeros((n, k))
                     full = np.diff(bounds) > 0
                     if full.any():
