@@ -92,11 +92,11 @@ def _firsts(key: np.ndarray, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def _ranks(ids: pa.Array) -> np.ndarray:
-    return pc.rank(ids, tiebreaker="dense").to_numpy(zero_copy_only=False).astype(np.int64)
+    return pc.rank(ids, null_placement="at_start", tiebreaker="dense").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _index_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(anchor, block, id, place): place packs first window, windows and kind.
+    """(anchor, block, id, digest, place): place packs first window, windows and kind.
 
     Of the copies of a block within a batch only the first needs the index; the others are known to be copies.
     """
@@ -116,21 +116,22 @@ def _index_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 key = np.concatenate([key, common, common])
                 whole = np.concatenate([whole, np.zeros(len(common), np.uint64), np.ones(len(common), np.uint64)])
                 place = np.concatenate([(start << 16) | (size << 2) | kind, np.full(2 * len(common), MARK)])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)), ids, pa.array(place)], ["anchor", "block", "id", "place"])
+                digests = part.column("digest").take(pa.array(np.concatenate([doc, np.zeros(2 * len(common), np.int64)])))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)), ids, digests, pa.array(place)], ["anchor", "block", "id", "digest", "place"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"anchor long, block long, id {kind}, place long")
+    return texts.mapInArrow(run, f"anchor long, block long, id {kind}, digest long, place long")
 
 
 def _questions(index: DataFrame) -> DataFrame:
-    """(id, places): the blocks of a document that are copies (kind COPY) or to be compared by windows."""
+    """(id, digest, places): the blocks of a document that are copies (kind COPY) or to be compared by windows."""
     kind, start = F.col("place").bitwiseAND(F.lit(3)), F.shiftright("place", 16)
     by_block, by_anchor = W.partitionBy("anchor", "block").orderBy("id", start), W.partitionBy("anchor")
     seen = index.withColumn("nth", F.rank().over(by_block)).withColumn("several", F.min("block").over(by_anchor) != F.max("block").over(by_anchor))
     verdict = F.when(kind != BLOCK, kind).when(F.col("nth") > 1, COPY).when(F.col("several"), WINDOWS)
     asked = seen.withColumn("verdict", verdict).filter(F.col("verdict").isin(COPY, WINDOWS))
     place = F.col("place") - kind + F.col("verdict")
-    return asked.groupBy("id").agg(F.collect_list(place).alias("places"))
+    return asked.groupBy("id", "digest").agg(F.collect_list(place).alias("places"))
 
 
 def _unpacked(batch: pa.RecordBatch, budget: int = 4_000_000):
@@ -162,14 +163,14 @@ def _window_rows(asked: DataFrame, window: int) -> DataFrame:
                 key = Passages(word_hashes(words)).hash(at, at + window, np.uint64(window))
                 first = _firsts(key, _ranks(part.column("id"))[doc], start)
                 key = np.where(first, key, mix(key, start.astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("id").take(pa.array(doc)), pa.array(start), pa.array(~first)], ["hash", "id", "start", "copy"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *[part.column(c).take(pa.array(doc)) for c in ("id", "digest")], pa.array(start), pa.array(~first)], ["hash", "id", "digest", "start", "copy"])
 
     kind = asked.schema["id"].dataType.simpleString()
-    return asked.select("id", "packed", "places").mapInArrow(run, f"hash long, id {kind}, start long, copy boolean")
+    return asked.select("id", "digest", "packed", "places").mapInArrow(run, f"hash long, id {kind}, digest long, start long, copy boolean")
 
 
 def _parsed(asked: DataFrame, window: int) -> DataFrame:
-    """(id, n_words, spans, kept): spans of words [start, end) that are removed, and the words left."""
+    """(id, digest, n_words, spans, kept): spans of words [start, end) that are removed, and the words left."""
     def run(batches):
         for batch in batches:
             for part, texts in _unpacked(batch):
@@ -190,49 +191,59 @@ def _parsed(asked: DataFrame, window: int) -> DataFrame:
                     spans.append([{"start": int(s), "end": int(e)} for s, e in edges.reshape(-1, 2)])
                     kept.append(" ".join(words.slice(a, b - a).filter(pa.array(~covered[a:b])).to_pylist()))
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bounds)), pa.array(spans, span), pa.array(kept, pa.string())], ["id", "n_words", "spans", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), pa.array(np.diff(bounds)), pa.array(spans, span), pa.array(kept, pa.string())], ["id", "digest", "n_words", "spans", "kept"])
 
     kind = asked.schema["id"].dataType.simpleString()
-    return asked.select("id", "packed", "places", "starts").mapInArrow(run, f"id {kind}, n_words long, spans array<struct<start: long, end: long>>, kept string")
+    return asked.select("id", "digest", "packed", "places", "starts").mapInArrow(run, f"id {kind}, digest long, n_words long, spans array<struct<start: long, end: long>>, kept string")
 
 
 def parsed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, n_words, spans, kept) for the documents with a block that occurs elsewhere.
+    """(id, digest, n_words, spans, kept) for the documents with a block that occurs elsewhere.
 
     A span is a series of words each of which some window of ``window`` words covers that occurs earlier:
     in a document with a smaller id, or in the same at an earlier word. ``kept`` is the text without
     the spans, its words joined by a space. Windows are judged on the input. Hashes have 64 bits.
 
-    Null and short texts have no window. Rows that repeat an id are one document: equal texts are cut
-    alike and do not count as copies of each other; of different texts, each is cut at the places found in any.
+    Null and short texts have no window. Rows that repeat an id are one document: windows at the same word of it
+    are no copies of each other, and ``digest`` (xxhash64 of the text) tells its texts apart, each of which loses
+    its own windows. A null id is one id, before all others.
     Other columns are not read. An empty table gives no rows. A batch sends one row for each block it has,
     so a passage in a third of all documents is one row per batch, and an anchor in very many
     different blocks is sent as windows, which spread.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
     questions = materialize(_questions(_index_rows(texts, window, anchor)), "parse-questions")
 
     def pack(batches):
         for batch in batches:
             press = zstandard.ZstdCompressor(level=3).compress
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([press(x) for x in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())], ["id", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array([press(x) for x in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())], ["id", "digest", "packed"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    packed = texts.filter("text is not null").mapInArrow(pack, f"id {kind}, packed binary")
-    asked = materialize(packed.join(questions, "id"), "parse-texts")
+    packed = texts.filter("text is not null").mapInArrow(pack, f"id {kind}, digest long, packed binary")
+
+    def beside(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        """Joined by id, null too, and digest."""
+        right = right.withColumnsRenamed({"id": "right_id", "digest": "right_digest"})
+        same = F.col("id").eqNullSafe(F.col("right_id")) & (F.col("digest") == F.col("right_digest"))
+        return left.join(right, same, how).drop("right_id", "right_digest")
+
+    asked = materialize(beside(packed, questions, "inner"), "parse-texts")
     by_hash = W.partitionBy("hash").orderBy("id", "start")
     copied = _window_rows(asked, window).withColumn("nth", F.rank().over(by_hash)).filter("copy or nth > 1")
-    starts = copied.groupBy("id").agg(F.collect_list("start").alias("starts"))
-    return _parsed(asked.join(starts, "id", "left"), window).withColumnRenamed("id", id_col)
+    starts = copied.groupBy("id", "digest").agg(F.collect_list("start").alias("starts"))
+    return _parsed(beside(asked, starts, "left"), window).withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256 of the words that are left."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
-    cut = parsed_documents(docs, id_col, text_col, **how).select(F.col(id_col).alias("__id"), removed.alias("n_removed"), F.sha2("kept", 256).alias("cut_sha256")).filter("n_removed > 0")
-    cut = cut.groupBy("__id").agg(F.max("n_removed").alias("n_removed"), F.max_by("cut_sha256", "n_removed").alias("cut_sha256"))
-    whole = docs.select(F.col(id_col), empty_if_null(text_col).alias("__text")).select(
-        id_col, F.regexp_count("__text", F.lit(WORD)).cast("long").alias("n_words"),
-        F.sha2(F.trim(F.regexp_replace("__text", SPACE, " ")), 256).alias("whole_sha256"),
+    cut = parsed_documents(docs, id_col, text_col, **how).select(F.col(id_col).alias("__id"), F.col("digest").alias("__digest"), removed.alias("n_removed"), F.sha2("kept", 256).alias("cut_sha256")).filter("n_removed > 0")
+    cut = cut.groupBy("__id", "__digest").agg(F.max("n_removed").alias("n_removed"), F.max_by("cut_sha256", "n_removed").alias("cut_sha256"))
+    text = empty_if_null(text_col)
+    whole = docs.select(
+        F.col(id_col), F.xxhash64(text_col).alias("__own"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
+        F.sha2(F.trim(F.regexp_replace(text, SPACE, " ")), 256).alias("whole_sha256"),
     )
-    return whole.join(cut, F.col(id_col).eqNullSafe(F.col("__id")), "left").select(id_col, "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    return whole.join(cut, same, "left").select(id_col, "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
