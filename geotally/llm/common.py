@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from geotally.model import materialize
 
-__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "written", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of", "packed", "unpacked", "unpacked_texts"]
+__all__ = ["WORD", "SPACE", "documents", "empty_if_null", "materialize", "written", "row_key", "fresh", "without_rows", "order_hash", "bucket_bits", "hash_bucket", "with_running_total", "flat_words", "word_hashes", "mix", "batches_of", "packed", "unpacked", "unpacked_texts"]
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +34,30 @@ def written(df: DataFrame, name: str, rows: int, per_file: int = 200_000) -> Dat
     return materialize(df.repartition(max(1, -(-rows // per_file))), name)
 
 
+def row_key(id_col: str, digest: Column) -> Column:
+    """One text for the id, null included, and a digest: what tells the rows of ``docs`` apart when some go."""
+    return F.concat_ws("/", F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")), digest.cast("string"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_rows(df: DataFrame, key: Column, gone: DataFrame, repeated: bool = False) -> DataFrame:
+    """``df`` without the rows whose ``key`` is in the one column of ``gone``; ``repeated`` leaves one row a key.
+
+    Both steps are by the key, so that texts move once.
+    """
+    name = fresh(df, "__row")
+    keyed = df.withColumn(name, key)
+    left = keyed.join(gone.toDF(name).distinct(), name, "left_anti")
+    return (left.dropDuplicates([name]) if repeated else left).drop(name)
+
+
 def order_hash(col: str, seed: int = 0) -> Column:
     """A 64-bit value by which rows are put in an order that does not depend on how they are stored."""
     return F.xxhash64(F.lit(seed), F.col(col))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from geotally.llm.common import SPACE, empty_if_null, materialize, written
+from geotally.llm.common import SPACE, empty_if_null, materialize, row_key, without_rows, written
 
 KEYS = ["norm_len", "prefix_hash"]
 
@@ -52,9 +52,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; of a repeated row one stays.
 
-    Rows without an id stay, but for repetitions of each other.
+    Rows go by id and text, so another text under the same id stays, and a row without an id is treated
+    like any other.
     """
-    gone = exact_groups(docs, id_col, text_col).filter("not kept").select(id_col).distinct()
-    same = F.xxhash64(F.regexp_replace(empty_if_null(text_col), SPACE, ""))
-    # both steps are by id, so that texts move once
-    return docs.join(gone, id_col, "left_anti").withColumn("__same", same).dropDuplicates([id_col, "__same"]).drop("__same")
+    gone = exact_groups(docs, id_col, text_col).filter("not kept").select(row_key(id_col, F.col("text_sha256")))
+    same = F.sha2(F.regexp_replace(empty_if_null(text_col), SPACE, ""), 256)
+    return without_rows(docs, row_key(id_col, same), gone, repeated=True)

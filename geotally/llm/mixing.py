@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geotally.llm.common import WORD, bucket_bits, empty_if_null, hash_bucket, materialize, order_hash, packed, unpacked, with_running_total, written
+from geotally.llm.common import bucket_bits, empty_if_null, fresh, hash_bucket, materialize, order_hash, packed, unpacked, with_running_total, WORD, written
 
 SOURCE = ["no_source", "source"]
 
@@ -156,7 +156,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that repeat an id share the copies of one of them. Texts move twice, to their positions and into
     order, so they are packed in between.
     """
-    plan = mix_plan(docs, id_col=id_col, **how).filter("copies > 0").groupBy(F.col(id_col).alias("__id")).agg(F.min("positions").alias("__positions"))
-    copies = packed(docs, text_col).join(plan, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn("__at", F.explode("__positions"))
-    ordered = copies.drop("__positions", "__id").repartitionByRange("__at", id_col).sortWithinPartitions("__at", id_col).drop("__at")
+    plan = mix_plan(docs, id_col=id_col, **how).filter("copies > 0")
+    id_, positions, at = (fresh(docs, n) for n in ("__id", "__positions", "__at"))
+    plan = plan.groupBy(F.col(id_col).alias(id_)).agg(F.min("positions").alias(positions))
+    copies = packed(docs, text_col).join(plan, F.col(id_col).eqNullSafe(F.col(id_))).withColumn(at, F.explode(positions))
+    ordered = copies.drop(positions, id_).repartitionByRange(at, id_col).sortWithinPartitions(at, id_col).drop(at)
     return unpacked(ordered, text_col)

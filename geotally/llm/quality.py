@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geotally.llm.common import WORD, empty_if_null, materialize, order_hash, written
+from geotally.llm.common import empty_if_null, materialize, order_hash, row_key, without_rows, WORD, written
 
 WINDOW = 5
 MORE = ["n_lines", "n_marks", "n_capitals"]
@@ -169,14 +169,14 @@ def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", id_col
     return x.withColumn("kept", ~F.col("base_failed") & ~over).drop(*BY, "salt", "ladder")
 
 
-def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang", **how) -> DataFrame:
-    """One row per input row: id, the counts of BASE, base_failed, kept."""
-    slim = docs.select(F.col(id_col), F.col(stratum), F.col(text_col))
+def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang", digest: bool = False, **how) -> DataFrame:
+    """One row per input row: id, the counts of BASE, base_failed, kept; with ``digest`` a hash of the text too."""
+    slim = docs.select(F.col(id_col), F.col(stratum), F.col(text_col), *([F.xxhash64(text_col).alias("__digest")] if digest else []))
     features = materialize(with_features(slim, text_col).drop(text_col), "quality-features")
-    return judged(features, labels, stratum, id_col=id_col, **how).select(id_col, *BASE, "base_failed", "kept")
+    return judged(features, labels, stratum, id_col=id_col, **how).select(id_col, *BASE, "base_failed", "kept", *(["__digest"] if digest else []))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the ids that the rules reject; an id that any of its rows fails goes."""
-    bad = rated(docs, labels, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    """``docs`` without the rows that the rules reject. They go by id and text: another text under the same id stays."""
+    bad = rated(docs, labels, id_col, text_col, digest=True, **how).filter("not kept")
+    return without_rows(docs, row_key(id_col, F.xxhash64(text_col)), bad.select(row_key(id_col, F.col("__digest"))))
