@@ -18,12 +18,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from geotally.llm.common import batches_of, materialize, mix, word_hashes
+from geotally.llm.common import batches_of, materialize, mix, word_hashes, written
 
 #: Phrases in one broadcast trie at most; where a level has more, the corpus is read once for each part of them.
 PHRASES = 1 << 20
 #: Positions that walk the trie together.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
+#: Bytes of text that are cut into words together.
+SLICE = 2_000_000
 LEVELS = 5
 
 _BREAKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"] + [10, 11, 12, 13])
@@ -67,7 +69,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """lang, phrase (the word) and f; each task counts its own words first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batches_of(batch, "text", 4_000_000):
+            for part in batches_of(batch, "text", SLICE):
                 words, owner, _ = pieces_of(part.column(1))
                 names, of = _languages(part.column(0), owner)
                 coded = words.dictionary_encode()
@@ -98,7 +100,7 @@ def coded_corpus(docs: DataFrame, words_a_row: int = 512) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batches_of(batch, "text", 4_000_000):
+            for part in batches_of(batch, "text", SLICE):
                 words, owner, begins = pieces_of(part.column(1))
                 names, of = _languages(part.column(0), owner)
                 if not len(words):
@@ -263,7 +265,8 @@ def phrase_counts(docs: DataFrame, least: int = 100, most: int = PHRASES) -> tup
     """lang, k, phrase and f of every phrase of 1 to 5 words with f of ``least`` or more; lang and n of each language."""
     words = materialize(word_counts(docs), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = materialize(with_codes(words.filter(F.col("f") >= least)).select("lang", "phrase", "codes", "f"), "phrases-1")
+    frequent = words.filter(F.col("f") >= least)
+    level = written(with_codes(frequent).select("lang", "phrase", "codes", "f"), "phrases-1", frequent.count())
     vocabulary, levels = level.select("lang", "phrase", F.col("codes")[0].alias("__code")), [level.withColumn("k", F.lit(1))]
     corpus = materialize(coded_corpus(docs), "phrase-corpus")
     for k in range(2, LEVELS + 1):
@@ -271,7 +274,7 @@ def phrase_counts(docs: DataFrame, least: int = 100, most: int = PHRASES) -> tup
         before = level.select("lang", F.col("phrase").alias("__before"), F.col("codes").alias("__codes"))
         last = vocabulary.select(F.col("phrase").alias("__word"), "__code")
         named = counted.withColumns({"__codes": F.slice("codes", 1, k - 1), "__code": F.col("codes")[k - 1]}).join(before, "__codes").join(last, "__code")
-        level = materialize(named.select("lang", F.concat_ws(" ", "__before", "__word").alias("phrase"), "codes", "f"), f"phrases-{k}")
+        level = written(named.select("lang", F.concat_ws(" ", "__before", "__word").alias("phrase"), "codes", "f"), f"phrases-{k}", 2 * level.count())
         levels.append(level.withColumn("k", F.lit(k)))
     frame = levels[0]
     for other in levels[1:]:
