@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from geotally.llm.common import batches_of, materialize, mix, word_hashes, written
@@ -93,9 +94,10 @@ def with_codes(words: DataFrame) -> DataFrame:
     return words.select("lang", "phrase", "f").mapInArrow(run, "lang string, phrase string, f long, codes array<long>")
 
 
-def coded_corpus(docs: DataFrame, words_a_row: int = 512) -> DataFrame:
+def coded_corpus(docs: DataFrame, known: Broadcast | None = None, words_a_row: int = 512) -> DataFrame:
     """Rows of word codes in order of the texts, 0 before each piece; a row ends with the piece that fills it.
 
+    Where the sorted codes of all frequent words are ``known``, the others become 0 too: no candidate runs over them.
     Rows are about as long as a text, so that as many of them as Spark hands over at once fit in memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,9 +107,13 @@ def coded_corpus(docs: DataFrame, words_a_row: int = 512) -> DataFrame:
                 names, of = _languages(part.column(0), owner)
                 if not len(words):
                     continue
-                at = np.flatnonzero(begins)
-                codes = np.insert(_codes(words, names, of), at, 0)
-                zeros = at + np.arange(len(at))
+                codes = _codes(words, names, of)
+                if known is not None:
+                    place = np.minimum(np.searchsorted(known.value, codes), len(known.value) - 1)
+                    codes = np.where(known.value[place] == codes, codes, 0) if len(known.value) else np.zeros_like(codes)
+                codes = np.insert(codes, np.flatnonzero(begins), 0)
+                codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]  # breaks in a row are one
+                zeros = np.flatnonzero(codes == 0)
                 first = np.unique(zeros // words_a_row, return_index=True)[1]
                 ends = np.append(zeros[first], len(codes)) * 8
                 rows = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes)])
@@ -266,9 +272,14 @@ def phrase_counts(docs: DataFrame, least: int = 100, most: int = PHRASES) -> tup
     words = materialize(word_counts(docs), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.filter(F.col("f") >= least)
-    level = written(with_codes(frequent).select("lang", "phrase", "codes", "f"), "phrases-1", frequent.count())
+    n = frequent.count()
+    level = written(with_codes(frequent).select("lang", "phrase", "codes", "f"), "phrases-1", n)
     vocabulary, levels = level.select("lang", "phrase", F.col("codes")[0].alias("__code")), [level.withColumn("k", F.lit(1))]
-    corpus = materialize(coded_corpus(docs), "phrase-corpus")
+    known = None
+    if n <= most:  # else words are not told apart here, and the tries do it alone
+        codes = level.select(F.col("codes")[0].alias("code")).toArrow().column("code").to_numpy()
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(codes))
+    corpus = materialize(coded_corpus(docs, known), "phrase-corpus")
     for k in range(2, LEVELS + 1):
         counted = next_level(corpus, level, k - 1, least, most)
         before = level.select("lang", F.col("phrase").alias("__before"), F.col("codes").alias("__codes"))
