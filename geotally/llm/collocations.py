@@ -20,6 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from geotally.llm.common import batches_of, materialize, mix, word_hashes, written
+from geotally.model import work_dir
 
 #: Phrases in one broadcast trie at most; where a level has more, the corpus is read once for each part of them.
 PHRASES = 1 << 20
@@ -279,7 +280,9 @@ def phrase_counts(docs: DataFrame, least: int = 100, most: int = PHRASES) -> tup
     if n <= most:  # else words are not told apart here, and the tries do it alone
         codes = level.select(F.col("codes")[0].alias("code")).toArrow().column("code").to_numpy()
         known = docs.sparkSession.sparkContext.broadcast(np.sort(codes))
-    corpus = materialize(coded_corpus(docs, known), "phrase-corpus")
+    path = work_dir(docs.sparkSession, "phrase-corpus")
+    coded_corpus(docs, known).write.option("compression", "zstd").parquet(path)  # codes repeat like words
+    corpus = docs.sparkSession.read.schema("codes binary").parquet(path)
     for k in range(2, LEVELS + 1):
         counted = next_level(corpus, level, k - 1, least, most)
         before = level.select("lang", F.col("phrase").alias("__before"), F.col("codes").alias("__codes"))
