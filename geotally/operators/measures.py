@@ -26,6 +26,13 @@ VACCINATION_METRICS = [
     "vaccinationsInitiatedRatio", "vaccinationsCompletedRatio", "vaccinationsAdditionalDoseRatio",
     "vaccinationsFall2022BivalentBoosterRatio",
 ]
+# The observed fields that the ratios of the metrics table read.
+METRIC_INPUTS = [
+    "contact_tracers_count", "current_icu_total", "icu_beds", "beds_with_covid_patients_ratio_hsa", "current_hospitalized",
+    "current_hospitalized_hsa", "staffed_beds", "staffed_beds_hsa", "weekly_new_hospital_admissions_covid",
+    "weekly_new_hospital_admissions_covid_hsa", "weekly_new_hospital_admissions_covid_per_100k_hsa", "test_positivity",
+    *VACCINE_PAIRS.values(),
+]
 
 
 def population_of(static: DataFrame, attr: str = "population") -> DataFrame:
@@ -312,6 +319,49 @@ def metrics_timeseries(
     return S.round_metrics(base.join(wide, ["location_id", "date"], "left"))
 
 
+def all_metrics(
+    ds: Dataset, counties: DataFrame | None = None, new_cases: str = "new_cases", rt: DataFrame | None = None,
+    positivity: DataFrame | None = None,
+) -> DataFrame:
+    """All thirteen metrics of every region, a rounded row per day that has a density or an input of a ratio.
+
+    ``counties`` (location_id) take hospital figures of their HSA. ``positivity`` (location_id, date, value) stands
+    in for the observed ``test_positivity``. Observed fields and derived series are stacked and pivoted once, and
+    the ratios are expressions over that row. A day that only ``rt`` knows gives no row.
+    """
+    x = ds.obs.filter("bucket = 'all' and value is not null")
+    new = x.filter(F.col("variable") == new_cases)
+    first = ds.obs.groupBy("location_id").agg(F.min("date").alias("first"))
+    inputs = [c for c in METRIC_INPUTS if positivity is None or c != "test_positivity"]
+    parts = {"caseDensity": case_density(new, population_of(ds.static), first), "_cases": smoothed_daily(new, first)}
+    if positivity is not None:
+        parts["test_positivity"] = positivity
+    if rt is not None:
+        parts["infectionRate"] = rt.withColumn("value", F.col("Rt_MAP_composite"))
+        parts["infectionRateCI90"] = rt.withColumn("value", F.col("Rt_ci95_composite") - F.col("Rt_MAP_composite"))
+    observed = x.filter(F.col("variable").isin(inputs)).select("location_id", "date", "value", F.col("variable").alias("metric"))
+    tall = C.union_all([observed] + [p.select("location_id", "date", "value", F.lit(m).alias("metric")) for m, p in parts.items()])
+    columns = ["caseDensity", "_cases", "infectionRate", "infectionRateCI90", *METRIC_INPUTS]
+    days = tall.groupBy("location_id", "date").pivot("metric", columns).agg(F.first("value"))
+    days = days.filter(F.coalesce("caseDensity", *METRIC_INPUTS).isNotNull())
+    people = ds.static.filter(F.col("attr").isin("population", "hsa_population")).groupBy("location_id").pivot(
+        "attr", ["population", "hsa_population"]).agg(F.first("num"))
+    days = days.join(people, "location_id", "left")
+    is_county = F.lit(False)
+    if counties is not None:
+        days = days.join(counties.select("location_id", F.lit(True).alias("_county")), "location_id", "left")
+        is_county = F.coalesce("_county", F.lit(False))
+    return S.round_metrics(days.select(
+        "location_id", "date", "caseDensity", (F.col("caseDensity") * 7).alias("weeklyNewCasesPer100k"),
+        F.col("test_positivity").alias("testPositivityRatio"),
+        F.try_divide("contact_tracers_count", F.col("_cases") * TRACERS_PER_CASE).alias("contactTracerCapacityRatio"),
+        "infectionRate", "infectionRateCI90", icu_capacity_ratio(days).alias("icuCapacityRatio"),
+        covid_patient_ratio(is_county).alias("bedsWithCovidPatientsRatio"),
+        weekly_admissions_per_100k(is_county).alias("weeklyCovidAdmissionsPer100k"),
+        *[(F.col(c) / 100).alias(m) for c, m in zip(VACCINE_PAIRS.values(), VACCINATION_METRICS)],
+    ))
+
+
 def latest_metrics(metrics: DataFrame, names: list[str], lookback: int = LOOKBACK, rt_delay: int = RT_DELAY) -> DataFrame:
     """Per location the last real value of each metric, NULL when it is too old.
 

@@ -32,6 +32,7 @@ BEDS = {
     "icuBeds": {"capacity": "icu_beds", "currentUsageCovid": "current_icu", "currentUsageTotal": "current_icu_total"},
     "hsaIcuBeds": {"capacity": "icu_beds_hsa", "currentUsageCovid": "current_icu_hsa", "currentUsageTotal": "current_icu_total_hsa"},
 }
+ACTUAL_FIELDS = list(dict.fromkeys([*ACTUALS.values(), *[v for beds in BEDS.values() for v in beds.values()]]))
 FIRST_VACCINES = [
     "vaccinesAdministered", "vaccinesDistributed", "vaccinationsInitiated", "vaccinationsCompleted", "vaccinationsAdditionalDose",
 ]
@@ -40,6 +41,16 @@ METRIC_STARTS = {
     "vaccinationsInitiatedRatio": VACCINATION_START, "vaccinationsCompletedRatio": VACCINATION_START,
     "vaccinationsAdditionalDoseRatio": VACCINATION_START, "vaccinationsFall2022BivalentBoosterRatio": BIVALENT_START,
 }
+# The field whose tags annotate each published actual and metric.
+ANNOTATED = ACTUALS | {
+    "hospitalBeds": "hospital_beds_in_use_any", "hsaHospitalBeds": "hospital_beds_in_use_any_hsa", "icuBeds": "icu_beds", "hsaIcuBeds": "icu_beds_hsa",
+    "contactTracerCapacityRatio": "contact_tracers_count", "caseDensity": "cases", "weeklyNewCasesPer100k": "cases",
+    "infectionRate": "cases", "infectionRateCI90": "cases", "testPositivityRatio": "test_positivity",
+    "vaccinationsInitiatedRatio": "vaccinations_initiated_pct", "vaccinationsCompletedRatio": "vaccinations_completed_pct",
+    "vaccinationsAdditionalDoseRatio": "vaccinations_additional_dose_pct",
+    "vaccinationsFall2022BivalentBoosterRatio": "vaccinations_bivalent_dose_pct", "icuCapacityRatio": "current_icu",
+    "bedsWithCovidPatientsRatio": "current_hospitalized", "weeklyCovidAdmissionsPer100k": "weekly_new_hospital_admissions_covid",
+}
 
 
 def actuals_struct(

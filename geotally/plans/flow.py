@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from geotally.model import POINT, SERIES, STATIC, TAG, Dataset, materialize, materialize_by_series, whole_series
-from geotally.operators import combine as C, filters, levels as LV, measures as M, publish as PB, quality as Q, rollup as RU, windows as WN
+from geotally.operators import (
+    combine as C, filters, layout as LY, levels as LV, measures as M, publish as PB, quality as Q, rollup as RU, tags as TG, windows as WN)
 from geotally.sources import writers as WR
 
 
@@ -130,43 +131,105 @@ def roll_up(ds: Dataset, hsa_map: DataFrame, cbsa_map: DataFrame, members: DataF
         country.obs.unionByName(areas.obs.select(*POINT, "value")), country.static.unionByName(areas.static.select(*STATIC)), ds.tags)
 
 
-def metrics(ds: Dataset, new_cases: str = "new_cases", rt: DataFrame | None = None, positivity: DataFrame | None = None) -> DataFrame:
-    """Daily metrics of every region that reports new cases."""
-    new = ds.obs.filter((F.col("variable") == new_cases) & (F.col("bucket") == "all"))
-    first = ds.obs.groupBy("location_id").agg(F.min("date").alias("first"))
-    density = M.case_density(new, M.population_of(ds.static), first)
-    parts = {"caseDensity": density}
-    parts["testPositivityRatio"] = positivity if positivity is not None else density.limit(0)
-    none = density.limit(0).select("location_id", "date", "value")
-    parts["infectionRate"] = none if rt is None else rt.select("location_id", "date", F.col("Rt_MAP_composite").alias("value"))
-    parts["infectionRateCI90"] = none if rt is None else rt.select(
-        "location_id", "date", (F.col("Rt_ci95_composite") - F.col("Rt_MAP_composite")).alias("value"))
-    days = density.select("location_id", "date").distinct()
-    return M.metrics_timeseries(days, parts, multiples={"weeklyNewCasesPer100k": ("caseDensity", 7)})
+def metrics(
+    ds: Dataset, new_cases: str = "new_cases", rt: DataFrame | None = None, positivity: DataFrame | None = None, geo: DataFrame | None = None,
+) -> DataFrame:
+    """Daily metrics of every region. Counties of ``geo`` take hospital figures of their HSA; the one county that is
+    a state of its own keeps its own."""
+    counties = None if geo is None else geo.filter("level = 'county' and fips <> '11001'").select("location_id")
+    return M.all_metrics(ds, counties, new_cases, rt, positivity)
+
+
+def summaries(ds: Dataset, geo: DataFrame, daily: DataFrame, external: DataFrame | None = None) -> DataFrame:
+    """One nested row per region: latest values and metrics, levels, annotations of its fields, demographic distributions.
+
+    ``daily`` is the metrics table; ``external`` holds community levels from outside (location_id, date, value).
+    """
+    spark = ds.obs.sparkSession
+    latest = RU.latest_values(ds.obs.filter("bucket = 'all'"), ["location_id", "variable"])
+    wide = latest.groupBy("location_id").pivot("variable", PB.ACTUAL_FIELDS).agg(F.first("value"))
+    now = M.latest_metrics(daily, [c for c in daily.columns if c not in ("location_id", "date")])
+    risks = LV.risk_columns(now)
+    risks = risks.select("location_id", "overall", *[F.col(c).alias(c.removesuffix("_risk")) for c in risks.columns if c.endswith("_risk")])
+    transmission = now.select("location_id", LV.transmission_level(F.col("caseDensity"), F.col("testPositivityRatio")).alias("cdcTransmissionLevel"))
+    community = LV.community_latest(LV.community_timeseries(daily, external))
+    fields = spark.createDataFrame(list(PB.ANNOTATED.items()), "field string, variable string")
+    return PB.region_summary(
+        geo, wide, now, risks, transmission, community, TG.field_annotations(ds.tags, F.broadcast(fields)), LY.demographic_distributions(ds.obs))
+
+
+def daily_parts(ds: Dataset, daily: DataFrame) -> dict[str, DataFrame]:
+    """The daily rows that are published beside the summaries: actuals, metrics and levels."""
+    wide = LY.to_wide_variables(ds.obs.filter(F.col("bucket") == "all").filter(F.col("variable").isin(PB.ACTUAL_FIELDS)), PB.ACTUAL_FIELDS, ["location_id", "date"])
+    return {
+        "actuals": PB.actuals_rows(wide).select("location_id", "date", "actuals.*"), "metrics": PB.metric_rows(daily),
+        "riskLevels": LV.risk_timeseries(daily), "cdcTransmissionLevel": LV.transmission_timeseries(daily),
+    }
 
 
 # The kinds of published files; each is a folder with one folder per level inside.
 PUBLISHED = ("summary_json", "timeseries_json", "summary_csv", "timeseries_csv")
 
 
-def publish(geo: DataFrame, summary: DataFrame, parts: dict[str, DataFrame], path: str, order: dict[str, list[str]] | None = None) -> None:
+def publish(
+    geo: DataFrame, summary: DataFrame, parts: dict[str, DataFrame], path: str, order: dict[str, list[str]] | None = None,
+    by_region: bool = False,
+) -> None:
     """Write the summary of every region, its daily rows, and flat tables of both.
 
     JSON holds one record per region under level and state; CSV has nested fields as dotted columns, in the
     declared ``order`` of its kind. Under each kind, a folder named as the published file holds a level's parts.
-    The summary is written first and read for the others, so it is made once.
+    The summary is written first and read for the others, so it is made once. ``by_region`` adds files of single
+    regions and of the counties of each state (``publish_by_region``).
     """
-    summary = materialize(summary, "summary")
+    summary = materialize(WR.without_nan(summary), "summary")
     order = order or {}
+    header = geo.select(*[c for c in geo.columns if c in summary.columns])
+    timeseries = WR.without_nan(PB.region_timeseries(summary, {f"{name}Timeseries": part for name, part in parts.items()}))
+    daily = PB.flat_rows(header, parts)
+    if by_region:
+        timeseries, daily = materialize(timeseries, "timeseries"), materialize(daily, "daily")
+    tables = {"summary_json": summary, "timeseries_json": timeseries, "summary_csv": _without_lists(summary), "timeseries_csv": daily}
 
-    def file(df: DataFrame, kind: str, timeseries: bool) -> DataFrame:
-        return df.withColumn("_file", WR.bulk_file(F.col("level"), kind, timeseries)).hint("rebalance", "_file")
+    def level(kind: str) -> Column:
+        return WR.bulk_file(F.col("level"), kind.rsplit("_", 1)[1], kind.startswith("timeseries"))
 
-    file(WR.without_nan(summary), "json", False).write.partitionBy("_file").json(f"{path}/summary_json")
-    file(PB.region_timeseries(summary, {f"{name}Timeseries": part for name, part in parts.items()}), "json", True).write.partitionBy("_file").json(f"{path}/timeseries_json")
-    maps = [f.name for f in summary.schema if f.dataType.typeName() in ("map", "array")]
-    flat = WR.flatten_struct(file(summary.drop(*maps), "csv", False), order.get("summary_csv") and [*order["summary_csv"], "_file"])
-    flat.write.partitionBy("_file").csv(f"{path}/summary_csv", header=True)
-    header = geo.select(*[c for c in geo.columns if c in summary.columns])
-    daily = WR.flatten_struct(file(PB.flat_rows(header, parts), "csv", True), order.get("timeseries_csv") and [*order["timeseries_csv"], "_file"])
-    daily.write.partitionBy("_file").csv(f"{path}/timeseries_csv", header=True)
+    for kind in PUBLISHED:
+        _write(tables[kind].withColumn("_file", level(kind)), kind, f"{path}/{kind}", order)
+    if by_region:
+        publish_by_region(tables, path, order)
+
+
+def publish_by_region(tables: dict[str, DataFrame], path: str, order: dict[str, list[str]]) -> None:
+    """A file per region and kind under ``regions``, flat daily rows for states and the country only, and under
+    ``states`` the counties of each state. Folders are named by level and published file.
+
+    A region is one record (or its days), a state has as many as it has counties; rows are dealt by file before
+    they are written, so a file has one part unless it is large.
+    """
+    c = F.col
+
+    def named(df: DataFrame, file: Column) -> DataFrame:
+        return df.withColumns({"_level": c("level"), "_file": F.substring_index(file, "/", -1)})
+
+    for kind, df in tables.items():
+        suffix, dated = kind.rsplit("_", 1)[1], kind.startswith("timeseries")
+        alone = {"summary_json": df, "timeseries_json": df, "timeseries_csv": df.filter(c("level").isin("state", "country"))}
+        if kind in alone:
+            single = WR.output_file(c("level"), c("state"), c("fips"), c("country"), suffix, dated)
+            _write(named(alone[kind], single), kind, f"{path}/regions/{kind}", order)
+        of_state = named(df.filter("level = 'county' and state is not null"), WR.bulk_file(c("level"), suffix, dated, c("state")))
+        _write(of_state, kind, f"{path}/states/{kind}", order)
+
+
+def _without_lists(df: DataFrame) -> DataFrame:
+    return df.drop(*[f.name for f in df.schema if f.dataType.typeName() in ("map", "array")])
+
+
+def _write(df: DataFrame, kind: str, path: str, order: dict[str, list[str]]) -> None:
+    """One folder per value of ``_level`` and ``_file``."""
+    folders = [c for c in df.columns if c in ("_level", "_file")]
+    if kind.endswith("csv"):
+        df = WR.flatten_struct(df, order.get(kind) and [*order[kind], *folders])
+    out = df.hint("rebalance", *folders).write.partitionBy(*folders)
+    out.json(path) if kind.endswith("json") else out.csv(path, header=True)

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from geotally.model import POINT, Dataset, flatten, work_dir
-from geotally.operators import combine as C, levels as LV, quality as Q, rt as RT
+from geotally.operators import combine as C, layout as LY, levels as LV, quality as Q, rt as RT
 from geotally.plans import bindings as B, flow as FL
 from geotally.plans.catalog import query
 from geotally.plans.filters_queries import FLAT
@@ -128,7 +128,8 @@ def _(spark, d):
         "location_id", F.lit("population").alias("attr"), "num", F.lit(None).cast("string").alias("str"))
     ds = Dataset(new, pop, B.tags(spark, d).limit(0))
     rt, _ = RT.rt_all_regions(new)
-    m = FL.materialize(FL.metrics(ds, rt=rt), "metrics")
+    names = ["caseDensity", "weeklyNewCasesPer100k", "testPositivityRatio", "infectionRate", "infectionRateCI90"]
+    m = FL.materialize(FL.metrics(ds, rt=rt).select("location_id", "date", *names), "metrics")
     return m.join(LV.risk_timeseries(m).withColumnRenamed("caseDensity", "caseDensityLevel"), ["location_id", "date"]).join(
         LV.transmission_timeseries(m), ["location_id", "date"])
 
@@ -173,3 +174,93 @@ def _(spark, d):
     areas = B.cbsamap(spark, d).select(F.col("parent_id").alias("location_id")).distinct()
     parents = areas.unionByName(spark.range(1).select(F.lit("iso1:us").alias("location_id")))
     return out.obs.join(parents, "location_id", "left_semi").select("location_id", "variable", "date", F.round("value", 6).alias("value"))
+
+
+#: Events of a user as the inputs of all metrics; users whose id ends in 1 are the counties.
+INPUTS = {
+    "contact_tracers_count": "error", "current_icu_total": "view", "icu_beds": "signup", "beds_with_covid_patients_ratio_hsa": "error / 8",
+    "current_hospitalized": "click", "current_hospitalized_hsa": "purchase", "staffed_beds": "view", "staffed_beds_hsa": "signup",
+    "weekly_new_hospital_admissions_covid": "click", "weekly_new_hospital_admissions_covid_hsa": "view",
+    "weekly_new_hospital_admissions_covid_per_100k_hsa": "error * 6.5", "test_positivity": "purchase / 7",
+    "vaccinations_initiated_pct": "purchase", "vaccinations_completed_pct": "view", "vaccinations_additional_dose_pct": "signup",
+    "vaccinations_bivalent_dose_pct": "error",
+}
+
+
+@query("all_metrics_flow", f"""
+WITH {MS.ZEROS}, {MS.density_sql()}, {MS.WIDE}, lz2 AS (SELECT *, MAX(date) FILTER (value <> 0) OVER (PARTITION BY location_id) AS lz FROM cz),
+ cut2 AS (SELECT location_id, date, value FROM lz2 WHERE lz IS NULL OR date <= lz),
+ lead2 AS (SELECT x.location_id, CAST(t AS DATE) AS date, 0 AS value FROM (SELECT location_id, MIN(date) AS fv FROM cut2 GROUP BY 1) x JOIN fd USING (location_id), generate_series(first, fv - 1, INTERVAL 1 DAY) g(t)),
+ sm AS (SELECT location_id, date, AVG(value) OVER ({LR(6)}) AS s FROM (SELECT * FROM cut2 UNION ALL SELECT * FROM lead2)),
+ dy AS (SELECT location_id, date FROM w UNION SELECT location_id, date FROM cden), x AS (SELECT dy.*, location_id LIKE '%1' AS county FROM dy)
+SELECT location_id, date, round_even(cden.value, 1) AS "caseDensity", round_even(cden.value * 7, 1) AS "weeklyNewCasesPer100k", round_even(purchase / 7, 3) AS "testPositivityRatio",
+ round_even(CASE WHEN s <> 0 THEN error / (s * 5) END, 2) AS "contactTracerCapacityRatio", round_even(view * 0.55, 2) AS "infectionRate", round_even(view * 0.675 - view * 0.55, 2) AS "infectionRateCI90",
+ round_even(CASE WHEN signup <> 0 THEN view / signup END, 2) AS "icuCapacityRatio", round_even(COALESCE(error / 8, CASE WHEN county THEN purchase / signup ELSE click / view END), 3) AS "bedsWithCovidPatientsRatio",
+ round_even(COALESCE(error * 6.5, CASE WHEN county THEN view / (population * 10 / 100000) ELSE click / (population / 100000) END), 1) AS "weeklyCovidAdmissionsPer100k",
+ round_even(purchase / 100, 3) AS "vaccinationsInitiatedRatio", round_even(view / 100, 3) AS "vaccinationsCompletedRatio", round_even(signup / 100, 3) AS "vaccinationsAdditionalDoseRatio",
+ round_even(error / 100, 3) AS "vaccinationsFall2022BivalentBoosterRatio"
+FROM x LEFT JOIN cden USING (location_id, date) LEFT JOIN sm USING (location_id, date) LEFT JOIN w USING (location_id, date) JOIN upop USING (location_id)""")
+def _(spark, d):
+    """All thirteen metrics of every user and day, from one stacked table."""
+    return FL.metrics(user_inputs(spark, d), rt=user_rt(spark, d), geo=B.users(spark, d).filter("location_id like '%1'").select(
+        "location_id", F.lit("county").alias("level"), F.lit("0").alias("fips")))
+
+
+def user_rt(spark, d):
+    views = B.evt(spark, d).filter("variable = 'view'")
+    return views.select("location_id", "date", (F.col("value") * 0.55).alias("Rt_MAP_composite"), (F.col("value") * 0.675).alias("Rt_ci95_composite"))
+
+
+def user_inputs(spark, d):
+    """Clicks as new cases and the other inputs of the metrics, made from counts of events."""
+    new = MS.zeros(spark, d).filter("variable = 'click'").withColumn("variable", F.lit("new_cases"))
+    wide = MS.wide_with(spark, d, INPUTS).withColumn("bucket", F.lit("all"))
+    obs = new.select(*POINT, "value").unionByName(LY.to_long(wide, list(INPUTS)).select(*POINT, "value"))
+    hsa = B.ustatic(spark, d).filter("attr = 'population'").withColumns({"attr": F.lit("hsa_population"), "num": F.col("num") * 10})
+    return Dataset(obs, B.ustatic(spark, d).unionByName(hsa), B.tags(spark, d).limit(0))
+
+
+REGION_FLOW = """so AS (SELECT location_id, bucket, date, value FROM obsb WHERE variable = 'n_orders' UNION ALL SELECT parent_id, bucket, date, SUM(value) FROM obsb JOIN parent USING (location_id) WHERE variable = 'n_orders' GROUP BY 1, 2, 3),
+ ta AS (SELECT location_id, COUNT(*) AS sources FROM tags WHERE variable = 'n_orders' AND bucket = 'all' AND tag_type = 'source' GROUP BY 1),
+ la AS (SELECT location_id, bucket, arg_max(value, date) AS value FROM so GROUP BY 1, 2), dm AS (SELECT location_id, SUM(value) AS demo FROM la WHERE bucket <> 'all' GROUP BY 1),
+ sr AS (SELECT g.location_id, g.fips, g.state, g.level, la.value AS latest, COALESCE(ta.sources, 0) AS sources, demo FROM geo g JOIN la USING (location_id) LEFT JOIN ta USING (location_id) JOIN dm USING (location_id) WHERE la.bucket = 'all'),
+ dc AS (SELECT location_id, COUNT(DISTINCT date) AS days, SUM(value) AS total FROM so WHERE bucket = 'all' GROUP BY 1), rg AS (SELECT *, CASE level WHEN 'county' THEN fips ELSE state END AS key FROM sr JOIN dc USING (location_id))"""
+
+
+@query("publish_by_region_flow", f"""
+WITH {REGION_FLOW}
+SELECT 'regions/summary_json' AS kind, level, key || '.json' AS file, location_id, latest AS value, sources, demo FROM rg
+UNION ALL SELECT 'regions/timeseries_json', level, key || '.timeseries.json', location_id, total, sources, demo FROM rg
+UNION ALL SELECT 'regions/timeseries_csv', level, key || '.timeseries.csv', location_id, total, NULL, NULL FROM rg WHERE level = 'state'
+UNION ALL SELECT 'states/summary_json', level, state || '.json', location_id, latest, sources, demo FROM rg WHERE level = 'county'
+UNION ALL SELECT 'states/timeseries_json', level, state || '.timeseries.json', location_id, total, sources, demo FROM rg WHERE level = 'county'
+UNION ALL SELECT 'states/summary_csv', level, state || '.csv', location_id, latest, NULL, NULL FROM rg WHERE level = 'county'
+UNION ALL SELECT 'states/timeseries_csv', level, state || '.timeseries.csv', location_id, total, NULL, NULL FROM rg WHERE level = 'county'""")
+def _(spark, d):
+    """Orders of counties and states as new cases, published with annotations and distributions and read back by file."""
+    own = B.obsb(spark, d).filter("variable = 'n_orders'").select(*POINT, "value")
+    above = own.join(B.parent(spark, d), "location_id").groupBy(F.col("parent_id").alias("location_id"), "variable", "bucket", "date").agg(F.sum("value").alias("value"))
+    obs = own.unionByName(above.select(*POINT, "value")).withColumn("variable", F.lit("new_cases"))
+    tags = B.tags(spark, d).filter("variable = 'n_orders'").withColumn("variable", F.lit("new_cases"))
+    ds = Dataset(obs, B.static(spark, d), tags)
+    daily = FL.materialize(FL.metrics(ds, geo=B.geo(spark, d)), "metrics")
+    path = work_dir(spark, "published")
+    FL.publish(B.geo(spark, d), FL.summaries(ds, B.geo(spark, d), daily), FL.daily_parts(ds, daily), path, by_region=True)
+    folders = "_level string, _file string"
+    record = ("location_id string, actuals struct<newCases: double>, actualsTimeseries array<struct<newCases: double>>, "
+              "annotations map<string, struct<sources: array<struct<name: string>>>>, demographics map<string, map<string, double>>, ")
+    sources = F.coalesce(F.size(F.try_element_at("annotations", F.lit("newCases"))["sources"]), F.lit(0)).cast("long")
+    members = F.aggregate(F.map_values(F.try_element_at("demographics", F.lit("new_cases/segment"))), F.lit(0.0), lambda s, x: s + x)
+    total = F.aggregate("actualsTimeseries", F.lit(0.0), lambda s, x: s + F.coalesce(x["newCases"], F.lit(0.0)))
+
+    def listed(kind):
+        if kind.endswith("json"):
+            value = total if "timeseries" in kind else F.col("actuals.newCases")
+            df = spark.read.schema(record + folders).json(f"{path}/{kind}").withColumns({"value": value, "sources": sources, "demo": members})
+        else:
+            df = spark.read.csv(f"{path}/{kind}", header=True).groupBy("_level", "_file", "location_id").agg(F.sum(F.col("`actuals.newCases`").cast("double")).alias("value"))
+            df = df.withColumns({"sources": F.lit(None).cast("long"), "demo": F.lit(None).cast("double")})
+        return df.select(F.lit(kind).alias("kind"), F.col("_level").alias("level"), F.col("_file").alias("file"), "location_id", "value", "sources", "demo")
+
+    single = [f"regions/{k}" for k in ("summary_json", "timeseries_json", "timeseries_csv")]
+    return C.union_all([listed(kind) for kind in [*single, *[f"states/{k}" for k in FL.PUBLISHED]]])

@@ -108,12 +108,16 @@ def bulk_file(level: Column, kind: str = "json", timeseries: bool = False, state
 
 
 def without_nan(df: DataFrame) -> DataFrame:
-    """Columns of doubles, also inside structs, with null for NaN."""
+    """Columns of doubles, also inside structs, arrays and values of maps, with null for NaN."""
     def clean(value: Column, kind: T.DataType) -> Column:
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             return finite(value)
         if isinstance(kind, T.StructType):
             return F.when(value.isNotNull(), F.struct(*[clean(value[f.name], f.dataType).alias(f.name) for f in kind]))
+        if isinstance(kind, T.ArrayType):
+            return F.transform(value, lambda x: clean(x, kind.elementType))
+        if isinstance(kind, T.MapType):
+            return F.transform_values(value, lambda _, x: clean(x, kind.valueType))
         return value
 
     return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])

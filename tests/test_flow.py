@@ -76,3 +76,85 @@ def test_a_derived_variable_must_be_new(spark):
     ds = make_dataset(spark, {"s": {"cases": [1, 2, 4], "new_cases": [1, 1, 2]}}, {"s": {"population": 10}})
     with pytest.raises(Exception, match="not disjoint"):
         FL.clean(ds, geo(spark), parents(spark), None, FL.Config(as_of=START + datetime.timedelta(days=9), estimate=None, weekly={}))
+
+
+def test_all_metrics_of_a_county_and_a_state(spark):
+    """A county reads its HSA, a state itself; a provided figure goes before a calculated one; zero cases give no ratio."""
+    own = {"current_hospitalized": [4] * 10, "staffed_beds": [8] * 10, "weekly_new_hospital_admissions_covid": [3] * 10}
+    hsa = {"current_hospitalized_hsa": [1] * 10, "staffed_beds_hsa": [10] * 10, "weekly_new_hospital_admissions_covid_hsa": [5] * 10}
+    ds = make_dataset(spark, {
+        "s": own | hsa | {"vaccinations_completed_pct": [50] * 10, "test_positivity": [0.1234] * 10},
+        "c1": own | hsa | {"new_cases": [N, N, N, N, N, 14, 14], "contact_tracers_count": [10] * 10, "beds_with_covid_patients_ratio_hsa": [0.5]}},
+        {"s": {"population": 100_000}, "c1": {"population": 50_000, "hsa_population": 200_000}})
+    rows = {(r["location_id"], (r["date"] - START).days): r for r in FL.metrics(ds, geo=geo(spark)).collect()}
+    assert len(rows) == 20
+    s, c = rows["s", 0], rows["c1", 0]
+    assert (s["bedsWithCovidPatientsRatio"], s["weeklyCovidAdmissionsPer100k"], s["vaccinationsCompletedRatio"], s["testPositivityRatio"]) == (0.5, 3.0, 0.5, 0.123)
+    assert (c["bedsWithCovidPatientsRatio"], rows["c1", 1]["bedsWithCovidPatientsRatio"], c["weeklyCovidAdmissionsPer100k"]) == (0.5, 0.1, 2.5)
+    assert s["caseDensity"] is None and c["caseDensity"] == 0.0 and c["contactTracerCapacityRatio"] is None
+    assert rows["c1", 6]["caseDensity"] == 8.0 and rows["c1", 6]["weeklyNewCasesPer100k"] == 56.0
+    assert rows["c1", 6]["contactTracerCapacityRatio"] == 0.5 and rows["c1", 7]["contactTracerCapacityRatio"] is None
+
+
+def test_a_given_positivity_and_rate(spark):
+    ds = make_dataset(spark, {"s": {"new_cases": [7] * 8, "test_positivity": [0.9] * 8}}, {"s": {"population": 100_000}})
+    day = lambda i: START + datetime.timedelta(days=i)
+    given = spark.createDataFrame([("s", day(2), 0.25)], "location_id string, date date, value double")
+    rate = spark.createDataFrame([("s", day(2), 1.1, 1.3), ("s", day(99), 1.0, 1.2)], "location_id string, date date, Rt_MAP_composite double, Rt_ci95_composite double")
+    found = {(r["date"] - START).days: r for r in FL.metrics(ds, rt=rate, positivity=given).collect()}
+    assert sorted(found) == list(range(8))
+    assert [found[i]["testPositivityRatio"] for i in (1, 2)] == [None, 0.25]
+    assert (found[2]["infectionRate"], found[2]["infectionRateCI90"], found[3]["infectionRate"]) == (1.1, 0.2, None)
+
+
+def test_metrics_without_any_row(spark):
+    ds = make_dataset(spark, {"s": {"new_cases": [1]}}, {"s": {"population": 10}})
+    empty = ds.with_obs(ds.obs.limit(0))
+    out = FL.metrics(empty, geo=geo(spark))
+    assert len(out.columns) == 15 and out.count() == 0
+
+
+def test_files_of_regions_and_states(spark, tmp_path):
+    """One file per region, the counties of a state together, no NaN as text anywhere, annotations in the record."""
+    import json
+
+    ds = make_dataset(spark, {
+        "s": {"cases": [1, 2], "new_cases": [1, 2]}, "c1": {"cases": {"all": [1, float("nan")], "age:0-9": [3]}, "new_cases": [1, 1]}, "c2": {"new_cases": [5, 5]}},
+        {k: {"population": 100_000} for k in ("s", "c1", "c2")}, [("c1", "cases", "all", "source", '{"type":"NYTimes","url":"u","name":"n"}')])
+    where = geo(spark).selectExpr("*", "'USA' as country")
+    daily = FL.materialize(FL.metrics(ds, geo=where), "metrics")
+    FL.publish(where, FL.summaries(ds, where, daily), FL.daily_parts(ds, daily), str(tmp_path / "out"), by_region=True)
+
+    def names(kind):
+        return sorted(f"{p.parent.name.removeprefix('_level=')}/{p.name.removeprefix('_file=')}" for p in (tmp_path / "out" / kind).glob("_level=*/_file=*"))
+
+    assert names("regions/timeseries_json") == ["county/48001.timeseries.json", "county/48003.timeseries.json", "state/TX.timeseries.json"]
+    assert names("regions/timeseries_csv") == ["state/TX.timeseries.csv"]
+    assert names("states/summary_csv") == ["county/TX.csv"] and names("states/timeseries_json") == ["county/TX.timeseries.json"]
+    lines = [x for p in (tmp_path / "out").rglob("*.json") if p.is_file() for x in p.read_text().splitlines()]
+    assert lines and not any("NaN" in x for x in lines)
+    single = next((tmp_path / "out/regions/timeseries_json/_level=county/_file=48001.timeseries.json").glob("*.json"))
+    record = json.loads(single.read_text())
+    assert [x.get("cases") for x in record["actualsTimeseries"]] == [1.0, None]
+    assert record["annotations"]["cases"]["sources"][0]["type"] == "NYTimes"
+    assert record["annotations"]["caseDensity"] == record["annotations"]["cases"]
+    assert record["demographics"] == {"cases/age": {"0-9": 3.0}}
+    both = [json.loads(x) for p in (tmp_path / "out/states/summary_json/_level=county/_file=TX.json").glob("*.json") for x in p.read_text().splitlines()]
+    assert sorted(r["location_id"] for r in both) == ["c1", "c2"]
+
+
+def test_no_nan_inside_arrays_and_maps(spark):
+    from geotally.sources import writers as WR
+
+    df = spark.sql("select array(named_struct('v', double('NaN')), named_struct('v', 1D)) as a, map('k', double('NaN'), 'l', 2D) as m, array(array(double('NaN'))) as b")
+    row = WR.without_nan(df).first()
+    assert [x["v"] for x in row["a"]] == [None, 1.0] and row["m"] == {"k": None, "l": 2.0} and row["b"] == [[None]]
+
+
+def test_metrics_need_one_pivot(spark):
+    """Observed inputs and derived series meet in one aggregation by region and day."""
+    import re
+
+    ds = make_dataset(spark, {"s": {"new_cases": [7] * 8}}, {"s": {"population": 100_000}})
+    p = FL.metrics(ds)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Aggregate \[location_id#\d+, date#\d+\]", p)) == 1
