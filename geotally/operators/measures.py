@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from geotally.functions import scalars as S, tagtext as T
-from geotally.model import POINT, SERIES, TAG, Dataset, day, whole_series
+from geotally.model import POINT, SERIES, TAG, Dataset, day, series_window, whole_series
 from geotally.operators import combine as C, filters, windows as WN
 from geotally.operators.levels import LOOKBACK, RT_DELAY
 from geotally.operators.tags import make_tags
@@ -210,32 +212,83 @@ def positivity_smoothed(positive: DataFrame, negative: DataFrame, lookback: int
         "location_id", "date", F.try_divide(F.col("p"), F.col("n") + F.col("p")).alias("value")).filter("value is not null")
 
 
+#: Expressions in stages: those of a stage read the observed values and the columns of the stages before it.
+Stages = list[dict[str, Column]]
+#: Methods run on a row per location and day, so their windows are those of a location.
+HERE = ["location_id"]
+
+
+def observed(variable: str) -> str:
+    """The column of a variable's values in the frame on which methods run."""
+    return f"_observed_{variable}"
+
+
 @dataclass(frozen=True)
 class Method:
-    """A way to calculate positivity; plug in others by listing them."""
+    """A way to calculate positivity; plug in others by listing them.
+
+    ``calculate`` takes the name of the result's column and gives the stages that lead to it. They read ``observed``
+    columns of ``columns``, on every day from the first to the last of a location, null where nothing was reported.
+    """
 
     name: str
     columns: list[str]
-    calculate: Callable[[DataFrame], DataFrame]
+    calculate: Callable[[str], Stages]
     recent_days: int = 14
     recent_by_inputs: bool = False
 
 
-def pass_through(column: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda obs: obs.filter(F.col("variable") == column).select("location_id", "date", "value")
-
-
-def division(numerator: str, denominator: str, days: int = 7) -> Callable[[DataFrame], DataFrame]:
-    def calculate(obs):
-        delta = WN.diff_days(obs.filter(F.col("variable").isin(numerator, denominator)), days)
-        pick = lambda v: F.max(F.when(F.col("variable") == v, F.col("value")))
-        return delta.groupBy("location_id", "date").agg(F.try_divide(pick(numerator), pick(denominator)).alias("value")).filter("value is not null")
-
-    return calculate
-
-
-def smoothed_tests(positive: str, negative: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda obs: positivity_smoothed(obs.filter(F.col("variable") == positive), obs.filter(F.col("variable") == negative))
+def pass_through(column: str) -> Callable[[str], Stages]:
+    return lambda out: [{out: F.col(observed(column))}]
+
+
+def division(numerator: str, denominator: str, days: int = 7) -> Callable[[str], Stages]:
+    def stages(out):
+        delta = lambda v: F.col(observed(v)) - WN.previous_day(observed(v), days, HERE)
+        top, bottom = f"{out}_top", f"{out}_bottom"
+        return [{top: delta(numerator), bottom: delta(denominator)}, {out: F.try_divide(F.col(top), F.col(bottom))}]
+
+    return stages
+
+
+def smoothed_tests(positive: str, negative: str, lookback: int = 7) -> Callable[[str], Stages]:
+    """The expressions of ``positivity_smoothed`` on both series at once."""
+    roles = {"p": positive, "n": negative}
+
+    def stages(out):
+        w = whole_series(HERE)
+        upto = series_window(by=HERE).rowsBetween(W.unboundedPreceding, 0)
+        after = W.partitionBy(*HERE).orderBy(day().desc()).rowsBetween(W.unboundedPreceding, -1)
+        name = lambda r, what: f"{out}_{r}_{what}"
+        at = lambda r, what: F.col(name(r, what))
+        both = lambda **make: {name(r, what): f(r) for r in roles for what, f in make.items()}
+        real = lambda r: F.col(observed(roles[r]))
+        stalled = lambda r: F.coalesce(real(r) == WN.previous_day(observed(roles[r]), by=HERE), F.lit(False))
+        step = lambda r: F.datediff("date", at(r, "d0")) * (at(r, "v1") - at(r, "v0")) / F.datediff(at(r, "d1"), at(r, "d0"))
+        level = lambda r: F.floor(at(r, "v0") + F.coalesce(step(r), F.lit(0.0))).cast("double")
+        new = lambda r: at(r, "level") - WN.previous_day(name(r, "level"), by=HERE)
+        recent = lambda r: F.datediff(at(r, "end"), "date") < lookback
+        kept = {"p": at("p", "mean").isNotNull(), "n": at("n", "mean").isNotNull() & (at("n", "last").isNull() | (F.col("date") <= at("n", "last")))}
+        zeros = F.count(F.when(recent("p") & kept["p"] & (at("p", "mean") == 0), 1)).over(w)
+        negatives = F.count(F.when(recent("n") & kept["n"], 1)).over(w)
+        skipped = (F.col(f"{out}_zeros") < lookback) & (F.col(f"{out}_negatives") == 0)
+        ratio = F.try_divide(at("p", "mean"), at("n", "mean") + at("p", "mean"))
+        return [
+            both(end=lambda r: F.max(F.when(real(r).isNotNull(), F.col("date"))).over(w), stalled=stalled),
+            both(kept=lambda r: F.when(~at(r, "stalled"), real(r)), day=lambda r: F.when(real(r).isNotNull() & ~at(r, "stalled"), F.col("date"))),
+            both(**{c + i: (lambda r, c=c, o=o: F.last(at(r, {"v": "kept", "d": "day"}[c]), ignorenulls=True).over(o)) for c in "vd" for i, o in (("0", upto), ("1", after))}),
+            both(level=lambda r: F.when(F.col("date") <= at(r, "end"), level(r))),
+            both(change=new),
+            both(new=lambda r: F.when(at(r, "change") >= 0, at(r, "change"))),
+            both(
+                mean=lambda r: F.when(at(r, "new").isNotNull(), F.avg(at(r, "new")).over(WN.days_back(lookback - 1, by=HERE))),
+                last=lambda r: F.max(F.when(at(r, "new") != 0, F.col("date"))).over(w),
+            ),
+            {f"{out}_zeros": zeros, f"{out}_negatives": negatives},
+            {out: F.when(kept["p"] & kept["n"] & ~skipped, ratio)},
+        ]
+
+    return stages
 
 
 POSITIVITY_METHODS = [
@@ -251,23 +304,34 @@ def positivity_methods(obs: DataFrame, as_of: datetime.date, methods: list[Metho
     """Every method on every location: location_id, date, value, method, prio, recent.
 
     ``as_of`` is the most recent date of the data. A method that has no column in the data gives
-    no rows; the smoothed tests count as recent when both inputs are.
+    no rows; the smoothed tests count as recent when both inputs are. The series are pivoted once and
+    the stages of all methods run side by side, so there is one scan, an exchange by location and day
+    and one by location, however many methods are listed.
     """
-    x = obs.filter("bucket = 'all' and value is not null")
-    out = []
-    for prio, m in enumerate(methods):
-        rows = m.calculate(x).select("location_id", "date", "value")
+    names = sorted({c for m in methods for c in m.columns})
+    pick = lambda v: F.max(F.when(F.col("variable") == v, F.col("value"))).alias(observed(v))
+    wide = obs.filter("bucket = 'all' and value is not null").filter(F.col("variable").isin(names))
+    wide = wide.groupBy("location_id", "date").agg(*[pick(v) for v in names])
+    following = F.lead("date").over(series_window(by=HERE))
+    wide = wide.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.col("date")))
+    wide = wide.withColumn("_day", F.explode(F.sequence("date", "_until")))
+    reported = lambda v: F.when(F.col("_day") == F.col("date"), F.col(observed(v))).alias(observed(v))
+    x = wide.select("location_id", F.col("_day").alias("date"), *[reported(v) for v in names])
+    results = [f"_method{i}" for i in range(len(methods))]
+    for stage in zip_longest(*[m.calculate(r) for m, r in zip(methods, results)], fillvalue={}):
+        x = x.withColumns({name: c for part in stage for name, c in part.items()})
+    w, rows = whole_series(HERE), []
+    for prio, (m, r) in enumerate(zip(methods, results)):
         if m.recent_by_inputs:
-            inputs = WN.recent_data(x.filter(F.col("variable").isin(m.columns)), as_of, m.recent_days, 1).filter("has_recent")
-            fresh = inputs.groupBy("location_id").agg((F.count("*") == len(m.columns)).alias("recent"))
+            since = F.col("date") >= F.lit(as_of - datetime.timedelta(days=m.recent_days))
+            fresh = [F.coalesce(F.max(since & (F.col(observed(c)) > 0)).over(w), F.lit(False)) for c in m.columns]
+            recent = reduce(lambda a, b: a & b, fresh)
         else:
             cutoff = as_of + datetime.timedelta(days=1 - m.recent_days)
-            fresh = rows.groupBy("location_id").agg((F.max("date") >= F.lit(cutoff)).alias("recent"))
-        out.append(
-            rows.join(fresh, "location_id", "left").withColumn("recent", F.coalesce("recent", F.lit(False)))
-            .withColumns({"method": F.lit(m.name), "prio": F.lit(prio)})
-        )
-    return C.union_all(out)
+            recent = F.coalesce(F.max(F.when(F.col(r).isNotNull(), F.col("date"))).over(w) >= F.lit(cutoff), F.lit(False))
+        x = x.withColumn(f"{r}_recent", recent)
+        rows.append(F.struct(F.col(r).alias("value"), F.lit(m.name).alias("method"), F.lit(prio).alias("prio"), F.col(f"{r}_recent").alias("recent")))
+    return x.select("location_id", "date", F.inline(F.array(*rows))).filter("value is not null")
 
 
 def positivity_best(results: DataFrame, fallback: str = "SmoothedTests") -> DataFrame:
