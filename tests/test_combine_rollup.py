@@ -112,6 +112,21 @@ def test_positivity_without_recent_negatives(spark):
     assert M.positivity_smoothed(make_obs(spark, {"r": {"p": up}}), make_obs(spark, {"r": {"n": flat}})).count() == 0
 
 
+def test_smoothed_method_is_the_smoothed_ratio(spark):
+    """Stalls, gaps, a fall, series that end on different days, and one series only."""
+    rows = {
+        "a": {"p": [1, 3, 3, 8, N, N, 20, 21, 30, 30, 41, 55], "n": [5, 9, 9, N, 30, 28, 44, 60, 61, 80]},
+        "b": {"p": [N, N, 4, 9, 9, 9, 9, 30], "n": [2, 2, 2, 7, 7, 19, 40, 40, 40, 77]},
+        "c": {"p": [1, 2, 3, 9]}, "d": {"n": [1, 2, 3, 9]},
+    }
+    obs = make_obs(spark, rows)
+    of = lambda v: obs.filter(F.col("variable") == v)
+    points = lambda df: sorted((r["location_id"], r["date"], round(r["value"], 12)) for r in df.collect())
+    methods = [M.Method("SmoothedTests", ["p", "n"], M.smoothed_tests("p", "n"), 10, True)]
+    want = points(M.positivity_smoothed(of("p"), of("n")))
+    assert want and points(M.positivity_methods(obs, START, methods)) == want
+
+
 def test_latest_metrics_ages(spark):
     rows = [("r", START + datetime.timedelta(days=i), 1.0 * i if i < 5 else None, 2.0, float(i), 0.1) for i in range(30)]
     df = spark.createDataFrame(rows, "location_id string, date date, caseDensity double, testPositivityRatio double, infectionRate double, infectionRateCI90 double")

@@ -1,4 +1,5 @@
 """Properties of plans and sources that matter at scale."""
+import datetime
 import pathlib
 import re
 
@@ -32,6 +33,18 @@ def test_positivity_needs_two_exchanges(spark):
     assert exchanges(measures.positivity_smoothed(obs.filter("variable = 'p'"), obs.filter("variable = 'n'"))) == 2
 
 
+def test_positivity_methods_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    make_obs(spark, {"r": {"p": [1, 2, 3], "n": [1, 2, 4], "g": [0.5]}}).write.parquet(path)
+    methods = [
+        measures.Method("SmoothedTests", ["p", "n"], measures.smoothed_tests("p", "n"), 10, True),
+        measures.Method("Given", ["g"], measures.pass_through("g")),
+        measures.Method("Delta", ["p", "n"], measures.division("p", "n")),
+    ]
+    best = measures.positivity_best(measures.positivity_methods(spark.read.parquet(path), datetime.date(2024, 1, 3), methods))
+    assert exchanges(best) == 2 and plan(best).count("FileScan") == 1
+
+
 def test_latest_is_a_hash_aggregate_without_sort(spark):
     p = plan(rollup.latest_values(make_obs(spark, {"r": {"x": [1]}})))
     assert "HashAggregate" in p and "Sort" not in p and "Window" not in p
