@@ -378,6 +378,30 @@ def test_pairs_of_a_large_bucket_that_no_hub_is_in(spark):
     assert {i: r["component_id"] for i, r in got.items()} == want
 
 
+def test_links_that_no_bucket_shows(spark):
+    """Pairs of 12 words of 15 at least: one bucket of six bins rarely has both of a pair, and later rounds never see the others."""
+    texts = [(2 * k + side, " ".join([f"p{k}w{j}" for j in range(12 + k % 20)] + [f"s{side}p{k}"] * (k % 3 > 0))) for k in range(60) for side in (0, 1)]
+    texts += [(1000, "one two three four"), (1001, "one two three four five"), (1002, "one two three"), (1003, "alone"), (1004, " "), (1005, None)]
+    sets = {i: shingles(t, 1) for i, t in texts}
+    for percent in (80, 95):
+        want = {i: i for i in sets}
+        for a, b in itertools.combinations(sets, 2):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                want[b] = min(want[b], want[a])
+        got = by_id(near_dedup.near_groups(spark.createDataFrame(texts, "doc_id long, text string"), width=1, percent=percent, bands=1, rows=6))
+        assert {i: r["component_id"] for i, r in got.items()} == want
+
+
+def test_links_in_a_large_family_of_unlike_texts(spark):
+    """900 documents with 60 words of 70 in common are no links; the first two of each hundred have 64 and are one."""
+    passage, texts = [f"w{k}" for k in range(60)], []
+    for i in range(900):
+        own = [f"x{i - (i % 100 == 1)}y{k}" for k in range(4)] + [f"z{i}y{k}" for k in range(6)]
+        texts.append((i, " ".join(passage + own)))
+    got = by_id(near_dedup.near_groups(spark.createDataFrame(texts, "doc_id long, text string"), width=1))
+    assert {i: r["component_id"] for i, r in got.items()} == {i: i - (i % 100 == 1) for i in range(900)}
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_longer_bands_lose_no_link(spark, percent):
     """Chains of changed sets in one large bucket: the longer bands find every component that brute force finds."""
