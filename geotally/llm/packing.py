@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from geotally.llm.common import batches_of, bucket_bits, materialize, order_hash, with_running_total
 
+#: Bytes of text that a worker encodes at once.
+CHARS = 8_000_000
 #: White space as the tokenizer's pattern sees it.
 _SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Cutting before a space is safe unless the space belongs to a longer run, or ends the text.
@@ -98,7 +100,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for part in batches_of(batch, "text"):
+            for part in batches_of(batch, "text", CHARS):
                 row, number, start, length, ids = [], [], [], [], []
                 for i, own in enumerate(encode_texts(part.column("text"), tokenizer)):
                     own = np.append(own, np.uint32(end))

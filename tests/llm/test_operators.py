@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from geotally.llm import exact_dedup, language, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
+from geotally.llm import common, exact_dedup, language, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
 from geotally.llm.components import connected_components
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -357,6 +357,38 @@ def test_near_drop(docs, twice, nothing):
     assert near_dedup.near_groups(nothing).count() == 0 and near_dedup.near_groups(twice).count() == twice.count()
 
 
+def test_near_tables_of_few_documents_have_few_files(spark, docs, monkeypatch):
+    files, keep = {}, near_dedup.materialize
+
+    def counted(df, name):
+        out = keep(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = near_dedup.near_groups(docs.repartition(64)).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == docs.count()
+    assert {"near-sketches", "near-buckets", "near-texts", "near-again", "near-left"} <= set(files)
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
+
+
+def test_files_for(spark):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.range(100_000).select(F.lit("one").alias("text"))
+    assert common.files_for(docs) == 50 and common.files_for(docs.limit(10)) == cores and common.files_for(docs.limit(0)) == cores
+    # few long texts count by their bytes, and a null text has none
+    assert common.files_for(spark.range(100).select(F.repeat(F.lit("é"), 1_000_000).alias("text"))) == 50
+    assert common.files_for(spark.range(5).select(F.lit(None).cast("string").alias("text"))) == cores
+
+
 def test_later_rounds_link_members_of_a_bucket(spark):
     """b and c are alike, and both share a bucket with a, which is like neither."""
     words = [f"w{k}" for k in range(100)]
